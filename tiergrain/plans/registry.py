@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tiergrain.functions.exprs import stabilize_doubles
 from tiergrain.params import TEST_PARAMS, Params
 from tiergrain.plans import investment as inv
+from tiergrain.plans import insurance as ins
+from tiergrain.plans import insurance_sql
 from tiergrain.plans import investment_sql  # noqa: F401  (registers oracle CTEs)
 from tiergrain.plans.oracle import build, metrics_sql, stab
 from tiergrain.operators.quality import violation_counts
@@ -117,4 +119,52 @@ def _register_investment() -> None:
                  doc=f"rule metrics of {dataset}")
 
 
+INS_DOUBLES = {
+    "bronze_policies": ["gross_premium", "limit_amount", "deductible"],
+    "bronze_claims": ["incurred_amount", "paid_amount", "reserve_amount"],
+    "bronze_exposure": ["total_insured_value", "probable_max_loss"],
+    "bronze_lines_of_business": [],
+    "silver_enriched_policies": ["gross_premium", "limit_amount", "deductible", "cession_rate", "ceded_premium",
+                                 "net_premium", "rate_on_line"],
+    "quarantine_policies": ["gross_premium", "limit_amount", "deductible"],
+    "silver_claims_enriched": ["incurred_amount", "paid_amount", "reserve_amount"],
+    "silver_exposure": ["total_insured_value", "probable_max_loss", "pml_ratio"],
+    "gold_underwriting_summary": ["gwp", "nwp", "ceded_premium", "avg_rate_on_line", "total_limit",
+                                  "incurred_losses", "paid_losses", "outstanding_reserves", "avg_notification_lag",
+                                  "loss_ratio", "expense_ratio", "combined_ratio", "underwriting_profit"],
+    "gold_compliance_checks": ["threshold", "actual_value"],
+    "gold_exposure_summary": ["total_limit", "total_gwp", "total_nwp", "cat_tiv", "cat_pml"],
+}
+
+
+def insurance(spark: SparkSession, sf_dir: str, params: Params | None = None) -> ins.InsurancePipeline:
+    return ins.InsurancePipeline(raw_tables(spark, sf_dir), params or _params())
+
+
+def _ins_dataset(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stabilize_doubles(insurance(spark, sf_dir)[name])
+    run.__name__ = f"ins_{name}"
+    return run
+
+
+def _ins_metrics(dataset: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        p = insurance(spark, sf_dir)
+        return violation_counts(p.unfiltered(dataset), p.rules(dataset))
+    run.__name__ = f"dq_{dataset}"
+    return run
+
+
+def _register_insurance() -> None:
+    for name in ins.DATASETS:
+        register(f"ins_{name}", _ins_dataset(name), build(stab(name, INS_DOUBLES[name]), [name]),
+                 doc=f"insurance dataset {name}")
+    for dataset, ruleset in insurance_sql.ORACLE_RULES.items():
+        frame = insurance_sql.RULE_FRAMES[dataset]
+        register(f"dq_{dataset}", _ins_metrics(dataset), build(metrics_sql(ruleset, frame), [frame]),
+                 doc=f"rule metrics of {dataset}")
+
+
 _register_investment()
+_register_insurance()
