@@ -280,9 +280,23 @@ def raw_table(t: Tables, name: str) -> DataFrame:
     return _spark_from(name, t).selectExpr(*BINDINGS[name].spark_columns())
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = Tables(spark, sf_dir)
-    return {name: raw_table(t, name) for name in BINDINGS}
+class RawTables(dict):
+    """Mapping name -> raw DataFrame, each built on first access."""
+
+    def __init__(self, tables: Tables):
+        super().__init__()
+        self.tables = tables
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in BINDINGS:
+            raise KeyError(name)
+        df = raw_table(self.tables, name)
+        self[name] = df
+        return df
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(Tables(spark, sf_dir))
 
 
 def duck_ctes(names=None) -> str:
