@@ -166,5 +166,46 @@ def _register_insurance() -> None:
                  doc=f"rule metrics of {dataset}")
 
 
+METRICS_SCHEMA = "dataset string, rule string, mode string, evaluated bigint, failed bigint"
+
+
+def _stream_table(table: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tiergrain.plans.streams import InvestmentStreams
+        st = InvestmentStreams(spark, sf_dir, _params())
+        out = st.table(table)
+        if table in ("bronze_trade_executions", "silver_enriched_trades") and not st.rerun_is_noop(table):
+            raise AssertionError(f"rerun of {table} added rows")
+        return stabilize_doubles(out)
+    run.__name__ = f"stream_{table}"
+    return run
+
+
+def _stream_metrics(table: str):
+    ruleset = {**inv.BRONZE_RULES, **inv.SILVER_RULES}[table]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tiergrain.plans.streams import InvestmentStreams
+        st = InvestmentStreams(spark, sf_dir, _params())
+        st.table(table)
+        got = st.metrics(table)
+        rows = [(ruleset.dataset, r.name, ruleset.mode, got.get("_evaluated", 0), got.get(r.name, 0))
+                for r in ruleset.rules]
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
+    run.__name__ = f"stream_dq_{table}"
+    return run
+
+
+def _register_streams() -> None:
+    from tiergrain.plans.streams import STREAM_TABLES
+    for table in STREAM_TABLES:
+        register(f"stream_{table}", _stream_table(table), REGISTRY[f"inv_{table}"].oracle,
+                 doc=f"incremental streaming refresh of {table}")
+    for table in ("bronze_trade_executions", "silver_enriched_trades", "silver_market_data"):
+        register(f"stream_dq_{table}", _stream_metrics(table), REGISTRY[f"dq_{table}"].oracle,
+                 doc=f"rule metrics observed during the streaming refresh of {table}")
+
+
 _register_investment()
 _register_insurance()
+_register_streams()
