@@ -206,6 +206,103 @@ def _register_streams() -> None:
                  doc=f"rule metrics observed during the streaming refresh of {table}")
 
 
+EXT_DOUBLES = {
+    "ext_sector_allocation": ["sector_notional", "fund_notional", "share_pct"],
+    "ext_loss_ratio_rule": ["threshold", "actual_value"],
+    "ext_base_currency_notional": ["notional_value", "fx_rate", "notional_base"],
+    "ext_loss_ratio_by_policy": ["gwp", "nwp", "incurred_losses", "paid_losses", "loss_ratio"],
+    "ext_orphan_claims": ["incurred_amount"],
+    "ext_paid_triangle": ["paid", "cumulative_paid"],
+    "ext_running_incurred": ["incurred_amount", "running_incurred"],
+    "ext_earned_premium": ["gwp", "earned_premium"],
+    "ext_claim_versions": ["incurred_amount"],
+    "ext_reinsurance_split": ["cession_rate", "share", "ceded_premium"],
+    "ext_exposure_by_rating": ["total_exposure"],
+    "ext_cat_pml_by_territory": ["cat_tiv", "cat_pml"],
+    "split_policies": [],
+    "audit_raw_tables": [],
+    "bars_daily_quotes": ["open_price", "high_price", "low_price", "close_price"],
+}
+
+
+def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.operators.bars import daily_bars
+    from tiergrain.operators.quality import tag_violations
+    from tiergrain.plans import extensions as ext
+    from tiergrain.plans.extensions_sql import AUDIT_CHECKS, AUDIT_TABLES
+    from tiergrain.sources.sinks import row_count_audit
+    from tiergrain.sources.tables import Tables
+    from pyspark.sql import functions as F
+    params = _params()
+    if name == "bars_daily_quotes":
+        return daily_bars(Tables(spark, sf_dir).events, "user_id", "ts", "value", "event_id")
+    if name == "audit_raw_tables":
+        raw = raw_tables(spark, sf_dir)
+        return row_count_audit({t: raw[t] for t in AUDIT_TABLES}, AUDIT_CHECKS)
+    i = investment(spark, sf_dir)
+    s = insurance(spark, sf_dir)
+    if name == "ext_sector_allocation":
+        return ext.sector_allocation(i["silver_enriched_trades"])
+    if name == "ext_loss_ratio_rule":
+        return ext.loss_ratio_rule(s["silver_enriched_policies"], s["silver_claims_enriched"], params)
+    if name == "ext_base_currency_notional":
+        return ext.base_currency_notional(i["silver_enriched_trades"], i["silver_fx_rates"], params)
+    if name == "ext_loss_ratio_by_policy":
+        return ext.loss_ratio_by_policy(s["silver_enriched_policies"], s["silver_claims_enriched"], params)
+    if name == "ext_orphan_claims":
+        return ext.orphan_claims(s["silver_claims_enriched"], s["silver_enriched_policies"])
+    if name == "ext_paid_triangle":
+        return ext.paid_triangle(s["silver_claims_enriched"])
+    if name == "ext_running_incurred":
+        return ext.running_incurred(s["silver_claims_enriched"])
+    if name == "ext_earned_premium":
+        return ext.earned_premium(s["silver_enriched_policies"], params)
+    if name == "ext_claim_versions":
+        return ext.claim_versions(s["silver_claims_enriched"])
+    if name == "ext_reinsurance_split":
+        return ext.reinsurance_split(s["silver_enriched_policies"], s.raw["raw_reinsurers"])
+    if name == "ext_exposure_by_rating":
+        return ext.exposure_by_rating(i["silver_enriched_trades"])
+    if name == "ext_cat_pml_by_territory":
+        return ext.cat_pml_by_territory(s["silver_exposure"])
+    if name == "split_policies":
+        tagged = tag_violations(s.unfiltered("silver_enriched_policies"), s.rules("silver_enriched_policies"))
+        side = F.when(F.size("_violations") == 0, F.lit("clean")).otherwise(F.lit("quarantine"))
+        return (tagged.groupBy(side.alias("side"), F.array_join("_violations", ", ").alias("violations"))
+                .agg(F.count(F.lit(1)).alias("row_count")))
+    raise KeyError(name)
+
+
+def _ext_builder(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return stabilize_doubles(_ext(name, spark, sf_dir))
+    run.__name__ = name
+    return run
+
+
+def _view_builder(dataset: str, cluster_by):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tiergrain.session import shared_dir
+        from tiergrain.sources.sinks import publish_view, read_view
+        base = shared_dir(spark, "views", dataset)
+        df = investment(spark, sf_dir)[dataset]
+        publish_view(df, base, cluster_by=cluster_by)      # first refresh
+        publish_view(df, base, cluster_by=cluster_by)      # recompute and replace
+        return stabilize_doubles(read_view(spark, base))
+    run.__name__ = f"view_{dataset}"
+    return run
+
+
+def _register_extensions() -> None:
+    from tiergrain.plans import extensions_sql  # noqa: F401  (registers CTEs)
+    for name, doubles in EXT_DOUBLES.items():
+        register(name, _ext_builder(name), build(stab(name, doubles), [name]), doc=f"extension {name}")
+    for dataset, keys in inv.GOLD_CLUSTER_BY.items():
+        register(f"view_{dataset}", _view_builder(dataset, keys), REGISTRY[f"inv_{dataset}"].oracle,
+                 doc=f"clustered, versioned refresh of {dataset}")
+
+
 _register_investment()
 _register_insurance()
 _register_streams()
+_register_extensions()
