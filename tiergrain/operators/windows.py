@@ -1,15 +1,142 @@
-"""Per-group row numbering."""
+"""Per-group ordered numbering and running sums that survive hot keys.
+
+``row_number() over (partition by k order by o)`` sends every row of one key
+to one task. When one key holds a large share of the data that task holds it
+all. ``ordered_within`` keeps the exact result but splits hot keys:
+
+1. Hot keys are found from a Bernoulli sample (``groupBy(k).count()`` on the
+   sample, a tiny aggregate). Detection only routes rows; both paths below
+   are exact, so a missed or spurious hot key costs speed, never correctness.
+2. Cold keys (each at most ``hot_rows`` rows) use the plain window.
+3. Hot keys are range-partitioned on (k, o): a hot key spreads over many
+   partitions, each a contiguous slice of its order. The slice id is fixed by
+   writing the hot rows with ``checkpoint()`` to the shared checkpoint folder
+   (so both consumers below see the same slices, and a lost executor
+   recomputes nothing upstream).
+4. Within a slice, the window runs on (k, slice): bounded, balanced groups.
+   Rows and sums of earlier slices of the same key come from a per-(k, slice)
+   aggregate, at most (#hot keys x #slices) rows, joined back.
+
+Null keys form one group, as in SQL windows; null-safe joins keep them on the
+right path.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiergrain.operators.relational import sized_broadcast
+from tiergrain.session import checkpoint_root
+
+# A key with more rows than this is "hot"; a cold group is small enough for
+# one task's window buffer.
+DEFAULT_HOT_ROWS = 1_000_000
+# Expected sampled rows of a key at the hot threshold.
+SAMPLE_HITS = 200
+
+
+def _order_cols(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in order]
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else (cond & c)
+    return cond
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, seed: int = 7) -> DataFrame:
+    """Keys estimated to hold more than ``hot_rows`` rows (from a sample)."""
+    fraction = min(1.0, SAMPLE_HITS / float(hot_rows))
+    sampled = df.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction < 1.0 else df
+    return (sampled.groupBy(*keys).count()
+            .filter(F.col("count") >= F.lit(max(1, int(hot_rows * fraction))))
+            .select(*keys))
+
+
+def _plain(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
+    out = df
+    if rank:
+        out = out.withColumn(rank, F.row_number().over(w))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for name, src in sums.items():
+        out = out.withColumn(name, F.sum(src).over(run))
+    return out
+
+
+def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], slices: int,
+            max_rows: int) -> DataFrame:
+    spark = df.sparkSession
+    checkpoint_root(spark)   # make sure a shared checkpoint folder is set
+    sl = (df.repartitionByRange(slices, *[F.col(k).asc_nulls_first() for k in keys], *_order_cols(order))
+            .withColumn("_slice", F.spark_partition_id())
+            .checkpoint(eager=True))
+    # per (key, slice): rows and sums, then what earlier slices of the key hold
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(src).alias(f"_s_{name}") for name, src in sums.items()]
+    per = sl.groupBy(*keys, "_slice").agg(*aggs)
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per.select(*keys, "_slice",
+                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
+                      *[F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0)).alias(f"_b_{name}")
+                        for name in sums])
+    local = _plain(sl, [*keys, "_slice"], order, "_lrn" if rank else None,
+                   {f"_l_{name}": src for name, src in sums.items()})
+    offs = sized_broadcast(offs, max_rows)
+    j = local.join(offs, _null_safe_on(local, offs, [*keys, "_slice"]), "inner")
+    cols = [local[c] for c in df.columns]
+    if rank:
+        cols.append((local["_lrn"] + offs["_n_before"]).cast("int").alias(rank))
+    for name in sums:
+        cols.append((local[f"_l_{name}"] + offs[f"_b_{name}"]).alias(name))
+    return j.select(*cols)
+
+
+def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str | None = None,
+                   sums: dict[str, str] | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
+                   slices: int | None = None, max_rows: int = 200_000) -> DataFrame:
+    """Row number and/or running sums per key in ``order`` (asc, nulls first).
+
+    ``order`` should end in tie-breakers that make it total; rows equal on
+    every order column get consecutive numbers in an unspecified order.
+    ``hot_rows=None`` forces the plain window.
+    """
+    sums = dict(sums or {})
+    if hot_rows is None:
+        return _plain(df, keys, order, rank, sums)
+    spark = df.sparkSession
+    hot = hot_keys(df, keys, hot_rows)
+    hot = sized_broadcast(hot, max_rows)
+    is_hot = _null_safe_on(df, hot, keys)
+    hot_rows_df = df.join(hot, is_hot, "left_semi")
+    cold_rows = df.join(hot, is_hot, "left_anti")
+    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _plain(cold_rows, keys, order, rank, sums).unionByName(
+        _sliced(hot_rows_df, keys, order, rank, sums, n, max_rows))
+
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
+                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """``row_number() over (partition by keys order by order)``."""
+    return ordered_within(df, keys, order, rank=name, hot_rows=hot_rows)
+
+
+def next_in_order(df: DataFrame, keys: Sequence[str], rank: str, columns: Sequence[str],
+                  prefix: str = "next_") -> DataFrame:
+    """``lead(c)`` over ``rank`` within keys, as an equi-join on (keys, rank + 1).
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """``row_number() over (partition by keys order by order)``, ascending,
-    nulls first (Spark's default), ``order``'s trailing columns breaking ties."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn(name, F.row_number().over(w))
+    (keys, rank) is unique, so the join has no hot key however large a group is.
+    """
+    nxt = df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col(rank) - 1).alias("_r"),
+                    *[F.col(c).alias(f"{prefix}{c}") for c in columns])
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(nxt[f"_k_{k}"])
+        cond = c if cond is None else (cond & c)
+    cond = cond & (df[rank] == nxt["_r"])
+    return df.join(nxt, cond, "left").drop(*[f"_k_{k}" for k in keys], "_r")

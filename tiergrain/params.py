@@ -30,6 +30,9 @@ class Params:
     # most this many rows; above it the join shuffles (AQE may still
     # convert it from measured shuffle sizes)
     broadcast_max_rows: int = 200_000
+    # per-key windows route keys with more rows than this (estimated from a
+    # sample) to a range-sliced path; None = plain window only
+    hot_key_rows: int | None = 1_000_000
 
     @property
     def as_of_date(self) -> dt.date:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tiergrain.functions.exprs import date_literal
 from tiergrain.operators.compliance import rule_report, threshold_rule
 from tiergrain.operators.relational import pct_of, sized_broadcast
+from tiergrain.operators.windows import next_in_order, ordered_within
 from tiergrain.params import Params
 from tiergrain.plans.insurance import latest_exposure, premium_by_lob_year
 
@@ -130,12 +131,12 @@ def paid_triangle(claims: DataFrame) -> DataFrame:
     return tri.withColumn("cumulative_paid", F.sum("paid").over(w))
 
 
-def running_incurred(claims: DataFrame) -> DataFrame:
-    """Running incurred per claim in version order (``cumulative_paid_rank``)."""
-    w = (Window.partitionBy("claim_id").orderBy("cumulative_paid_rank")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount",
-                         F.sum("incurred_amount").over(w).alias("running_incurred"))
+def running_incurred(claims: DataFrame, params: Params) -> DataFrame:
+    """Running incurred per claim in version order (``cumulative_paid_rank``);
+    hot claims are summed slice by slice (see ``ordered_within``)."""
+    base = claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount")
+    return ordered_within(base, ["claim_id"], ["cumulative_paid_rank"],
+                          sums={"running_incurred": "incurred_amount"}, hot_rows=params.hot_key_rows)
 
 
 # X6 -----------------------------------------------------------------------------
@@ -154,11 +155,16 @@ def earned_premium(policies: DataFrame, params: Params) -> DataFrame:
 
 # X7 -----------------------------------------------------------------------------
 def claim_versions(claims: DataFrame) -> DataFrame:
-    """SCD2-style validity interval of each claim row among its versions."""
-    w = Window.partitionBy("claim_id").orderBy("cumulative_paid_rank")
-    nxt = F.lead("loss_date").over(w)
-    return claims.select("claim_id", "cumulative_paid_rank", F.col("loss_date").alias("valid_from"),
-                         nxt.alias("valid_to"), nxt.isNull().alias("is_current"), "incurred_amount", "status")
+    """SCD2-style validity interval of each claim row among its versions.
+
+    ``valid_to`` is the next version's ``loss_date``: an equi-join on
+    (claim_id, rank + 1) instead of ``lead`` over a per-claim window.
+    """
+    base = claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount", "status")
+    j = next_in_order(base, ["claim_id"], "cumulative_paid_rank", ["loss_date"])
+    return j.select("claim_id", "cumulative_paid_rank", F.col("loss_date").alias("valid_from"),
+                    F.col("next_loss_date").alias("valid_to"), F.col("next_loss_date").isNull().alias("is_current"),
+                    "incurred_amount", "status")
 
 
 # X8 -----------------------------------------------------------------------------

@@ -254,7 +254,7 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "ext_paid_triangle":
         return ext.paid_triangle(s["silver_claims_enriched"])
     if name == "ext_running_incurred":
-        return ext.running_incurred(s["silver_claims_enriched"])
+        return ext.running_incurred(s["silver_claims_enriched"], params)
     if name == "ext_earned_premium":
         return ext.earned_premium(s["silver_enriched_policies"], params)
     if name == "ext_claim_versions":
