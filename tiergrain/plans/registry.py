@@ -293,10 +293,44 @@ def _view_builder(dataset: str, cluster_by):
     return run
 
 
+def _synth(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tiergrain.plans import synthetic as syn
+        from tiergrain.sources.bindings import BROKER_ROWS, LOB_ROWS
+        from tiergrain.sources.tables import Tables
+        t = Tables(spark, sf_dir)
+        if name == "synth_trades":
+            out = syn.synth_trades(t.orders)
+        elif name == "synth_policies":
+            out = syn.synth_policies(t.orders, _params(), [r[0] for r in LOB_ROWS if r[0]],
+                                     [r[0] for r in BROKER_ROWS])
+        elif name == "synth_claims":
+            out = syn.synth_claims(t.part, _params())
+        elif name == "synth_fx_rates":
+            out = syn.synth_fx_rates(raw_tables(spark, sf_dir)["raw_fx_rates"])
+        elif name == "synth_fx_date_spine":
+            out = syn.fx_date_spine(raw_tables(spark, sf_dir)["raw_fx_rates"])
+        elif name == "synth_exposure_grid":
+            out = syn.exposure_grid(t.region, t.orders)
+        else:
+            raise KeyError(name)
+        return stabilize_doubles(out)
+    run.__name__ = name
+    return run
+
+
+SYNTH_ORACLE_DOUBLES = {"synth_fx_date_spine": [], "synth_exposure_grid": ["total_insured_value",
+                                                                           "probable_max_loss"]}
+
+
 def _register_extensions() -> None:
     from tiergrain.plans import extensions_sql  # noqa: F401  (registers CTEs)
     for name, doubles in EXT_DOUBLES.items():
         register(name, _ext_builder(name), build(stab(name, doubles), [name]), doc=f"extension {name}")
+    for name in ("synth_trades", "synth_policies", "synth_claims", "synth_fx_rates"):
+        register(name, _synth(name), None, doc=f"generated table {name} (seeded xxhash64: rows-only check)")
+    for name, doubles in SYNTH_ORACLE_DOUBLES.items():
+        register(name, _synth(name), build(stab(name, doubles), [name]), doc=f"generated grid {name}")
     for dataset, keys in inv.GOLD_CLUSTER_BY.items():
         register(f"view_{dataset}", _view_builder(dataset, keys), REGISTRY[f"inv_{dataset}"].oracle,
                  doc=f"clustered, versioned refresh of {dataset}")
