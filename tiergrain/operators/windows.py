@@ -72,8 +72,6 @@ def _plain(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str]) -
 
 def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], slices: int,
             max_rows: int) -> DataFrame:
-    spark = df.sparkSession
-    checkpoint_root(spark)   # make sure a shared checkpoint folder is set
     sl = (df.repartitionByRange(slices, *[F.col(k).asc_nulls_first() for k in keys], *_order_cols(order))
             .withColumn("_slice", F.spark_partition_id())
             .checkpoint(eager=True))
@@ -105,16 +103,26 @@ def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], ran
     ``order`` should end in tie-breakers that make it total; rows equal on
     every order column get consecutive numbers in an unspecified order.
     ``hot_rows=None`` forces the plain window.
+
+    Passes over ``df``: one sampled pass to find hot keys (written to the
+    shared checkpoint folder, a handful of rows); with none, the plain window
+    (one more pass). With hot keys, ``df`` is written once and both paths
+    read that copy.
     """
     sums = dict(sums or {})
     if hot_rows is None:
         return _plain(df, keys, order, rank, sums)
     spark = df.sparkSession
-    hot = hot_keys(df, keys, hot_rows)
-    hot = sized_broadcast(hot, max_rows)
-    is_hot = _null_safe_on(df, hot, keys)
-    hot_rows_df = df.join(hot, is_hot, "left_semi")
-    cold_rows = df.join(hot, is_hot, "left_anti")
+    checkpoint_root(spark)
+    hot = hot_keys(df, keys, hot_rows).checkpoint(eager=True)
+    n_hot = hot.limit(max_rows + 1).count()
+    if n_hot == 0:
+        return _plain(df, keys, order, rank, sums)
+    base = df.checkpoint(eager=True)
+    hot = F.broadcast(hot) if n_hot <= max_rows else hot
+    is_hot = _null_safe_on(base, hot, keys)
+    hot_rows_df = base.join(hot, is_hot, "left_semi")
+    cold_rows = base.join(hot, is_hot, "left_anti")
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _plain(cold_rows, keys, order, rank, sums).unionByName(
         _sliced(hot_rows_df, keys, order, rank, sums, n, max_rows))

@@ -244,15 +244,15 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "ext_sector_allocation":
         return ext.sector_allocation(i["silver_enriched_trades"])
     if name == "ext_loss_ratio_rule":
-        return ext.loss_ratio_rule(s["silver_enriched_policies"], s["silver_claims_enriched"], params)
+        return ext.loss_ratio_rule(s["silver_enriched_policies"], s["kept_claims"], params)
     if name == "ext_base_currency_notional":
         return ext.base_currency_notional(i["silver_enriched_trades"], i["silver_fx_rates"], params)
     if name == "ext_loss_ratio_by_policy":
-        return ext.loss_ratio_by_policy(s["silver_enriched_policies"], s["silver_claims_enriched"], params)
+        return ext.loss_ratio_by_policy(s["silver_enriched_policies"], s["kept_claims"], params)
     if name == "ext_orphan_claims":
-        return ext.orphan_claims(s["silver_claims_enriched"], s["silver_enriched_policies"])
+        return ext.orphan_claims(s["kept_claims"], s["silver_enriched_policies"])
     if name == "ext_paid_triangle":
-        return ext.paid_triangle(s["silver_claims_enriched"])
+        return ext.paid_triangle(s["kept_claims"])
     if name == "ext_running_incurred":
         return ext.running_incurred(s["silver_claims_enriched"], params)
     if name == "ext_earned_premium":
