@@ -60,3 +60,19 @@ def test_view_versions(spark):
     p2 = publish_view(spark.range(5), base)
     assert p1.endswith("version=00000001") and p2.endswith("version=00000002")
     assert read_view(spark, base).count() == 5
+
+
+def test_write_table_overwrites(spark):
+    from tiergrain.sources.sinks import write_table
+    path = tempfile.mkdtemp(prefix="tg-raw-") + "/t"
+    write_table(spark.range(5), path)
+    write_table(spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_row_count_audit(spark):
+    from tiergrain.sources.sinks import row_count_audit
+    a = spark.createDataFrame([(1,), (None,), (3,)], "x int")
+    out = {(r.table_name, r.check): (r.row_count, r.matching) for r in
+           row_count_audit({"a": a, "b": spark.range(4)}, {"a": {"null_x": "x IS NULL"}}).collect()}
+    assert out == {("a", "null_x"): (3, 1), ("b", None): (4, None)}
