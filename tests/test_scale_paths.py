@@ -9,8 +9,8 @@ import pytest
 
 from tiergrain.functions.exprs import stabilize_doubles
 from tiergrain.params import TEST_PARAMS
-from tiergrain.plans.insurance import InsurancePipeline
-from tiergrain.plans.investment import InvestmentPipeline
+from tiergrain.plans.insurance import InsuranceDatasets
+from tiergrain.plans.investment import InvestmentDatasets
 from tiergrain.sources.bindings import raw_tables
 
 from conftest import SF01
@@ -23,10 +23,10 @@ def _rows(df):
 
 
 @pytest.mark.parametrize("cls,name", [
-    (InvestmentPipeline, "gold_portfolio_summary"),
-    (InvestmentPipeline, "gold_market_performance"),
-    (InsurancePipeline, "gold_exposure_summary"),
-    (InsurancePipeline, "gold_underwriting_summary"),
+    (InvestmentDatasets, "gold_portfolio_summary"),
+    (InvestmentDatasets, "gold_market_performance"),
+    (InsuranceDatasets, "gold_exposure_summary"),
+    (InsuranceDatasets, "gold_underwriting_summary"),
 ])
 def test_shuffle_join_path_equals_broadcast_path(spark, cls, name):
     small = _rows(cls(raw_tables(spark, SF01), TEST_PARAMS)[name])

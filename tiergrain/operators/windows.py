@@ -97,12 +97,15 @@ def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str],
 
 def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str | None = None,
                    sums: dict[str, str] | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
-                   slices: int | None = None, max_rows: int = 200_000) -> DataFrame:
+                   slices: int | None = None, max_rows: int = 200_000,
+                   sample_from: DataFrame | None = None) -> DataFrame:
     """Row number and/or running sums per key in ``order`` (asc, nulls first).
 
     ``order`` should end in tie-breakers that make it total; rows equal on
     every order column get consecutive numbers in an unspecified order.
-    ``hot_rows=None`` forces the plain window.
+    ``hot_rows=None`` forces the plain window. ``sample_from`` (same rows as
+    ``df``) is what hot keys are sampled from, e.g. ``df`` without an
+    ``observe`` node that must fire only in the final action.
 
     Passes over ``df``: one sampled pass to find hot keys (written to the
     shared checkpoint folder, a handful of rows); with none, the plain window
@@ -114,7 +117,7 @@ def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], ran
         return _plain(df, keys, order, rank, sums)
     spark = df.sparkSession
     checkpoint_root(spark)
-    hot = hot_keys(df, keys, hot_rows).checkpoint(eager=True)
+    hot = hot_keys(sample_from if sample_from is not None else df, keys, hot_rows).checkpoint(eager=True)
     n_hot = hot.limit(max_rows + 1).count()
     if n_hot == 0:
         return _plain(df, keys, order, rank, sums)
@@ -129,9 +132,9 @@ def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], ran
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                      hot_rows: int | None = DEFAULT_HOT_ROWS, sample_from: DataFrame | None = None) -> DataFrame:
     """``row_number() over (partition by keys order by order)``."""
-    return ordered_within(df, keys, order, rank=name, hot_rows=hot_rows)
+    return ordered_within(df, keys, order, rank=name, hot_rows=hot_rows, sample_from=sample_from)
 
 
 def next_in_order(df: DataFrame, keys: Sequence[str], rank: str, columns: Sequence[str],

@@ -246,7 +246,7 @@ GOLD_CLUSTER_BY = {
 
 # --- whole graph ------------------------------------------------------------------
 
-class InvestmentPipeline:
+class InvestmentDatasets:
     """All 17 datasets over one set of raw frames, built lazily on demand."""
 
     def __init__(self, raw: dict[str, DataFrame], params: Params):
@@ -295,4 +295,4 @@ DATASETS = tuple(BRONZE_SOURCES) + (
     "gold_portfolio_summary", "gold_daily_trading_activity", "gold_counterparty_exposure",
     "gold_market_performance", "gold_settlement_status")
 
-__all__ = ["InvestmentPipeline", "DATASETS", "BRONZE_RULES", "SILVER_RULES", "stabilize_doubles"]
+__all__ = ["InvestmentDatasets", "DATASETS", "BRONZE_RULES", "SILVER_RULES", "stabilize_doubles"]

@@ -44,8 +44,8 @@ def _params() -> Params:
     return TEST_PARAMS
 
 
-def investment(spark: SparkSession, sf_dir: str, params: Params | None = None) -> inv.InvestmentPipeline:
-    return inv.InvestmentPipeline(raw_tables(spark, sf_dir), params or _params())
+def investment(spark: SparkSession, sf_dir: str, params: Params | None = None) -> inv.InvestmentDatasets:
+    return inv.InvestmentDatasets(raw_tables(spark, sf_dir), params or _params())
 
 
 # Double columns of each dataset's output (the oracle rounds these; a test
@@ -79,7 +79,7 @@ def _inv_dataset(name: str):
     return run
 
 
-def _inv_unfiltered(p: inv.InvestmentPipeline, dataset: str) -> DataFrame:
+def _inv_unfiltered(p: inv.InvestmentDatasets, dataset: str) -> DataFrame:
     """The frame a dataset's rules are evaluated on (rows before dropping)."""
     if dataset in inv.BRONZE_RULES:
         return p[dataset]
@@ -137,8 +137,8 @@ INS_DOUBLES = {
 }
 
 
-def insurance(spark: SparkSession, sf_dir: str, params: Params | None = None) -> ins.InsurancePipeline:
-    return ins.InsurancePipeline(raw_tables(spark, sf_dir), params or _params())
+def insurance(spark: SparkSession, sf_dir: str, params: Params | None = None) -> ins.InsuranceDatasets:
+    return ins.InsuranceDatasets(raw_tables(spark, sf_dir), params or _params())
 
 
 def _ins_dataset(name: str):
@@ -323,6 +323,29 @@ SYNTH_ORACLE_DOUBLES = {"synth_fx_date_spine": [], "synth_exposure_grid": ["tota
                                                                            "probable_max_loss"]}
 
 
+def _refresh_metrics(domain: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tiergrain.plans.refresh import refresh_insurance, refresh_investment
+        fn = refresh_investment if domain == "investment" else refresh_insurance
+        r = fn(spark, sf_dir, _params())
+        rows = [(m["dataset"], m["rule"], m["mode"], m["evaluated"], m["failed"]) for m in r.metrics]
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
+    run.__name__ = f"refresh_dq_{domain}"
+    return run
+
+
+def _register_refresh() -> None:
+    inv_sets = {**inv.BRONZE_RULES, **inv.SILVER_RULES}
+    parts = [metrics_sql(rs, investment_sql.RULE_FRAMES[ds]) for ds, rs in inv_sets.items()]
+    frames = [investment_sql.RULE_FRAMES[ds] for ds in inv_sets]
+    register("refresh_dq_investment", _refresh_metrics("investment"), build("\nUNION ALL\n".join(parts), frames),
+             doc="rule metrics observed while a full investment refresh writes its tables")
+    parts = [metrics_sql(rs, insurance_sql.RULE_FRAMES[ds]) for ds, rs in insurance_sql.ORACLE_RULES.items()]
+    frames = [insurance_sql.RULE_FRAMES[ds] for ds in insurance_sql.ORACLE_RULES]
+    register("refresh_dq_insurance", _refresh_metrics("insurance"), build("\nUNION ALL\n".join(parts), frames),
+             doc="rule metrics observed while a full insurance refresh writes its tables")
+
+
 def _register_extensions() -> None:
     from tiergrain.plans import extensions_sql  # noqa: F401  (registers CTEs)
     for name, doubles in EXT_DOUBLES.items():
@@ -340,3 +363,4 @@ _register_investment()
 _register_insurance()
 _register_streams()
 _register_extensions()
+_register_refresh()

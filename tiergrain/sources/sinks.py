@@ -10,6 +10,7 @@ deleted in place. Old versions can be expired by retention outside the job.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -26,6 +27,9 @@ def write_table(df: DataFrame, path: str) -> str:
 
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" not in local and not os.path.isdir(local):
+        return []
     try:
         files = spark.read.parquet(base).inputFiles()   # driver-side listing, no job
     except Exception:
