@@ -166,6 +166,14 @@ def split(df: DataFrame, ruleset: RuleSet, column: str = "_violations") -> tuple
     return clean, bad
 
 
+def split_summary(df: DataFrame, ruleset: RuleSet) -> DataFrame:
+    """Q7 summary: rows per side (clean / quarantine) and violation list."""
+    tagged = tag_violations(df, ruleset)
+    side = F.when(F.size("_violations") == 0, F.lit("clean")).otherwise(F.lit("quarantine"))
+    return (tagged.groupBy(side.alias("side"), F.array_join("_violations", ", ").alias("violations"))
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
 def union_counts(frames: Sequence[DataFrame]) -> DataFrame:
     out = None
     for f in frames:

@@ -227,12 +227,11 @@ EXT_DOUBLES = {
 
 def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.operators.bars import daily_bars
-    from tiergrain.operators.quality import tag_violations
+    from tiergrain.operators.quality import split_summary
     from tiergrain.plans import extensions as ext
     from tiergrain.plans.extensions_sql import AUDIT_CHECKS, AUDIT_TABLES
     from tiergrain.sources.sinks import row_count_audit
     from tiergrain.sources.tables import Tables
-    from pyspark.sql import functions as F
     params = _params()
     if name == "bars_daily_quotes":
         return daily_bars(Tables(spark, sf_dir).events, "user_id", "ts", "value", "event_id")
@@ -266,10 +265,7 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "ext_cat_pml_by_territory":
         return ext.cat_pml_by_territory(s["silver_exposure"])
     if name == "split_policies":
-        tagged = tag_violations(s.unfiltered("silver_enriched_policies"), s.rules("silver_enriched_policies"))
-        side = F.when(F.size("_violations") == 0, F.lit("clean")).otherwise(F.lit("quarantine"))
-        return (tagged.groupBy(side.alias("side"), F.array_join("_violations", ", ").alias("violations"))
-                .agg(F.count(F.lit(1)).alias("row_count")))
+        return split_summary(s.unfiltered("silver_enriched_policies"), s.rules("silver_enriched_policies"))
     raise KeyError(name)
 
 

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tiergrain.params import Params
 from tiergrain.plans import investment as inv
+from tiergrain.operators.relational import rows_at_most
 from tiergrain.session import shared_dir
+from tiergrain.sources.sinks import write_bucketed
 from tiergrain.sources.bindings import raw_tables
 from tiergrain.streaming.refresh import StreamRun, append_stream, enrich_stream, read_enriched, stage_arrivals
 
@@ -104,14 +106,39 @@ class InvestmentStreams:
             self.runs[t] = [run]
         return self.sink(t)
 
+    def _dimension_readers(self) -> dict:
+        """Per dimension, how a micro-batch reads it during this refresh.
+
+        A dimension within the broadcast bound is re-read for every batch
+        (and broadcast). A larger one is written once per refresh, bucketed
+        on its key, so a batch's sort-merge join shuffles only the batch.
+        """
+        keys = {"silver_securities_master": "security_id", "silver_counterparties": "counterparty_id",
+                "silver_fund_structures": "fund_id"}
+        readers = {}
+        self._refresh_no = getattr(self, "_refresh_no", 0) + 1
+        for dim, key in keys.items():
+            df = self._silver_dim(dim)
+            if rows_at_most(df, self.params.broadcast_max_rows):
+                readers[dim] = (lambda d=dim: self._silver_dim(d))
+            else:
+                name = f"tg_{self.base.rsplit('-', 1)[-1]}_{dim}_{self._refresh_no}"
+                path = f"{self.base}/dims/{dim}/refresh={self._refresh_no}"
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                table = write_bucketed(df, name, key, n, path)
+                readers[dim] = (lambda t=table: t)
+        return readers
+
     def refresh_enriched(self) -> StreamRun:
         t = "silver_enriched_trades"
+        dims = self._dimension_readers()
 
         def enrich(batch: DataFrame) -> DataFrame:
-            # dimensions re-read per micro-batch: point-in-time enrichment
-            return inv.enriched_trades_unfiltered(batch, self._silver_dim("silver_securities_master"),
-                                                  self._silver_dim("silver_counterparties"),
-                                                  self._silver_dim("silver_fund_structures"), self.params)
+            # small dimensions re-read per micro-batch (point in time); large
+            # ones read from this refresh's bucketed copy
+            return inv.enriched_trades_unfiltered(batch, dims["silver_securities_master"](),
+                                                  dims["silver_counterparties"](),
+                                                  dims["silver_fund_structures"](), self.params)
 
         run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
                             self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=FILES_PER_TRIGGER)

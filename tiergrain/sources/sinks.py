@@ -26,6 +26,19 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """Write a dimension bucketed and sorted by its join key (a catalog table
+    stored at ``path`` in the shared folder) and return a reader of it.
+
+    A later sort-merge join on ``key`` takes the table's bucket layout as its
+    partitioning: only the other side is shuffled, however often the join
+    runs (e.g. once per streaming micro-batch).
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     local = base[len("file:"):] if base.startswith("file:") else base
     if "://" not in local and not os.path.isdir(local):
