@@ -29,14 +29,17 @@ def rows_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool = False) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool | None = None) -> DataFrame:
     """Broadcast ``df`` if its size is bounded, else return it unchanged.
 
-    ``known_small`` is for literal tables whose size is fixed by
-    construction; everything else is checked at run time.
+    ``known_small`` records a size decision already made (True: proven
+    small, broadcast; False: proven large, shuffle join); with None the
+    size is checked now.
     """
-    if known_small:
+    if known_small is True:
         return F.broadcast(df)
+    if known_small is False:
+        return df
     if max_rows and rows_at_most(df, max_rows):
         return F.broadcast(df)
     return df
@@ -44,7 +47,7 @@ def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool = Fal
 
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                 columns: Sequence[Column | str], max_rows: int | None = None,
-                known_small: bool = False) -> DataFrame:
+                known_small: bool | None = None) -> DataFrame:
     """Left outer equi-join adding ``columns`` of ``dim`` to every fact row.
 
     Facts without a match keep null attributes; a duplicated dimension key
@@ -64,7 +67,7 @@ def enrich_star(fact: DataFrame, dims: Sequence[tuple], max_rows: int | None = N
     out = fact
     for item in dims:
         dim, fk, dk, cols = item[:4]
-        small = item[4] if len(item) > 4 else False
+        small = item[4] if len(item) > 4 else None
         out = left_lookup(out, dim, fk, dk, cols, max_rows=max_rows, known_small=small)
     return out
 

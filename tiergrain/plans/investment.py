@@ -143,22 +143,26 @@ def silver_fund_structures(bronze_funds: DataFrame, observation=None) -> DataFra
 
 
 def enriched_trades_unfiltered(trades: DataFrame, securities: DataFrame, counterparties: DataFrame,
-                               funds: DataFrame, params: Params) -> DataFrame:
+                               funds: DataFrame, params: Params, small: dict[str, bool] | None = None) -> DataFrame:
     """J1 + P3-P5: trades with security, counterparty and fund attributes.
 
     The trade's own ``asset_class`` is replaced by the security's (P4).
+    ``small`` carries size decisions already made per dimension (e.g. once
+    per streaming refresh); dimensions not in it are checked here.
     """
+    small = small or {}
     t = trades.select(
         "trade_id", "order_id", "security_id", "counterparty_id", "fund_id", "trade_date", "trade_type",
         "quantity", "price", "currency", (F.col("quantity") * F.col("price")).alias("notional_value"),
         "broker_id", "execution_venue", "settlement_status")
     return enrich_star(t, [
         (securities, "security_id", "security_id",
-         ["security_name", "asset_class", "sector", "isin"]),
+         ["security_name", "asset_class", "sector", "isin"], small.get("silver_securities_master")),
         (counterparties, "counterparty_id", "counterparty_id",
-         ["counterparty_name", "counterparty_type", "credit_rating"]),
+         ["counterparty_name", "counterparty_type", "credit_rating"], small.get("silver_counterparties")),
         (funds, "fund_id", "fund_id",
-         ["fund_name", F.col("strategy").alias("fund_strategy"), F.col("base_currency").alias("fund_currency")]),
+         ["fund_name", F.col("strategy").alias("fund_strategy"), F.col("base_currency").alias("fund_currency")],
+         small.get("silver_fund_structures")),
     ], max_rows=params.broadcast_max_rows)
 
 

@@ -112,14 +112,16 @@ class InvestmentStreams:
         A dimension within the broadcast bound is re-read for every batch
         (and broadcast). A larger one is written once per refresh, bucketed
         on its key, so a batch's sort-merge join shuffles only the batch.
+        Returns (readers, size decisions).
         """
         keys = {"silver_securities_master": "security_id", "silver_counterparties": "counterparty_id",
                 "silver_fund_structures": "fund_id"}
-        readers = {}
+        readers, small = {}, {}
         self._refresh_no = getattr(self, "_refresh_no", 0) + 1
         for dim, key in keys.items():
             df = self._silver_dim(dim)
-            if rows_at_most(df, self.params.broadcast_max_rows):
+            small[dim] = rows_at_most(df, self.params.broadcast_max_rows)
+            if small[dim]:
                 readers[dim] = (lambda d=dim: self._silver_dim(d))
             else:
                 name = f"tg_{self.base.rsplit('-', 1)[-1]}_{dim}_{self._refresh_no}"
@@ -127,18 +129,19 @@ class InvestmentStreams:
                 n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                 table = write_bucketed(df, name, key, n, path)
                 readers[dim] = (lambda t=table: t)
-        return readers
+        return readers, small
 
     def refresh_enriched(self) -> StreamRun:
         t = "silver_enriched_trades"
-        dims = self._dimension_readers()
+        dims, small = self._dimension_readers()
 
         def enrich(batch: DataFrame) -> DataFrame:
             # small dimensions re-read per micro-batch (point in time); large
-            # ones read from this refresh's bucketed copy
+            # ones read from this refresh's bucketed copy; sizes were checked
+            # once for the refresh
             return inv.enriched_trades_unfiltered(batch, dims["silver_securities_master"](),
                                                   dims["silver_counterparties"](),
-                                                  dims["silver_fund_structures"](), self.params)
+                                                  dims["silver_fund_structures"](), self.params, small)
 
         run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
                             self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=FILES_PER_TRIGGER)
