@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.functions.exprs import stabilize_doubles
 from tiergrain.operators.quality import DROP, WARN, RuleSet, apply_rules
 from tiergrain.operators.relational import enrich_star
 from tiergrain.params import Params
@@ -299,4 +298,4 @@ DATASETS = tuple(BRONZE_SOURCES) + (
     "gold_portfolio_summary", "gold_daily_trading_activity", "gold_counterparty_exposure",
     "gold_market_performance", "gold_settlement_status")
 
-__all__ = ["InvestmentDatasets", "DATASETS", "BRONZE_RULES", "SILVER_RULES", "stabilize_doubles"]
+__all__ = ["InvestmentDatasets", "DATASETS", "BRONZE_RULES", "SILVER_RULES"]
