@@ -50,7 +50,7 @@ def test_reproducible_and_partition_independent(spark):
 
 def test_exposure_grid_pml_share(spark):
     t = Tables(spark, SF01)
-    g = syn.exposure_grid(t.region, t.orders)
+    g = syn.exposure_grid(t.orders, t.customer, t.nation, t.region)
     r = g.agg(F.min(F.col("probable_max_loss") / F.col("total_insured_value")).alias("lo"),
               F.max(F.col("probable_max_loss") / F.col("total_insured_value")).alias("hi")).first()
     assert 0.05 <= r.lo and r.hi <= 0.30

@@ -188,8 +188,9 @@ SELECT concat_ws('-', 'EXP', r_name, substring(peril, 1, 4), strftime(q, '%Y%m')
        (50000000.0e0 + (CAST({_m(101)} AS DOUBLE) / {float(MOD)!r}) * 1950000000.0e0)
          * (0.05e0 + (CAST({_m(202)} AS DOUBLE) / {float(MOD)!r}) * 0.25e0) AS probable_max_loss,
        'USD' AS currency, {_src} AS model_source
-FROM (SELECT r.r_regionkey, r.r_name, p.pi, p.peril, CAST(qs.q AS DATE) AS q
-      FROM region r, (VALUES {_perils}) p(pi, peril),
-           (SELECT unnest(generate_series(q0, q1, INTERVAL 3 MONTH)) AS q
-            FROM (SELECT CAST(date_trunc('quarter', min(o_orderdate)) AS DATE) AS q0,
-                         CAST(date_trunc('quarter', max(o_orderdate)) AS DATE) AS q1 FROM orders) b) qs) g""", [])
+FROM (SELECT c.r_regionkey, c.r_name, p.pi, p.peril, c.q
+      FROM (SELECT r_regionkey, r_name, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+                 JOIN region ON n_regionkey = r_regionkey
+            GROUP BY 1, 2, 3) c,
+           (VALUES {_perils}) p(pi, peril)) g""", [])

@@ -307,7 +307,7 @@ def _synth(name: str):
         elif name == "synth_fx_date_spine":
             out = syn.fx_date_spine(raw_tables(spark, sf_dir)["raw_fx_rates"])
         elif name == "synth_exposure_grid":
-            out = syn.exposure_grid(t.region, t.orders)
+            out = syn.exposure_grid(t.orders, t.customer, t.nation, t.region)
         else:
             raise KeyError(name)
         return stabilize_doubles(out)

@@ -133,17 +133,22 @@ def fx_date_spine(fx: DataFrame) -> DataFrame:
     return weekday_spine(pairs, d0, d1, "rate_date")
 
 
-def exposure_grid(region: DataFrame, orders: DataFrame) -> DataFrame:
+def exposure_grid(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Territory x CAT peril x quarter, with TIV and PML = 5-30 % of TIV.
 
-    Values use ``mix`` (integer-only hashing) so SQL can reproduce them.
+    The (territory, quarter) cells are those in which orders were placed (an
+    aggregate over orders, so the job scales with them); each cell is
+    expanded to the CAT perils with a generator, not a join. Values use
+    ``mix`` (integer-only hashing) so SQL can reproduce them.
     """
-    q0 = orders.agg(F.date_trunc("quarter", F.min("o_orderdate")).cast("date")).scalar()
-    q1 = orders.agg(F.date_trunc("quarter", F.max("o_orderdate")).cast("date")).scalar()
+    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    cells = (orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+             .groupBy("r_regionkey", "r_name", F.date_trunc("quarter", "o_orderdate").cast("date").alias("as_of_date"))
+             .agg(F.count(F.lit(1)).alias("orders")))
     perils = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(p).alias("peril")) for i, p in enumerate(CAT_PERILS)])
-    g = (region.select("r_regionkey", "r_name", F.explode(perils).alias("p"))
-         .select("r_regionkey", "r_name", "p.pi", "p.peril",
-                 F.explode(F.sequence(q0, q1, F.expr("INTERVAL 3 MONTHS"))).alias("as_of_date")))
+    g = (cells.select("r_regionkey", "r_name", "as_of_date", F.explode(perils).alias("p"))
+         .select("r_regionkey", "r_name", "p.pi", "p.peril", "as_of_date"))
     qd = F.datediff(F.col("as_of_date"), F.lit("1970-01-01").cast("date"))
     u1 = mix(F.col("r_regionkey"), F.col("pi"), qd, seed=101).cast("double") / F.lit(float(MOD))
     u2 = mix(F.col("r_regionkey"), F.col("pi"), qd, seed=202).cast("double") / F.lit(float(MOD))
