@@ -21,11 +21,15 @@ from tiergrain.sources.bindings import raw_tables
 from tiergrain.streaming.refresh import StreamRun, append_stream, enrich_stream, read_enriched, stage_arrivals
 
 FILES_PER_ARRIVAL = 4
-FILES_PER_TRIGGER = 2   # several micro-batches per refresh
+FILES_PER_TRIGGER = 2   # several micro-batches per refresh in the registered keys
 
 
 class InvestmentStreams:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, trade_arrivals: int = 2):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, trade_arrivals: int = 2,
+                 files_per_trigger: int | None = FILES_PER_TRIGGER):
+        """``files_per_trigger`` bounds a micro-batch (None: everything that
+        has arrived in one batch per refresh)."""
+        self.files_per_trigger = files_per_trigger
         self.spark = spark
         self.params = params
         self.raw = raw_tables(spark, sf_dir)
@@ -61,7 +65,7 @@ class InvestmentStreams:
     def refresh_bronze(self, table: str) -> StreamRun:
         raw = inv.BRONZE_SOURCES[table]
         run = append_stream(self.spark, self.raw_dir(raw), self.schema(raw), self.sink(table), self.ckpt(table),
-                            ruleset=inv.BRONZE_RULES[table], max_files=FILES_PER_TRIGGER)
+                            ruleset=inv.BRONZE_RULES[table], max_files=self.files_per_trigger)
         self.runs.setdefault(table, []).append(run)
         return run
 
@@ -92,7 +96,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_market_data")
             run = append_stream(self.spark, src, self.schema("raw_market_data"), self.sink(t), self.ckpt(t),
                                 transform=inv.market_data_unfiltered, ruleset=inv.SILVER_RULES[t],
-                                max_files=FILES_PER_TRIGGER)
+                                max_files=self.files_per_trigger)
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -102,7 +106,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_fx_rates")
             run = append_stream(self.spark, src, self.schema("raw_fx_rates"), self.sink(t), self.ckpt(t),
                                 transform=lambda d: d.select(*inv.FX_COLUMNS), ruleset=inv.SILVER_RULES[t],
-                                max_files=FILES_PER_TRIGGER)
+                                max_files=self.files_per_trigger)
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -144,7 +148,7 @@ class InvestmentStreams:
                                                   dims["silver_fund_structures"](), self.params, small)
 
         run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
-                            self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=FILES_PER_TRIGGER)
+                            self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=self.files_per_trigger)
         self.runs.setdefault(t, []).append(run)
         return run
 
