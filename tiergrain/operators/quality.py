@@ -6,10 +6,12 @@ expression is TRUE: NULL counts as a violation (``coalesce(expr, false)``).
 * ``expect``           warn: keep every row, count violations
 * ``expect_or_drop``   drop: keep rows passing every rule of the set
 * ``violation_counts`` one aggregation pass -> (dataset, rule, mode, evaluated, failed)
-* ``with_metrics``     the same counts collected as a side effect of the
-                       action that writes the dataset (``DataFrame.observe``)
+* ``observation=``     the same counts collected as a side effect of the
+                       action that writes the dataset (``DataFrame.observe``),
+                       read with ``observed_counts``
 * ``quarantine``       failing rows only, with a joined reason list
-* ``tag_violations`` / ``split``   lossless clean / quarantine split of one frame
+* ``tag_violations`` / ``split`` / ``split_summary``   lossless clean /
+  quarantine split of one frame
 
 All of it is expression-level, so it runs inside whole-stage codegen on the
 executors and Catalyst can still push the resulting filter into the scan.
