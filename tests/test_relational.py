@@ -2,8 +2,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tiergrain.operators.compliance import breach_flags, rule_report, threshold_rule
-from tiergrain.operators.relational import (left_lookup, pct_of, rows_at_most, scalar_or_default,
-                                            sized_broadcast, top1_per_group)
+from tiergrain.operators.relational import (fits_broadcast, left_lookup, pct_of, rows_at_most,
+                                            scalar_or_default, sized_broadcast, top1_per_group)
 
 
 def test_left_lookup_keeps_unmatched_and_repeats_duplicates(spark):
@@ -19,6 +19,9 @@ def test_sized_broadcast_checks_rows(spark):
     assert rows_at_most(df, 100) and not rows_at_most(df, 99)
     hinted = sized_broadcast(df, 10)
     assert hinted is df  # above the bound: left to the planner
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits_broadcast(wide, 100) and not fits_broadcast(wide, 100, max_bytes=50_000)
+    assert fits_broadcast(spark.range(0), 10)
 
 
 def test_scalar_or_default(spark):

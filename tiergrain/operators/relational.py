@@ -2,9 +2,10 @@
 
 Scale notes
 -----------
-* A dimension is broadcast only behind a size check (``rows_at_most``): a
-  ``limit(n + 1).count()`` job that stops reading once it has seen ``n + 1``
-  rows, so it is cheap for both tiny and huge dimensions. Above the bound
+* A dimension is broadcast only behind a size check (``fits_broadcast``): one
+  job over ``limit(n + 1)`` that counts the rows and sums their bytes, and
+  stops reading once it has seen ``n + 1`` rows, so it is cheap for both tiny
+  and huge dimensions. Above the bound
   the join is a shuffle (sort-merge) join, and AQE may still switch it to a
   broadcast from measured shuffle sizes or split skewed fact partitions.
 * Scalar aggregates (a total, an average rate) are scalar subqueries
@@ -22,6 +23,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Upper bound on the bytes of a side the library broadcasts (measured, not
+# estimated: string lengths plus fixed widths of the rows themselves).
+BROADCAST_MAX_BYTES = 64 << 20
+
+_FIXED = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4,
+          T.FloatType: 4, T.DateType: 4, T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1, T.DecimalType: 16}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED.get(type(f.dataType), 16)))
+    out = F.lit(8 * len(parts))          # per-field slot
+    for p in parts:
+        out = out + p
+    return out
 
 
 def rows_at_most(df: DataFrame, n: int) -> bool:
@@ -29,6 +52,13 @@ def rows_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows holding at most
+    ``max_bytes``: one job over at most ``max_rows + 1`` rows."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return r.n <= max_rows and (r.b or 0) <= max_bytes
+
+
 def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool | None = None) -> DataFrame:
     """Broadcast ``df`` if its size is bounded, else return it unchanged.
 
@@ -40,7 +70,7 @@ def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool | Non
         return F.broadcast(df)
     if known_small is False:
         return df
-    if max_rows and rows_at_most(df, max_rows):
+    if max_rows and fits_broadcast(df, max_rows):
         return F.broadcast(df)
     return df
 

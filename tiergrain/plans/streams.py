@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tiergrain.params import Params
 from tiergrain.plans import investment as inv
-from tiergrain.operators.relational import rows_at_most
+from tiergrain.operators.relational import fits_broadcast
 from tiergrain.session import shared_dir
 from tiergrain.sources.sinks import write_bucketed
 from tiergrain.sources.bindings import raw_tables
@@ -124,7 +124,7 @@ class InvestmentStreams:
         self._refresh_no = getattr(self, "_refresh_no", 0) + 1
         for dim, key in keys.items():
             df = self._silver_dim(dim)
-            small[dim] = rows_at_most(df, self.params.broadcast_max_rows)
+            small[dim] = fits_broadcast(df, self.params.broadcast_max_rows)
             if small[dim]:
                 readers[dim] = (lambda d=dim: self._silver_dim(d))
             else:
