@@ -63,3 +63,23 @@ def test_future_inception_dropped_but_not_quarantined(spark):
     kept = [r.policy_id for r in ins.silver_enriched_policies(pol, lobs, brokers, re, TEST_PARAMS).collect()]
     assert kept == ["P2"]                      # inception exactly at as_of passes
     assert ins.quarantine_policies(pol, lobs, TEST_PARAMS).count() == 0
+
+
+def test_asof_fx_edges(spark):
+    from tiergrain.plans.extensions import base_currency_notional
+    d = dt.date
+    fx = spark.createDataFrame(
+        [(d(2001, 1, 2), "EUR", "USD", 1.10, "E"), (d(2001, 1, 5), "EUR", "USD", 1.20, "E"),
+         (d(2001, 1, 3), "USD", "JPY", 100.0, "E")],
+        "rate_date date, from_currency string, to_currency string, rate double, source string")
+    trades = spark.createDataFrame(
+        [("T0", dt.datetime(2001, 1, 1), "EUR", 10.0), ("T1", dt.datetime(2001, 1, 3), "EUR", 10.0),
+         ("T2", dt.datetime(2001, 1, 9), "EUR", 10.0), ("T3", dt.datetime(2001, 1, 4), "JPY", 1000.0),
+         ("T4", dt.datetime(2001, 1, 4), "USD", 7.0), ("T5", dt.datetime(2001, 1, 4), None, 1.0)],
+        "trade_id string, trade_date timestamp_ntz, currency string, notional_value double")
+    got = {r.trade_id: r.fx_rate for r in base_currency_notional(trades, fx, TEST_PARAMS).collect()}
+    assert got["T0"] is None            # before the first quote
+    assert got["T1"] == 1.10            # carried forward over a gap
+    assert got["T2"] == 1.20            # after the last quote: the last rate
+    assert got["T3"] == 1 / 100.0       # only the reciprocal pair is quoted
+    assert got["T4"] == 1.0 and got["T5"] is None

@@ -57,16 +57,16 @@ def daily_rates(fx: DataFrame, base: str) -> DataFrame:
     return both.groupBy("ccy", "rate_date").agg(F.avg("direct").alias("direct"), F.avg("recip").alias("recip"))
 
 
-def asof_rate_table(fx: DataFrame, last_day, base: str) -> DataFrame:
+def asof_rate_table(fx: DataFrame, base: str) -> DataFrame:
     """Dense (ccy, day) table: the latest rate on or before each calendar day.
 
-    The grid spans the first quote to ``last_day`` for each quoted currency,
-    so its size is (#currencies x #days), independent of the fact table; the
-    carry-forward window runs over this small table only.
+    The grid spans each currency's first to last quote, so its size is
+    (#currencies x #days), independent of the fact table; the carry-forward
+    window runs over this small table only. ``last_quote`` is the grid's end.
     """
     daily = daily_rates(fx, base)
-    span = daily.groupBy("ccy").agg(F.min("rate_date").alias("d0"), F.max("rate_date").alias("d1"))
-    grid = span.select("ccy", F.explode(F.sequence("d0", F.greatest(F.col("d1"), last_day))).alias("day"))
+    span = daily.groupBy("ccy").agg(F.min("rate_date").alias("d0"), F.max("rate_date").alias("last_quote"))
+    grid = span.select("ccy", F.explode(F.sequence("d0", "last_quote")).alias("day"))
     g = grid.join(daily.withColumnRenamed("rate_date", "day"), ["ccy", "day"], "left")
     w = Window.partitionBy("ccy").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return g.select("ccy", "day",
@@ -77,15 +77,20 @@ def asof_rate_table(fx: DataFrame, last_day, base: str) -> DataFrame:
 def base_currency_notional(enriched: DataFrame, fx: DataFrame, params: Params) -> DataFrame:
     """Notional in the base currency at the latest rate on or before the trade day.
 
-    An as-of join expressed as an equi-join on (currency, day) against the
-    dense rate table; base-currency trades convert at 1.
+    An as-of join expressed as equi-joins: a trade's lookup day is its day
+    capped at its currency's last quote (a one-row-per-currency lookup), and
+    the rate comes from the dense table on (currency, lookup day). No pass
+    over the trades beyond the join itself; base-currency trades convert at 1.
     """
     base = params.base_currency
-    day = F.to_date("trade_date")
-    last_day = enriched.agg(F.max(day)).scalar()
-    rates = sized_broadcast(asof_rate_table(fx, last_day, base), params.broadcast_max_rows)
-    t = enriched.select("trade_id", "trade_date", "currency", "notional_value", day.alias("day"))
-    j = t.join(rates, (t["currency"] == rates["ccy"]) & (t["day"] == rates["day"]), "left")
+    daily = daily_rates(fx, base)
+    last = sized_broadcast(daily.groupBy(F.col("ccy").alias("_ccy")).agg(F.max("rate_date").alias("_last")),
+                           params.broadcast_max_rows)
+    rates = sized_broadcast(asof_rate_table(fx, base), params.broadcast_max_rows)
+    t = enriched.select("trade_id", "trade_date", "currency", "notional_value", F.to_date("trade_date").alias("_day"))
+    t = (t.join(last, t["currency"] == last["_ccy"], "left")
+          .withColumn("_lookup", F.least(F.col("_day"), F.col("_last"))))
+    j = t.join(rates, (t["currency"] == rates["ccy"]) & (t["_lookup"] == rates["day"]), "left")
     rate = F.when(F.col("currency") == base, F.lit(1.0)).otherwise(F.col("fx_rate"))
     return j.select("trade_id", "trade_date", "currency", "notional_value", rate.alias("fx_rate"),
                     (F.col("notional_value") * rate).alias("notional_base"))
