@@ -21,8 +21,16 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.simhash import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_simhash": op6_simhash,
 }
 
 ORACLE: dict[str, str] = {}
