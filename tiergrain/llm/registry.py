@@ -10,6 +10,12 @@ from tiergrain.llm.common import table
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.html_text import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,6 +35,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_simhash": op6_simhash,
 }
