@@ -27,6 +27,20 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.pii import KINDS, personal_data, span_text
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        no = KINDS.index(kind)
+        return F.size(F.filter("base", lambda x: x["no"] == no)).cast("long").alias(f"n_{kind}")
+
+    n = [count(k) for k in KINDS[:-1]]
+    return found.select("doc_id", *n, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+                        span_text(F.sort_array(F.concat("base", "added"))).alias("spans"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.llm.simhash import hex_fingerprint, near_duplicates
 
@@ -37,6 +51,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
 }
 
