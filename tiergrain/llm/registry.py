@@ -48,11 +48,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.weighted_fingerprints import fingerprint_documents, signature_text
+
+    found = fingerprint_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", signature_text(F.col("samples")).alias("fingerprint"),
+                        signature_text(F.col("edited_samples")).alias("edited_fingerprint"),
+                        "near_edited", "near_next")
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}
