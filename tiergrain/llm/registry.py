@@ -48,6 +48,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.license_scan import scan_licences
+
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.llm.weighted_fingerprints import fingerprint_documents, signature_text
 
@@ -62,6 +71,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
+    "op7_licences": op7_licences,
     "op9_fingerprints": op9_fingerprints,
 }
 
