@@ -187,7 +187,7 @@ def _pattern_totals(docs: DataFrame, patterns: DataFrame, id_col: str, text_col:
     bits = F.split(F.lit(",".join(map(str, field))), ",").cast("array<bigint>")      # folded to one literal
     hit = F.getbit(F.element_at(bits, (F.floor(slot / 64) + 1).cast("int")), (slot % 64).cast("int")) == 1
     counted = pairs.where(hit).groupBy("pattern").agg(F.count("*").alias("total"))
-    return counted.join(patterns.select("pattern"), "pattern", "left_semi")
+    return counted.join(patterns.select("pattern"), "pattern")      # a semi-join would be pushed below the count
 
 
 def bootstrap(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text",
