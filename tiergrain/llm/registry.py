@@ -57,6 +57,13 @@ def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.substring_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.llm.weighted_fingerprints import fingerprint_documents, signature_text
 
@@ -72,6 +79,7 @@ QUERIES = {
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_licences": op7_licences,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
 }
 
