@@ -16,6 +16,21 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.decontaminate import find_overlaps
+
+    return find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tiergrain.llm.token_counts import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(MULTI_RANKS),
+                        public_tokenizers.PATTERN)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,14 +88,23 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "near_edited", "near_next")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.toxicity import grade_documents
+
+    return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_token_counts": op3_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_pii": op5_pii,
     "op6_simhash": op6_simhash,
     "op7_licences": op7_licences,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
