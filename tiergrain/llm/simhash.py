@@ -72,15 +72,16 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of every row."""
+    """``doc_id``, ``key`` (hash of the text) and ``fp`` (the 64 bits as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype="<u8")
+            fps = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype="<u8")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fps.view("<i8"), pa.int64())], names=["doc_id", "fp"])
+                [b.column(0), b.column(1), pa.array(fps.view("<i8"), pa.int64())], names=["doc_id", "key", "fp"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    rows = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("key"), "text")
+    return rows.mapInArrow(run, "doc_id long, key long, fp long")
 
 
 # Syndrome masks of the Hamming code on bits 0..30 of a half: bit b is position b + 1.
@@ -288,16 +289,20 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
-    """``doc_id``, ``fp`` (signed long) and ``component_id`` of every input row."""
+    """``doc_id``, ``key``, ``fp`` (signed long), ``component_id`` and ``root`` of every input row.
+
+    ``root`` names the group, also where ids are missing or repeated.
+    """
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
     firsts = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     linked = components(link_fingerprints(firsts.select("fp"), max_bits, bucket))
     members = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
     named = members.join(firsts, members["node"] == firsts["fp"]).select("node", "root", "first")
     least = named.groupBy("root").agg(F.min("first").alias("least"))
-    group = named.join(least, "root").select(F.col("node").alias("fp"), "least")
-    ids = firsts.join(group, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    group = named.join(least, "root").select(F.col("node").alias("fp"), "least", "root")
+    ids = firsts.join(group, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"),
+                                                  F.coalesce("root", "fp").alias("root"))
+    return fps.join(ids, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
 def hex_fingerprint(fp: Column) -> Column:
