@@ -2,26 +2,26 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tiergrain.operators.compliance import breach_flags, rule_report, threshold_rule
-from tiergrain.operators.relational import (fits_broadcast, left_lookup, pct_of, rows_at_most,
-                                            scalar_or_default, sized_broadcast, top1_per_group)
+from tiergrain.operators.relational import left_lookup, pct_of, scalar_or_default, scan_bytes, top1_per_group
 
 
 def test_left_lookup_keeps_unmatched_and_repeats_duplicates(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, k string")
     dim = spark.createDataFrame([("a", "A1"), ("a", "A2"), ("b", "B")], "k string, name string")
-    out = left_lookup(fact, dim, "k", "k", ["name"], max_rows=10)
+    out = left_lookup(fact, dim, "k", "k", ["name"])
     got = sorted((r.id, r.name) for r in out.collect())
     assert got == [(1, "A1"), (1, "A2"), (2, "B"), (3, None)]
 
 
-def test_sized_broadcast_checks_rows(spark):
-    df = spark.range(100)
-    assert rows_at_most(df, 100) and not rows_at_most(df, 99)
-    hinted = sized_broadcast(df, 10)
-    assert hinted is df  # above the bound: left to the planner
-    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
-    assert fits_broadcast(wide, 100) and not fits_broadcast(wide, 100, max_bytes=50_000)
-    assert fits_broadcast(spark.range(0), 10)
+def test_scan_bytes_follows_the_files_and_runs_no_job(spark):
+    from conftest import SF01
+    small, large = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("nation", "lineitem"))
+    spark.sparkContext.setJobGroup("scan-bytes", "")
+    try:
+        assert 0 < scan_bytes(small) < 100_000 < scan_bytes(large)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("scan-bytes")
+    finally:
+        spark.sparkContext.setJobGroup("tests", "")
 
 
 def test_scalar_or_default(spark):

@@ -1,6 +1,6 @@
 """The large-data paths give the same rows as the small-data paths.
 
-* broadcast disabled everywhere (size bound 0, static and AQE thresholds off):
+* broadcast disabled everywhere (static and AQE thresholds off):
   every join is a sort-merge join;
 * the plans contain no cartesian / nested-loop join.
 """
@@ -35,7 +35,7 @@ def test_shuffle_join_path_equals_broadcast_path(spark, cls, name):
     try:
         for k, v in CONFS.items():
             spark.conf.set(k, v)
-        big = _rows(cls(raw_tables(spark, SF01), TEST_PARAMS.replace(broadcast_max_rows=0))[name])
+        big = _rows(cls(raw_tables(spark, SF01), TEST_PARAMS)[name])
         got = big.collect()
         plan = big._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -63,7 +63,7 @@ def test_bucketed_dimension_is_not_shuffled(spark):
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         table = write_bucketed(dim, "tg_test_bucketed_dim", "k", n, tempfile.mkdtemp(prefix="tg-dim-") + "/d")
         fact = spark.range(5000).select(F.concat(F.lit("K"), (F.col("id") % 1200).cast("string")).alias("k"))
-        out = left_lookup(fact, table, "k", "k", ["v"], max_rows=0)
+        out = left_lookup(fact, table, "k", "k", ["v"])
         rows = out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     finally:
@@ -83,7 +83,7 @@ def test_streaming_star_join_with_bucketed_dimensions(spark):
     try:
         for k, v in CONFS.items():
             spark.conf.set(k, v)
-        st = InvestmentStreams(spark, SF01, TEST_PARAMS.replace(broadcast_max_rows=0))
+        st = InvestmentStreams(spark, SF01, TEST_PARAMS.replace(stream_dimension_bytes=0))
         got = _rows(st.table("silver_enriched_trades")).collect()
     finally:
         for k, v in old.items():

@@ -76,3 +76,21 @@ def test_row_count_audit(spark):
     out = {(r.table_name, r.check): (r.row_count, r.matching) for r in
            row_count_audit({"a": a, "b": spark.range(4)}, {"a": {"null_x": "x IS NULL"}}).collect()}
     assert out == {("a", "null_x"): (3, 1), ("b", None): (4, None)}
+
+
+def test_metrics_count_every_batch_and_survive_a_restart(spark):
+    import tempfile
+
+    from tiergrain.streaming.refresh import batch_metrics
+    base = tempfile.mkdtemp(prefix="tg-many-")
+    spark.range(130).selectExpr("CAST(id AS int) AS id").repartitionByRange(130, "id").write.parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    rules = RuleSet.of("many", "warn", {"small": "id < 100"})
+    run = append_stream(spark, f"{base}/in", schema, f"{base}/out", f"{base}/ckpt", ruleset=rules, max_files=1)
+    n = spark.read.parquet(f"{base}/out").count()
+    assert n == 130 and run.batches > 100
+    want = {"_evaluated": 130, "small": 30}
+    assert {k: run.metrics[k] for k in want} == want
+    assert {k: v for k, v in batch_metrics(spark, f"{base}/ckpt").items() if k in want} == want
+    again = append_stream(spark, f"{base}/in", schema, f"{base}/out", f"{base}/ckpt", ruleset=rules, max_files=1)
+    assert again.batches == 0 and batch_metrics(spark, f"{base}/ckpt")["_evaluated"] == 130

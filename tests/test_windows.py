@@ -29,3 +29,50 @@ def test_next_in_order(spark):
                                "k string, r int, v int")
     got = {(r.k, r.r): r.next_v for r in next_in_order(df, ["k"], "r", ["v"]).collect()}
     assert got == {("A", 1): 20, ("A", 2): None, ("B", 1): None, (None, 1): 2, (None, 2): None}
+
+
+def test_running_sums_with_nulls_on_the_hot_path(spark):
+    df = spark.range(400).select(F.lit("H").alias("k"), F.col("id").alias("o"),
+                                 F.when((F.col("id") > 20) & (F.col("id") < 60), F.col("id").cast("double")).alias("x"))
+    plain = {r.o: r.run for r in ordered_within(df, ["k"], ["o"], sums={"run": "x"}, hot_rows=None).collect()}
+    hot = {r.o: r.run for r in ordered_within(df, ["k"], ["o"], sums={"run": "x"}, hot_rows=50, slices=6).collect()}
+    assert hot == plain and plain[0] is None and plain[399] is not None
+
+
+def test_template_key_is_never_cut(spark):
+    from tiergrain.operators.synth import template_key
+    df = spark.createDataFrame([(5,), (12345671,), (12345672,)], "n long")
+    assert [r[0] for r in df.select(template_key("T-", F.col("n"), 7)).collect()] == [
+        "T-0000005", "T-12345671", "T-12345672"]
+
+
+def test_claim_versions_skip_dropped_ranks(spark):
+    from tiergrain.params import TEST_PARAMS
+    from tiergrain.plans.extensions import claim_versions
+    rows = [("A", 1, "2001-01-01"), ("A", 3, "2001-03-01"), ("B", 2, "2001-02-01")]
+    df = spark.createDataFrame(rows, "claim_id string, cumulative_paid_rank int, loss_date string").selectExpr(
+        "*", "1.0d AS incurred_amount", "'OPEN' AS status")
+    got = {(r.claim_id, r.cumulative_paid_rank): (r.valid_to, r.is_current)
+           for r in claim_versions(df, TEST_PARAMS).collect()}
+    assert got == {("A", 1): ("2001-03-01", False), ("A", 3): (None, True), ("B", 2): (None, True)}
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tiergrain import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+    class Cluster:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Cluster())

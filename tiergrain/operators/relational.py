@@ -2,12 +2,10 @@
 
 Scale notes
 -----------
-* A dimension is broadcast only behind a size check (``fits_broadcast``): one
-  job over ``limit(n + 1)`` that counts the rows and sums their bytes, and
-  stops reading once it has seen ``n + 1`` rows, so it is cheap for both tiny
-  and huge dimensions. Above the bound
-  the join is a shuffle (sort-merge) join, and AQE may still switch it to a
-  broadcast from measured shuffle sizes or split skewed fact partitions.
+* No join side is hinted and no size is measured while a frame is built. The
+  planner broadcasts scans below ``spark.sql.autoBroadcastJoinThreshold`` from
+  their file sizes, and AQE switches a planned sort-merge join to a broadcast, or
+  splits its skewed partitions, from the shuffle sizes it measures.
 * Scalar aggregates (a total, an average rate) are scalar subqueries
   (``DataFrame.scalar()``): computed once by their own partial+final
   aggregate and inlined as a value. No ``collect`` in the middle of a
@@ -23,61 +21,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Upper bound on the bytes of a side the library broadcasts (measured, not
-# estimated: string lengths plus fixed widths of the rows themselves).
-BROADCAST_MAX_BYTES = 64 << 20
-
-_FIXED = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4,
-          T.FloatType: 4, T.DateType: 4, T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1, T.DecimalType: 16}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        else:
-            parts.append(F.lit(_FIXED.get(type(f.dataType), 16)))
-    out = F.lit(8 * len(parts))          # per-field slot
-    for p in parts:
-        out = out + p
-    return out
-
-
-def rows_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows (reads at most ``n + 1``)."""
-    return df.limit(n + 1).count() <= n
-
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows holding at most
-    ``max_bytes``: one job over at most ``max_rows + 1`` rows."""
-    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-    return r.n <= max_rows and (r.b or 0) <= max_bytes
-
-
-def sized_broadcast(df: DataFrame, max_rows: int | None, known_small: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` if its size is bounded, else return it unchanged.
-
-    ``known_small`` records a size decision already made (True: proven
-    small, broadcast; False: proven large, shuffle join); with None the
-    size is checked now.
-    """
-    if known_small is True:
-        return F.broadcast(df)
-    if known_small is False:
-        return df
-    if max_rows and fits_broadcast(df, max_rows):
-        return F.broadcast(df)
-    return df
+def scan_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for scans); runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                columns: Sequence[Column | str], max_rows: int | None = None,
-                known_small: bool | None = None) -> DataFrame:
+                columns: Sequence[Column | str]) -> DataFrame:
     """Left outer equi-join adding ``columns`` of ``dim`` to every fact row.
 
     Facts without a match keep null attributes; a duplicated dimension key
@@ -85,20 +36,17 @@ def left_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     k = f"__{dim_key}_k"
     d = dim.select(F.col(dim_key).alias(k), *columns)
-    d = sized_broadcast(d, max_rows, known_small)
     return fact.join(d, fact[fact_key] == d[k], "left").drop(k)
 
 
-def enrich_star(fact: DataFrame, dims: Sequence[tuple], max_rows: int | None = None) -> DataFrame:
+def enrich_star(fact: DataFrame, dims: Sequence[tuple]) -> DataFrame:
     """Star enrichment: a chain of left lookups.
 
-    ``dims`` items are ``(dim_df, fact_key, dim_key, columns[, known_small])``.
+    ``dims`` items are ``(dim_df, fact_key, dim_key, columns)``.
     """
     out = fact
-    for item in dims:
-        dim, fk, dk, cols = item[:4]
-        small = item[4] if len(item) > 4 else None
-        out = left_lookup(out, dim, fk, dk, cols, max_rows=max_rows, known_small=small)
+    for dim, fact_key, dim_key, columns in dims:
+        out = left_lookup(out, dim, fact_key, dim_key, columns)
     return out
 
 

@@ -78,8 +78,9 @@ def weighted_choice(key: Column, seed: int, values: Sequence, weights: Sequence[
 
 
 def template_key(prefix: str, n: Column, width: int) -> Column:
-    """``prefix`` + zero-padded number."""
-    return F.concat(F.lit(prefix), F.lpad(n.cast("string"), width, "0"))
+    """``prefix`` + number, zero-padded to ``width`` and never cut."""
+    digits = n.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def random_timestamp(key: Column, seed: int, start: dt.datetime, end: dt.datetime) -> Column:

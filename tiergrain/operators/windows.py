@@ -28,7 +28,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiergrain.operators.relational import sized_broadcast
 from tiergrain.session import checkpoint_root
 
 # A key with more rows than this is "hot"; a cold group is small enough for
@@ -70,8 +69,7 @@ def _plain(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str]) -
     return out
 
 
-def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], slices: int,
-            max_rows: int) -> DataFrame:
+def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], slices: int) -> DataFrame:
     sl = (df.repartitionByRange(slices, *[F.col(k).asc_nulls_first() for k in keys], *_order_cols(order))
             .withColumn("_slice", F.spark_partition_id())
             .checkpoint(eager=True))
@@ -81,24 +79,23 @@ def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str],
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offs = per.select(*keys, "_slice",
                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-                      *[F.coalesce(F.sum(f"_s_{name}").over(before), F.lit(0)).alias(f"_b_{name}")
-                        for name in sums])
+                      *[F.sum(f"_s_{name}").over(before).alias(f"_b_{name}") for name in sums])
     local = _plain(sl, [*keys, "_slice"], order, "_lrn" if rank else None,
                    {f"_l_{name}": src for name, src in sums.items()})
-    offs = sized_broadcast(offs, max_rows)
     j = local.join(offs, _null_safe_on(local, offs, [*keys, "_slice"]), "inner")
     cols = [local[c] for c in df.columns]
     if rank:
         cols.append((local["_lrn"] + offs["_n_before"]).cast("int").alias(rank))
     for name in sums:
-        cols.append((local[f"_l_{name}"] + offs[f"_b_{name}"]).alias(name))
+        # null as long as no earlier row has a value, like SUM over a window
+        own, earlier = local[f"_l_{name}"], offs[f"_b_{name}"]
+        cols.append(F.when(own.isNull(), earlier).when(earlier.isNull(), own).otherwise(own + earlier).alias(name))
     return j.select(*cols)
 
 
 def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str | None = None,
                    sums: dict[str, str] | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
-                   slices: int | None = None, max_rows: int = 200_000,
-                   sample_from: DataFrame | None = None) -> DataFrame:
+                   slices: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
     """Row number and/or running sums per key in ``order`` (asc, nulls first).
 
     ``order`` should end in tie-breakers that make it total; rows equal on
@@ -109,8 +106,9 @@ def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], ran
 
     Passes over ``df``: one sampled pass to find hot keys (written to the
     shared checkpoint folder, a handful of rows); with none, the plain window
-    (one more pass). With hot keys, ``df`` is written once and both paths
-    read that copy.
+    (one more pass). With hot keys, their rows alone are written; the others
+    go through the plain window. Ranks are 32-bit, as in SQL's ROW_NUMBER: a key
+    with more than 2^31 - 1 rows fails loudly under ANSI.
     """
     sums = dict(sums or {})
     if hot_rows is None:
@@ -118,17 +116,14 @@ def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], ran
     spark = df.sparkSession
     checkpoint_root(spark)
     hot = hot_keys(sample_from if sample_from is not None else df, keys, hot_rows).checkpoint(eager=True)
-    n_hot = hot.limit(max_rows + 1).count()
-    if n_hot == 0:
+    if hot.isEmpty():
         return _plain(df, keys, order, rank, sums)
-    base = df.checkpoint(eager=True)
-    hot = F.broadcast(hot) if n_hot <= max_rows else hot
-    is_hot = _null_safe_on(base, hot, keys)
-    hot_rows_df = base.join(hot, is_hot, "left_semi")
-    cold_rows = base.join(hot, is_hot, "left_anti")
+    is_hot = _null_safe_on(df, hot, keys)
+    hot_rows_df = df.join(hot, is_hot, "left_semi")
+    cold_rows = df.join(hot, is_hot, "left_anti")
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return _plain(cold_rows, keys, order, rank, sums).unionByName(
-        _sliced(hot_rows_df, keys, order, rank, sums, n, max_rows))
+        _sliced(hot_rows_df, keys, order, rank, sums, n))
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,

@@ -26,10 +26,10 @@ class Params:
     near_breach_factor: float = 0.8
     default_cession_rate: float = 0.30
     expense_ratio: float = 0.32
-    # a dimension is broadcast only when a runtime check proves it has at
-    # most this many rows; above it the join shuffles (AQE may still
-    # convert it from measured shuffle sizes)
-    broadcast_max_rows: int = 200_000
+    # a streaming refresh re-reads a dimension for every micro-batch up to this
+    # many (estimated) bytes; a larger one is written once per refresh, bucketed
+    # on its key, so that a micro-batch never shuffles it
+    stream_dimension_bytes: int = 10 << 20
     # per-key windows route keys with more rows than this (estimated from a
     # sample) to a range-sliced path; None = plain window only
     hot_key_rows: int | None = 1_000_000

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tiergrain.functions.exprs import date_literal
 from tiergrain.operators.compliance import rule_report, threshold_rule
-from tiergrain.operators.relational import pct_of, sized_broadcast
+from tiergrain.operators.relational import pct_of
 from tiergrain.operators.windows import next_in_order, ordered_within
 from tiergrain.params import Params
 from tiergrain.plans.insurance import latest_exposure, premium_by_lob_year
@@ -38,7 +38,6 @@ def loss_ratio_rule(policies: DataFrame, claims: DataFrame, params: Params) -> D
             .agg(F.sum("net_premium").alias("nwp")))
     loss = (claims.groupBy(F.year("loss_date").alias("policy_year"))
             .agg(F.sum("incurred_amount").alias("incurred")))
-    loss = sized_broadcast(loss, params.broadcast_max_rows)
     joined = prem.join(loss, "policy_year", "left")
     rule = threshold_rule(joined, "Loss Ratio Limit", F.try_divide(F.col("incurred"), F.col("nwp")),
                           F.col("policy_year"), params.min_loss_ratio_threshold, params.near_breach_factor)
@@ -84,9 +83,8 @@ def base_currency_notional(enriched: DataFrame, fx: DataFrame, params: Params) -
     """
     base = params.base_currency
     daily = daily_rates(fx, base)
-    last = sized_broadcast(daily.groupBy(F.col("ccy").alias("_ccy")).agg(F.max("rate_date").alias("_last")),
-                           params.broadcast_max_rows)
-    rates = sized_broadcast(asof_rate_table(fx, base), params.broadcast_max_rows)
+    last = daily.groupBy(F.col("ccy").alias("_ccy")).agg(F.max("rate_date").alias("_last"))
+    rates = asof_rate_table(fx, base)
     t = enriched.select("trade_id", "trade_date", "currency", "notional_value", F.to_date("trade_date").alias("_day"))
     t = (t.join(last, t["currency"] == last["_ccy"], "left")
           .withColumn("_lookup", F.least(F.col("_day"), F.col("_last"))))
@@ -159,14 +157,16 @@ def earned_premium(policies: DataFrame, params: Params) -> DataFrame:
 
 
 # X7 -----------------------------------------------------------------------------
-def claim_versions(claims: DataFrame) -> DataFrame:
+def claim_versions(claims: DataFrame, params: Params) -> DataFrame:
     """SCD2-style validity interval of each claim row among its versions.
 
-    ``valid_to`` is the next version's ``loss_date``: an equi-join on
-    (claim_id, rank + 1) instead of ``lead`` over a per-claim window.
+    Ranks are given before rows are dropped, so they have gaps: the surviving
+    versions are numbered anew, and ``valid_to`` is the next survivor's
+    ``loss_date`` (an equi-join on that number plus one).
     """
     base = claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount", "status")
-    j = next_in_order(base, ["claim_id"], "cumulative_paid_rank", ["loss_date"])
+    base = ordered_within(base, ["claim_id"], ["cumulative_paid_rank"], rank="_version", hot_rows=params.hot_key_rows)
+    j = next_in_order(base, ["claim_id"], "_version", ["loss_date"])
     return j.select("claim_id", "cumulative_paid_rank", F.col("loss_date").alias("valid_from"),
                     F.col("next_loss_date").alias("valid_to"), F.col("next_loss_date").isNull().alias("is_current"),
                     "incurred_amount", "status")

@@ -157,18 +157,14 @@ cte("bars_daily_quotes", """
 SELECT user_id AS security_key, day,
        max(CASE WHEN rn_first = 1 THEN value END) AS open_price, max(value) AS high_price,
        min(value) AS low_price, max(CASE WHEN rn_last = 1 THEN value END) AS close_price,
-       count(*) AS quotes
-FROM (SELECT user_id, value, CAST(ts AS DATE) AS day,
+       CAST(sum(CASE WHEN event_id % 127 = 0 THEN 0 ELSE 100 + event_id * 10 END) AS BIGINT) AS volume, count(*) AS quotes
+FROM (SELECT user_id, event_id, value, CAST(ts AS DATE) AS day,
              row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn_first,
              row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn_last
       FROM events) e
 GROUP BY user_id, day""", [])
 
 
-# --- synthetic grids (integer-hash values, reproducible in SQL) -----------------
-from tiergrain.operators.synth import MOD, mix_sql  # noqa: E402
-from tiergrain.plans.synthetic import CAT_PERILS, MODEL_SOURCES  # noqa: E402
-
 cte("synth_fx_date_spine", """
 SELECT from_currency, to_currency, CAST(d AS DATE) AS rate_date
 FROM (SELECT p.from_currency, p.to_currency, unnest(generate_series(s.d0, s.d1, INTERVAL 1 DAY)) AS d
@@ -176,21 +172,3 @@ FROM (SELECT p.from_currency, p.to_currency, unnest(generate_series(s.d0, s.d1,
             WHERE from_currency IS NOT NULL AND to_currency IS NOT NULL) p,
            (SELECT min(rate_date) AS d0, max(rate_date) AS d1 FROM raw_fx_rates) s) x
 WHERE dayofweek(d) BETWEEN 1 AND 5""", ["raw_fx_rates"])
-
-_perils = ", ".join(f"({i}, '{p}')" for i, p in enumerate(CAT_PERILS))
-_qd = "date_diff('day', DATE '1970-01-01', q)"
-_m = lambda seed: mix_sql(["r_regionkey", "pi", _qd], seed)
-_src = "CASE " + _m(303) + " % 3 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MODEL_SOURCES)) + " END"
-cte("synth_exposure_grid", f"""
-SELECT concat_ws('-', 'EXP', r_name, substring(peril, 1, 4), strftime(q, '%Y%m')) AS exposure_id,
-       r_name AS territory, peril, q AS as_of_date,
-       50000000.0e0 + (CAST({_m(101)} AS DOUBLE) / {float(MOD)!r}) * 1950000000.0e0 AS total_insured_value,
-       (50000000.0e0 + (CAST({_m(101)} AS DOUBLE) / {float(MOD)!r}) * 1950000000.0e0)
-         * (0.05e0 + (CAST({_m(202)} AS DOUBLE) / {float(MOD)!r}) * 0.25e0) AS probable_max_loss,
-       'USD' AS currency, {_src} AS model_source
-FROM (SELECT c.r_regionkey, c.r_name, p.pi, p.peril, c.q
-      FROM (SELECT r_regionkey, r_name, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS q
-            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-                 JOIN region ON n_regionkey = r_regionkey
-            GROUP BY 1, 2, 3) c,
-           (VALUES {_perils}) p(pi, peril)) g""", [])

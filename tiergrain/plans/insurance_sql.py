@@ -165,3 +165,11 @@ RULE_FRAMES.update({
 })
 ORACLE_RULES = {**BRONZE_RULES, "silver_enriched_policies": POLICY_RULES_SQL,
                 "silver_claims_enriched": CLAIM_RULES, "silver_exposure": EXPOSURE_RULES}
+
+
+def overridden(sql: str, single_risk_pct: float = 0.2, aggregate_limit: float = 7e9) -> str:
+    """The compliance oracle under other thresholds than the test parameters."""
+    for old, new in ((P.max_single_risk_pct, single_risk_pct), (P.max_aggregate_limit_usd, aggregate_limit)):
+        for factor in (1.0, P.near_breach_factor):
+            sql = sql.replace(f"{float(old) * factor!r}e0", f"{float(new) * factor!r}e0")
+    return sql

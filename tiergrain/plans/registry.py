@@ -12,6 +12,7 @@ import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiergrain.functions.exprs import stabilize_doubles
 from tiergrain.params import TEST_PARAMS, Params
@@ -40,12 +41,13 @@ def register(key: str, builder, oracle: str | None, doc: str = "") -> None:
     REGISTRY[key] = QueryDef(builder, oracle, doc)
 
 
-def _params() -> Params:
-    return TEST_PARAMS
+def _params(spark: SparkSession) -> Params:
+    """The test thresholds, overridden by what the session configures (``ins.*``)."""
+    return Params.from_conf(spark, TEST_PARAMS)
 
 
 def investment(spark: SparkSession, sf_dir: str, params: Params | None = None) -> inv.InvestmentDatasets:
-    return inv.InvestmentDatasets(raw_tables(spark, sf_dir), params or _params())
+    return inv.InvestmentDatasets(raw_tables(spark, sf_dir), params or _params(spark))
 
 
 # Double columns of each dataset's output (the oracle rounds these; a test
@@ -138,7 +140,7 @@ INS_DOUBLES = {
 
 
 def insurance(spark: SparkSession, sf_dir: str, params: Params | None = None) -> ins.InsuranceDatasets:
-    return ins.InsuranceDatasets(raw_tables(spark, sf_dir), params or _params())
+    return ins.InsuranceDatasets(raw_tables(spark, sf_dir), params or _params(spark))
 
 
 def _ins_dataset(name: str):
@@ -166,13 +168,15 @@ def _register_insurance() -> None:
                  doc=f"rule metrics of {dataset}")
 
 
+# thresholds of the key that shows run-time parameters
+OVERRIDES = {"ins.max_single_risk_pct": "0.2", "ins.max_aggregate_limit_usd": "7e9"}
 METRICS_SCHEMA = "dataset string, rule string, mode string, evaluated bigint, failed bigint"
 
 
 def _stream_table(table: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tiergrain.plans.streams import InvestmentStreams
-        st = InvestmentStreams(spark, sf_dir, _params())
+        st = InvestmentStreams(spark, sf_dir, _params(spark))
         out = st.table(table)
         if table in ("bronze_trade_executions", "silver_enriched_trades") and not st.rerun_is_noop(table):
             raise AssertionError(f"rerun of {table} added rows")
@@ -186,7 +190,7 @@ def _stream_metrics(table: str):
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tiergrain.plans.streams import InvestmentStreams
-        st = InvestmentStreams(spark, sf_dir, _params())
+        st = InvestmentStreams(spark, sf_dir, _params(spark))
         st.table(table)
         got = st.metrics(table)
         rows = [(ruleset.dataset, r.name, ruleset.mode, got.get("_evaluated", 0), got.get(r.name, 0))
@@ -232,9 +236,10 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.plans.extensions_sql import AUDIT_CHECKS, AUDIT_TABLES
     from tiergrain.sources.sinks import row_count_audit
     from tiergrain.sources.tables import Tables
-    params = _params()
+    params = _params(spark)
     if name == "bars_daily_quotes":
-        return daily_bars(Tables(spark, sf_dir).events, "user_id", "ts", "value", "event_id")
+        size = F.when(F.col("event_id") % 127 == 0, F.lit(0)).otherwise(100 + F.col("event_id") * 10)
+        return daily_bars(Tables(spark, sf_dir).events, "user_id", "ts", "value", "event_id", size)
     if name == "audit_raw_tables":
         raw = raw_tables(spark, sf_dir)
         return row_count_audit({t: raw[t] for t in AUDIT_TABLES}, AUDIT_CHECKS)
@@ -257,7 +262,7 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "ext_earned_premium":
         return ext.earned_premium(s["silver_enriched_policies"], params)
     if name == "ext_claim_versions":
-        return ext.claim_versions(s["silver_claims_enriched"])
+        return ext.claim_versions(s["silver_claims_enriched"], params)
     if name == "ext_reinsurance_split":
         return ext.reinsurance_split(s["silver_enriched_policies"], s.raw["raw_reinsurers"])
     if name == "ext_exposure_by_rating":
@@ -277,53 +282,53 @@ def _ext_builder(name: str):
 
 
 def _view_builder(dataset: str, cluster_by):
+    """Publish a view twice, first from half of its rows, and read the newest version back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tiergrain.session import shared_dir
         from tiergrain.sources.sinks import publish_view, read_view
         base = shared_dir(spark, "views", dataset)
-        df = investment(spark, sf_dir)[dataset]
-        publish_view(df, base, cluster_by=cluster_by)      # first refresh
-        publish_view(df, base, cluster_by=cluster_by)      # recompute and replace
+        df = (investment if dataset in inv.DATASETS else insurance)(spark, sf_dir)[dataset]
+        half = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
+        publish_view(df.where(half), base, cluster_by=cluster_by)       # an older refresh
+        publish_view(df, base, cluster_by=cluster_by)                   # recompute and replace
         return stabilize_doubles(read_view(spark, base))
     run.__name__ = f"view_{dataset}"
     return run
 
 
-def _synth(name: str):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from tiergrain.plans import synthetic as syn
-        from tiergrain.sources.bindings import BROKER_ROWS, LOB_ROWS
-        from tiergrain.sources.tables import Tables
-        t = Tables(spark, sf_dir)
-        if name == "synth_trades":
-            out = syn.synth_trades(t.orders)
-        elif name == "synth_policies":
-            out = syn.synth_policies(t.orders, _params(), [r[0] for r in LOB_ROWS if r[0]],
-                                     [r[0] for r in BROKER_ROWS])
-        elif name == "synth_claims":
-            out = syn.synth_claims(t.part, _params())
-        elif name == "synth_fx_rates":
-            out = syn.synth_fx_rates(raw_tables(spark, sf_dir)["raw_fx_rates"])
-        elif name == "synth_fx_date_spine":
-            out = syn.fx_date_spine(raw_tables(spark, sf_dir)["raw_fx_rates"])
-        elif name == "synth_exposure_grid":
-            out = syn.exposure_grid(t.orders, t.customer, t.nation, t.region)
-        else:
-            raise KeyError(name)
-        return stabilize_doubles(out)
-    run.__name__ = name
-    return run
+def _full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades refreshed in two arrivals, then refreshed in full into a new sink: the new sink's rows."""
+    from tiergrain.plans.streams import InvestmentStreams
+    st = InvestmentStreams(spark, sf_dir, _params(spark))
+    incremental = st.table("bronze_trade_executions")
+    full = st.full_refresh("bronze_trade_executions")
+    if full.count() != incremental.count():
+        raise AssertionError("a full refresh and the incremental refreshes differ")
+    return stabilize_doubles(full)
+
+
+def _overridden_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compliance report under thresholds that the session configures."""
+    old = {k: spark.conf.get(k, None) for k in OVERRIDES}
+    for k, v in OVERRIDES.items():
+        spark.conf.set(k, v)
+    try:
+        return stabilize_doubles(insurance(spark, sf_dir)["gold_compliance_checks"])
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-SYNTH_ORACLE_DOUBLES = {"synth_fx_date_spine": [], "synth_exposure_grid": ["total_insured_value",
-                                                                           "probable_max_loss"]}
+def _date_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.plans.synthetic import fx_date_spine
+    return stabilize_doubles(fx_date_spine(raw_tables(spark, sf_dir)["raw_fx_rates"]))
 
 
 def _refresh_metrics(domain: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tiergrain.plans.refresh import refresh_insurance, refresh_investment
         fn = refresh_investment if domain == "investment" else refresh_insurance
-        r = fn(spark, sf_dir, _params())
+        r = fn(spark, sf_dir, _params(spark))
         rows = [(m["dataset"], m["rule"], m["mode"], m["evaluated"], m["failed"]) for m in r.metrics]
         return spark.createDataFrame(rows, METRICS_SCHEMA)
     run.__name__ = f"refresh_dq_{domain}"
@@ -346,13 +351,23 @@ def _register_extensions() -> None:
     from tiergrain.plans import extensions_sql  # noqa: F401  (registers CTEs)
     for name, doubles in EXT_DOUBLES.items():
         register(name, _ext_builder(name), build(stab(name, doubles), [name]), doc=f"extension {name}")
-    for name in ("synth_trades", "synth_policies", "synth_claims", "synth_fx_rates"):
-        register(name, _synth(name), None, doc=f"generated table {name} (seeded xxhash64: rows-only check)")
-    for name, doubles in SYNTH_ORACLE_DOUBLES.items():
-        register(name, _synth(name), build(stab(name, doubles), [name]), doc=f"generated grid {name}")
+    # the generators of plans/synthetic.py invent their values: library functions, no queries
+    register("synth_fx_date_spine", _date_spine, build(stab("synth_fx_date_spine", []), ["synth_fx_date_spine"]),
+             doc="calendar of the quoted currencies")
     for dataset, keys in inv.GOLD_CLUSTER_BY.items():
         register(f"view_{dataset}", _view_builder(dataset, keys), REGISTRY[f"inv_{dataset}"].oracle,
                  doc=f"clustered, versioned refresh of {dataset}")
+    for dataset in [d for d in inv.DATASETS if d.startswith("gold_") and d not in inv.GOLD_CLUSTER_BY] + [
+            d for d in ins.DATASETS if d.startswith("gold_")]:
+        family = "inv" if dataset in inv.DATASETS else "ins"
+        register(f"view_{dataset}", _view_builder(dataset, None), REGISTRY[f"{family}_{dataset}"].oracle,
+                 doc=f"versioned refresh of {dataset}")
+    register("stream_full_refresh_trades", _full_refresh, REGISTRY["inv_bronze_trade_executions"].oracle,
+             doc="full refresh of a streaming table into a new sink and checkpoint")
+    register("ins_compliance_overridden", _overridden_compliance,
+             insurance_sql.overridden(build(stab("gold_compliance_checks", INS_DOUBLES["gold_compliance_checks"]),
+                                            ["gold_compliance_checks"])),
+             doc="compliance report under configured thresholds (R1)")
 
 
 _register_investment()

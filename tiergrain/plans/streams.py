@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from tiergrain.params import Params
 from tiergrain.plans import investment as inv
-from tiergrain.operators.relational import fits_broadcast
+from tiergrain.operators.relational import scan_bytes
 from tiergrain.session import shared_dir
 from tiergrain.sources.sinks import write_bucketed
 from tiergrain.sources.bindings import raw_tables
-from tiergrain.streaming.refresh import StreamRun, append_stream, enrich_stream, read_enriched, stage_arrivals
+from tiergrain.streaming.refresh import StreamRun, append_stream, batch_metrics, enrich_stream, full_refresh, read_enriched, stage_arrivals
 
-FILES_PER_ARRIVAL = 4
+ROWS_PER_FILE = 20_000     # landed files are cut by rows: no shuffle, any number of files
 FILES_PER_TRIGGER = 2   # several micro-batches per refresh in the registered keys
 
 
@@ -59,7 +59,7 @@ class InvestmentStreams:
         df = self.raw[raw]
         if part is not None:
             df = df.filter(F.pmod(F.xxhash64("order_id"), F.lit(self.trade_arrivals)) == part)
-        stage_arrivals(df, self.raw_dir(raw), FILES_PER_ARRIVAL)
+        stage_arrivals(df, self.raw_dir(raw), ROWS_PER_FILE)
         self._staged.add(tag)
 
     def refresh_bronze(self, table: str) -> StreamRun:
@@ -113,19 +113,17 @@ class InvestmentStreams:
     def _dimension_readers(self) -> dict:
         """Per dimension, how a micro-batch reads it during this refresh.
 
-        A dimension within the broadcast bound is re-read for every batch
-        (and broadcast). A larger one is written once per refresh, bucketed
-        on its key, so a batch's sort-merge join shuffles only the batch.
-        Returns (readers, size decisions).
+        A dimension within ``stream_dimension_bytes`` (estimated from its files)
+        is re-read for every batch. A larger one is written once per refresh,
+        bucketed on its key, so a batch's sort-merge join shuffles only the batch.
         """
         keys = {"silver_securities_master": "security_id", "silver_counterparties": "counterparty_id",
                 "silver_fund_structures": "fund_id"}
-        readers, small = {}, {}
+        readers = {}
         self._refresh_no = getattr(self, "_refresh_no", 0) + 1
         for dim, key in keys.items():
             df = self._silver_dim(dim)
-            small[dim] = fits_broadcast(df, self.params.broadcast_max_rows)
-            if small[dim]:
+            if scan_bytes(df) <= self.params.stream_dimension_bytes:
                 readers[dim] = (lambda d=dim: self._silver_dim(d))
             else:
                 name = f"tg_{self.base.rsplit('-', 1)[-1]}_{dim}_{self._refresh_no}"
@@ -133,19 +131,18 @@ class InvestmentStreams:
                 n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                 table = write_bucketed(df, name, key, n, path)
                 readers[dim] = (lambda t=table: t)
-        return readers, small
+        return readers
 
     def refresh_enriched(self) -> StreamRun:
         t = "silver_enriched_trades"
-        dims, small = self._dimension_readers()
+        dims = self._dimension_readers()
 
         def enrich(batch: DataFrame) -> DataFrame:
             # small dimensions re-read per micro-batch (point in time); large
-            # ones read from this refresh's bucketed copy; sizes were checked
-            # once for the refresh
+            # ones read from this refresh's bucketed copy
             return inv.enriched_trades_unfiltered(batch, dims["silver_securities_master"](),
                                                   dims["silver_counterparties"](),
-                                                  dims["silver_fund_structures"](), self.params, small)
+                                                  dims["silver_fund_structures"](), self.params)
 
         run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
                             self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=self.files_per_trigger)
@@ -166,6 +163,15 @@ class InvestmentStreams:
         self.runs.setdefault("bronze_trade_executions", [])
         return self.sink(t)
 
+    def full_refresh(self, table: str) -> DataFrame:
+        """Everything that has arrived, reprocessed into a new sink under a new checkpoint."""
+        raw = inv.BRONZE_SOURCES[table]
+        self.bronze(table)
+        sink, checkpoint = full_refresh(self.spark, table)
+        append_stream(self.spark, self.raw_dir(raw), self.schema(raw), sink, checkpoint,
+                      ruleset=inv.BRONZE_RULES[table], max_files=self.files_per_trigger)
+        return self.spark.read.parquet(sink)
+
     def rerun_is_noop(self, table: str) -> bool:
         """A refresh with nothing new adds no rows."""
         before = self.spark.read.parquet(self.sink(table)).count()
@@ -190,11 +196,8 @@ class InvestmentStreams:
         raise KeyError(name)
 
     def metrics(self, table: str) -> dict[str, int]:
-        out: dict[str, int] = {}
-        for r in self.runs.get(table, []):
-            for k, v in r.metrics.items():
-                out[k] = out.get(k, 0) + v
-        return out
+        """Rule counts of all micro-batches of ``table``, from its metrics files."""
+        return batch_metrics(self.spark, self.ckpt(table))
 
 
 STREAM_TABLES = tuple(inv.BRONZE_SOURCES) + ("silver_enriched_trades", "silver_market_data", "silver_fx_rates")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,13 +61,16 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session first; only when the cluster names none (local
-    tests) is a private folder created and registered.
+    Read from the session first. Only a local master without one (as in tests)
+    gets a private folder; on a cluster a folder of the driver's own would be
+    invisible to the executors, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tiergrain-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -87,6 +89,12 @@ def shared_dir(spark: SparkSession, *parts: str, fresh: bool = True) -> str:
     if fresh:
         name = f"{name}-{uuid.uuid4().hex[:12]}"
     path = f"{root.rstrip('/')}/{name}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    fs, where = hadoop_path(spark, path)       # a path without a scheme belongs to the default file system
+    fs.mkdirs(where)
     return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path as it knows it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where

@@ -10,14 +10,15 @@ deleted in place. Old versions can be expired by retention outside the job.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_VERSION = re.compile(r"/version=(\d+)/")
+from tiergrain.session import hadoop_path
+
+_VERSION = re.compile(r"version=(\d+)")
 
 
 def write_table(df: DataFrame, path: str) -> str:
@@ -34,20 +35,29 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
     partitioning: only the other side is shuffled, however often the join
     runs (e.g. once per streaming micro-batch).
     """
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    # one task per bucket: without it every task would write a file for every bucket
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    local = base[len("file:"):] if base.startswith("file:") else base
-    if "://" not in local and not os.path.isdir(local):
-        return []
-    try:
-        files = spark.read.parquet(base).inputFiles()   # driver-side listing, no job
-    except Exception:
+    """Committed versions of a view: folders that hold the writer's _SUCCESS mark.
+
+    Listed by the path's own file system, so a path without a scheme works on
+    HDFS and object stores too. One entry per version reaches the driver, no
+    data files. A failed listing is raised, not taken for an empty view.
+    """
+    fs, where = hadoop_path(spark, base)
+    if not fs.exists(where):
         return []
-    return sorted({int(m.group(1)) for f in files for m in [_VERSION.search(f)] if m})
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = []
+    for status in fs.listStatus(where):
+        m = _VERSION.fullmatch(status.getPath().getName())
+        if m and fs.exists(path(status.getPath(), "_SUCCESS")):
+            found.append(int(m.group(1)))
+    return sorted(found)
 
 
 def clustered(df: DataFrame, cluster_by: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -67,7 +77,7 @@ def publish_view(df: DataFrame, base: str, cluster_by: Sequence[str] | None = No
                  partitions: int | None = None) -> str:
     """Write a full recompute of a view as its next version."""
     spark = df.sparkSession
-    nxt = (max(_versions(spark, base)) + 1) if _versions(spark, base) else 1
+    nxt = max(_versions(spark, base), default=0) + 1
     path = f"{base.rstrip('/')}/version={nxt:08d}"
     out = clustered(df, cluster_by, partitions) if cluster_by else df
     out.write.mode("errorifexists").parquet(path)

@@ -13,19 +13,26 @@
 * ``full_refresh``: a new sink and a new checkpoint, so everything is
   reprocessed from the start.
 * Rule metrics ride along with ``observe`` (file sink) or an ``Observation``
-  per micro-batch (foreachBatch) and are summed per rule.
+  per micro-batch (foreachBatch). Every micro-batch's counts are written to a
+  file of its own, named by the batch id, next to the stream's checkpoint: a
+  repeated batch replaces its file, and sums over the files are complete however
+  many batches there were.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tiergrain.operators.quality import RuleSet, apply_rules, metric_columns
-from tiergrain.session import shared_dir
+from tiergrain.session import hadoop_path, shared_dir
 
 
 @dataclasses.dataclass
@@ -36,20 +43,87 @@ class StreamRun:
     batches: int
 
 
-def _sum_metrics(into: dict[str, int], got) -> None:
-    if got is None:
-        return
-    if hasattr(got, "asDict"):
-        got = got.asDict()
-    for k, v in got.items():
-        into[k] = into.get(k, 0) + int(v or 0)
+def _metrics_dir(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-metrics"
 
 
-def _progress(p) -> tuple[int, dict]:
-    """(input rows, observed metrics) of one progress report (object or dict)."""
-    if isinstance(p, dict):
-        return int(p.get("numInputRows", 0) or 0), p.get("observedMetrics") or {}
-    return int(p.numInputRows or 0), dict(p.observedMetrics or {})
+def _write_metrics(spark: SparkSession, checkpoint: str, batch_id: int, counts: dict[str, int]) -> None:
+    """Counts of one micro-batch as a small JSON file (replaced if the batch is repeated)."""
+    fs, where = hadoop_path(spark, f"{_metrics_dir(checkpoint)}/batch={batch_id}.json")
+    out = fs.create(where, True)
+    out.write(bytearray(json.dumps(counts).encode()))
+    out.close()
+
+
+def batch_metrics(spark: SparkSession, checkpoint: str) -> dict[str, int]:
+    """Rule counts summed over all micro-batches a stream has ever run."""
+    total: dict[str, int] = {}
+    fs, where = hadoop_path(spark, _metrics_dir(checkpoint))
+    if not fs.exists(where):
+        return total
+    rows = (spark.read.schema("value string").text(_metrics_dir(checkpoint))
+            .select(F.explode(F.from_json("value", "map<string,bigint>")).alias("rule", "n"))
+            .groupBy("rule").agg(F.sum("n").alias("n")))
+    return {r.rule: r.n for r in rows.collect()}      # one row per rule
+
+
+class _BatchCounts(StreamingQueryListener):
+    """Writes the observed counts of every progress event of one query.
+
+    Unlike ``recentProgress``, which keeps the last hundred, a listener sees
+    every micro-batch.
+    """
+
+    def __init__(self, spark: SparkSession, checkpoint: str, name: str | None):
+        self.spark, self.checkpoint, self.name = spark, checkpoint, name
+        self.run_id: str | None = None
+        self.early: list = []
+        self.batches = 0
+        self.totals: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.end = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self.end:
+            if self.run_id is None:
+                self.early.append(p)
+                return
+        self._take(p)
+
+    def _take(self, p) -> None:
+        if str(p.runId) != self.run_id or not p.numInputRows:
+            return
+        self.batches += 1
+        observed = dict(p.observedMetrics or {}).get(self.name)
+        if observed is not None:
+            counts = {k: int(v or 0) for k, v in observed.asDict().items()}
+            _write_metrics(self.spark, self.checkpoint, p.batchId, counts)
+            for k, v in counts.items():
+                self.totals[k] = self.totals.get(k, 0) + v
+
+    def follow(self, run_id: str) -> None:
+        with self.end:
+            self.run_id, early = run_id, self.early
+        for p in early:
+            self._take(p)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.end:
+            self.ended.add(str(event.runId))
+            self.end.notify_all()
+
+    def wait(self, seconds: float = 120.0) -> None:
+        """Until the end event, which comes after all progress events, has arrived."""
+        with self.end:
+            if not self.end.wait_for(lambda: self.run_id in self.ended, seconds):
+                raise RuntimeError("the end of the streaming query was not reported; rule metrics may be incomplete")
 
 
 def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -77,23 +151,22 @@ def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, si
         df = df.observe(name, *metric_columns(ruleset))
         if ruleset.mode != "warn":
             df = df.filter(ruleset.all_pass())
-    q = (df.writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start(sink))
-    q.awaitTermination()
-    metrics: dict[str, int] = {}
-    batches = 0
-    for p in q.recentProgress:
-        rows, observed = _progress(p)
-        if rows:
-            batches += 1
-        if name and name in observed:
-            _sum_metrics(metrics, observed[name])
+    counts = _BatchCounts(spark, checkpoint, name)
+    spark.streams.addListener(counts)
+    try:
+        q = (df.writeStream.format("parquet")
+             .option("checkpointLocation", checkpoint)
+             .outputMode("append")
+             .trigger(availableNow=True)
+             .start(sink))
+        counts.follow(str(q.runId))
+        q.awaitTermination()
+        counts.wait()
+    finally:
+        spark.streams.removeListener(counts)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return StreamRun(sink, checkpoint, metrics, batches)
+    return StreamRun(sink, checkpoint, counts.totals, counts.batches)
 
 
 def enrich_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink: str, checkpoint: str,
@@ -108,7 +181,10 @@ def enrich_stream(spark: SparkSession, source_dir: str, schema: T.StructType, si
         obs = Observation(f"rules_{ruleset.dataset}_{batch_id}")
         out = apply_rules(enrich(batch), ruleset, obs)
         out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        _sum_metrics(metrics, obs.get)
+        counts = {k: int(v or 0) for k, v in obs.get.items()}
+        _write_metrics(spark, checkpoint, batch_id, counts)
+        for k, v in counts.items():
+            metrics[k] = metrics.get(k, 0) + v
         seen["batches"] += 1
 
     q = (read_stream(spark, source_dir, schema, max_files).writeStream
@@ -134,18 +210,17 @@ def full_refresh(spark: SparkSession, table: str) -> tuple[str, str]:
     return f"{base}/data", f"{base}/_checkpoint"
 
 
-def stage_arrivals(df: DataFrame, target: str, files_per_arrival: int, arrivals: int = 1,
+def stage_arrivals(df: DataFrame, target: str, rows_per_file: int, arrivals: int = 1,
                    split_col: str | None = None) -> None:
     """Land a batch DataFrame in ``target`` as one or more appends of files.
 
-    With ``arrivals > 1`` the rows are split deterministically by
-    ``pmod(hash(split_col), arrivals)``, each part appended as its own set of
-    files: the file source sees them as successive arrivals.
+    Files are cut after ``rows_per_file`` rows where they are written: no
+    shuffle, and as many tasks as the frame has partitions. With ``arrivals > 1``
+    the rows are split deterministically by ``pmod(hash(split_col), arrivals)``,
+    each part appended as its own set of files: the file source sees them as
+    successive arrivals.
     """
-    from pyspark.sql import functions as F
-    if arrivals <= 1:
-        df.repartition(files_per_arrival).write.mode("append").parquet(target)
-        return
-    part = F.pmod(F.xxhash64(F.col(split_col)), F.lit(arrivals))
-    for i in range(arrivals):
-        df.filter(part == i).repartition(files_per_arrival).write.mode("append").parquet(target)
+    part = F.pmod(F.xxhash64(F.col(split_col)), F.lit(arrivals)) if arrivals > 1 else F.lit(0)
+    for i in range(max(1, arrivals)):
+        (df.filter(part == i) if arrivals > 1 else df).write.mode("append") \
+            .option("maxRecordsPerFile", rows_per_file).parquet(target)
