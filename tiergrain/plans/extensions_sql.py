@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from tiergrain.plans import insurance_sql  # noqa: F401  (insurance CTEs)
 from tiergrain.plans import investment_sql  # noqa: F401  (investment CTEs)
-from tiergrain.plans.insurance_sql import ASOF_DATE, P, POLICY_RULES_SQL
+from tiergrain.plans.insurance_sql import ASOF_DATE, P
 from tiergrain.plans.oracle import cte
+from tiergrain.plans.oracle_rules import FAILS
 
 BASE = P.base_currency
 
@@ -116,9 +117,8 @@ cte("ext_cat_pml_by_territory", """
 SELECT territory, sum(cat_tiv) AS cat_tiv, sum(cat_pml) AS cat_pml, count(*) AS perils
 FROM latest_exposure GROUP BY territory""", ["latest_exposure"])
 
-_names = [r.name for r in POLICY_RULES_SQL.rules]
 _viol = "concat_ws(', ', " + ", ".join(
-    f"CASE WHEN NOT coalesce(({r.expr}), false) THEN '{r.name}' END" for r in POLICY_RULES_SQL.rules) + ")"
+    f"CASE WHEN {fails} THEN '{rule}' END" for rule, fails in FAILS["silver_enriched_policies"][1].items()) + ")"
 cte("split_policies", f"""
 SELECT CASE WHEN violations = '' THEN 'clean' ELSE 'quarantine' END AS side, violations, count(*) AS row_count
 FROM (SELECT {_viol} AS violations FROM enriched_policies_unfiltered) t

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from tiergrain.params import TEST_PARAMS
-from tiergrain.plans.insurance import (BRONZE_RULES, BRONZE_SOURCES, CLAIM_RULES, EXPOSURE_RULES,
-                                       policy_rules)
-from tiergrain.plans.oracle import cte, passes_sql
+from tiergrain.plans.insurance import BRONZE_SOURCES
+from tiergrain.plans.oracle import cte
+from tiergrain.plans.oracle_rules import FAILS, kept
 
 P = TEST_PARAMS
 ASOF_TS = f"TIMESTAMP '{P.as_of:%Y-%m-%d %H:%M:%S}'"
 ASOF_DATE = f"DATE '{P.as_of_date:%Y-%m-%d}'"
-POLICY_RULES_SQL = policy_rules(P, ASOF_TS)
 
 for _ds, _raw in BRONZE_SOURCES.items():
     cte(_ds, f"SELECT * FROM {_raw}", [_raw])
@@ -33,7 +32,7 @@ CROSS JOIN (SELECT coalesce(nullif(avg(cession_rate), 0), {P.default_cession_rat
     ["bronze_policies", "bronze_lines_of_business", "raw_brokers", "raw_reinsurers"])
 
 cte("silver_enriched_policies", f"""
-SELECT * FROM enriched_policies_unfiltered WHERE {passes_sql(POLICY_RULES_SQL)}""",
+SELECT * FROM enriched_policies_unfiltered WHERE {kept('silver_enriched_policies')}""",
     ["enriched_policies_unfiltered"])
 
 cte("quarantine_policies", f"""
@@ -77,7 +76,7 @@ SELECT *,
 FROM claims_derived""", ["claims_derived"])
 
 cte("silver_claims_enriched", f"""
-SELECT * FROM claims_ranked WHERE {passes_sql(CLAIM_RULES)}""", ["claims_ranked"])
+SELECT * FROM claims_ranked WHERE {kept('silver_claims_enriched')}""", ["claims_ranked"])
 
 cte("exposure_unfiltered", """
 SELECT *,
@@ -86,7 +85,7 @@ SELECT *,
 FROM bronze_exposure""", ["bronze_exposure"])
 
 cte("silver_exposure", f"""
-SELECT * FROM exposure_unfiltered WHERE {passes_sql(EXPOSURE_RULES)}""", ["exposure_unfiltered"])
+SELECT * FROM exposure_unfiltered WHERE {kept('silver_exposure')}""", ["exposure_unfiltered"])
 
 cte("bound_policies", """
 SELECT * FROM silver_enriched_policies WHERE status = 'BOUND'""", ["silver_enriched_policies"])
@@ -157,14 +156,12 @@ FROM (SELECT territory, peril, lob_name, sum(limit_amount) AS total_limit, sum(g
 LEFT JOIN latest_exposure le ON pe.territory = le.territory AND pe.peril = le.peril""",
     ["bound_policies", "latest_exposure"])
 
-RULE_FRAMES = {ds: ds for ds in BRONZE_RULES}
-RULE_FRAMES.update({
+# frames the rules of each dataset are evaluated on (rows before dropping)
+RULE_FRAMES = {d: d for d in BRONZE_SOURCES if d in FAILS} | {
     "silver_enriched_policies": "enriched_policies_unfiltered",
     "silver_claims_enriched": "claims_ranked",
     "silver_exposure": "exposure_unfiltered",
-})
-ORACLE_RULES = {**BRONZE_RULES, "silver_enriched_policies": POLICY_RULES_SQL,
-                "silver_claims_enriched": CLAIM_RULES, "silver_exposure": EXPOSURE_RULES}
+}
 
 
 def overridden(sql: str, single_risk_pct: float = 0.2, aggregate_limit: float = 7e9) -> str:

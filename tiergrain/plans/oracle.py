@@ -3,7 +3,8 @@
 Each dataset is a CTE body plus its dependencies; ``build`` emits a single
 ``WITH`` statement in dependency order for one final SELECT. Raw tables come
 from the shared bindings text, everything after them is written here in SQL
-(not derived from the Spark code) so the two engines check each other.
+(not derived from the Spark code), also the rules (``oracle_rules``), so the two
+engines check each other.
 
 Conventions (SURVEY §7.3): a rule passes only when TRUE (``coalesce(.., false)``);
 divisions use ``NULLIF(d, 0)``; ordering ties are broken explicitly with
@@ -15,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from tiergrain.operators.quality import RuleSet
 from tiergrain.sources.bindings import BINDINGS
 
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -25,10 +25,6 @@ def cte(name: str, body: str, deps: Iterable[str]) -> None:
     CTES[name] = (body, tuple(deps))
 
 
-def passes_sql(ruleset: RuleSet) -> str:
-    return " AND ".join(f"coalesce(({r.expr}), false)" for r in ruleset.rules)
-
-
 def _order(names: Iterable[str]) -> list[str]:
     seen: list[str] = []
 
@@ -75,14 +71,3 @@ def stab(source: str, doubles: Sequence[str], select: str = "*") -> str:
     rep = ", ".join(f"(CASE WHEN abs({c}) < 4194304.0 THEN CAST(CAST({c} AS FLOAT) AS DOUBLE) "
                     f"ELSE round({c} * 8.0) / 8.0 END) + 0.0 AS {c}" for c in doubles)
     return f"SELECT {select} REPLACE ({rep}) FROM {source}"
-
-
-def metrics_sql(ruleset: RuleSet, frame: str) -> str:
-    """Q4 oracle: one row per rule with rows evaluated and failures."""
-    parts = [
-        f"SELECT '{ruleset.dataset}' AS dataset, '{r.name}' AS rule, '{ruleset.mode}' AS mode, "
-        f"CAST(count(*) AS BIGINT) AS evaluated, "
-        f"CAST(coalesce(sum(CASE WHEN coalesce(({r.expr}), false) THEN 0 ELSE 1 END), 0) AS BIGINT) AS failed "
-        f"FROM {frame}"
-        for r in ruleset.rules]
-    return "\nUNION ALL\n".join(parts)

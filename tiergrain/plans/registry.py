@@ -20,7 +20,8 @@ from tiergrain.plans import investment as inv
 from tiergrain.plans import insurance as ins
 from tiergrain.plans import insurance_sql
 from tiergrain.plans import investment_sql  # noqa: F401  (registers oracle CTEs)
-from tiergrain.plans.oracle import build, metrics_sql, stab
+from tiergrain.plans.oracle import build, stab
+from tiergrain.plans.oracle_rules import metrics as metrics_sql
 from tiergrain.operators.quality import violation_counts
 from tiergrain.sources.bindings import raw_tables
 
@@ -115,9 +116,8 @@ def _register_investment() -> None:
     for name in inv.DATASETS:
         register(f"inv_{name}", _inv_dataset(name), build(stab(name, INV_DOUBLES[name]), [name]),
                  doc=f"investment dataset {name}")
-    for dataset, ruleset in {**inv.BRONZE_RULES, **inv.SILVER_RULES}.items():
-        frame = investment_sql.RULE_FRAMES[dataset]
-        register(f"dq_{dataset}", _inv_metrics(dataset), build(metrics_sql(ruleset, frame), [frame]),
+    for dataset, frame in investment_sql.RULE_FRAMES.items():
+        register(f"dq_{dataset}", _inv_metrics(dataset), build(metrics_sql(dataset, frame), [frame]),
                  doc=f"rule metrics of {dataset}")
 
 
@@ -162,9 +162,8 @@ def _register_insurance() -> None:
     for name in ins.DATASETS:
         register(f"ins_{name}", _ins_dataset(name), build(stab(name, INS_DOUBLES[name]), [name]),
                  doc=f"insurance dataset {name}")
-    for dataset, ruleset in insurance_sql.ORACLE_RULES.items():
-        frame = insurance_sql.RULE_FRAMES[dataset]
-        register(f"dq_{dataset}", _ins_metrics(dataset), build(metrics_sql(ruleset, frame), [frame]),
+    for dataset, frame in insurance_sql.RULE_FRAMES.items():
+        register(f"dq_{dataset}", _ins_metrics(dataset), build(metrics_sql(dataset, frame), [frame]),
                  doc=f"rule metrics of {dataset}")
 
 
@@ -336,14 +335,13 @@ def _refresh_metrics(domain: str):
 
 
 def _register_refresh() -> None:
-    inv_sets = {**inv.BRONZE_RULES, **inv.SILVER_RULES}
-    parts = [metrics_sql(rs, investment_sql.RULE_FRAMES[ds]) for ds, rs in inv_sets.items()]
-    frames = [investment_sql.RULE_FRAMES[ds] for ds in inv_sets]
-    register("refresh_dq_investment", _refresh_metrics("investment"), build("\nUNION ALL\n".join(parts), frames),
+    parts = [metrics_sql(ds, frame) for ds, frame in investment_sql.RULE_FRAMES.items()]
+    frames = list(investment_sql.RULE_FRAMES.values())
+    register("refresh_dq_investment", _refresh_metrics("investment"), build("\nUNION ALL\n".join(f"({p})" for p in parts), frames),
              doc="rule metrics observed while a full investment refresh writes its tables")
-    parts = [metrics_sql(rs, insurance_sql.RULE_FRAMES[ds]) for ds, rs in insurance_sql.ORACLE_RULES.items()]
-    frames = [insurance_sql.RULE_FRAMES[ds] for ds in insurance_sql.ORACLE_RULES]
-    register("refresh_dq_insurance", _refresh_metrics("insurance"), build("\nUNION ALL\n".join(parts), frames),
+    parts = [metrics_sql(ds, frame) for ds, frame in insurance_sql.RULE_FRAMES.items()]
+    frames = list(insurance_sql.RULE_FRAMES.values())
+    register("refresh_dq_insurance", _refresh_metrics("insurance"), build("\nUNION ALL\n".join(f"({p})" for p in parts), frames),
              doc="rule metrics observed while a full insurance refresh writes its tables")
 
 
