@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiergrain.llm.common import table
+from tiergrain.llm.oracle_sql import ORACLE  # noqa: F401  (read by the entry file)
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -106,5 +107,3 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE: dict[str, str] = {}
