@@ -20,7 +20,6 @@ executors and Catalyst can still push the resulting filter into the scan.
 from __future__ import annotations
 
 import dataclasses
-import itertools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -174,14 +173,3 @@ def split_summary(df: DataFrame, ruleset: RuleSet) -> DataFrame:
     side = F.when(F.size("_violations") == 0, F.lit("clean")).otherwise(F.lit("quarantine"))
     return (tagged.groupBy(side.alias("side"), F.array_join("_violations", ", ").alias("violations"))
             .agg(F.count(F.lit(1)).alias("row_count")))
-
-
-def union_counts(frames: Sequence[DataFrame]) -> DataFrame:
-    out = None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    return out
-
-
-def rule_names(rulesets: Iterable[RuleSet]) -> list[str]:
-    return list(itertools.chain.from_iterable(r.names for r in rulesets))

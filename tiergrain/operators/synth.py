@@ -52,11 +52,6 @@ def uniform(key: Column, seed: int, lo: float, hi: float) -> Column:
     return F.lit(float(lo)) + unit(key, seed) * F.lit(float(hi - lo))
 
 
-def uniform_int(key: Column, seed: int, lo: int, hi: int) -> Column:
-    """Uniform integer in [lo, hi]."""
-    return (F.lit(lo) + F.floor(unit(key, seed) * F.lit(hi - lo + 1))).cast("bigint")
-
-
 def choice(key: Column, seed: int, values: Sequence) -> Column:
     """D3: uniform choice from a list."""
     arr = F.array(*[F.lit(v) for v in values])

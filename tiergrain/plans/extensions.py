@@ -115,9 +115,15 @@ def loss_ratio_by_policy(policies: DataFrame, claims: DataFrame, params: Params)
 
 
 def orphan_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Claims whose policy_id matches no silver policy (anti join)."""
-    return claims.join(policies.select("policy_id"), "policy_id", "left_anti").select(
-        "claim_id", "policy_id", "loss_date", "peril", "incurred_amount")
+    """Claims whose policy_id matches no silver policy.
+
+    Claims without a policy_id are orphans by definition; they skip the anti
+    join, where they would all meet in one partition.
+    """
+    columns = ["claim_id", "policy_id", "loss_date", "peril", "incurred_amount"]
+    named = claims.where(F.col("policy_id").isNotNull())
+    unlinked = named.join(policies.select("policy_id"), "policy_id", "left_anti").select(*columns)
+    return unlinked.unionByName(claims.where(F.col("policy_id").isNull()).select(*columns))
 
 
 # X5 -----------------------------------------------------------------------------

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +29,3 @@ class Tables:
             self.__dict__[name] = df
             return df
         raise AttributeError(name)
-
-    @cached_property
-    def names(self) -> tuple[str, ...]:
-        return INPUT_TABLES
