@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECES_KEPT = 1_000_000      # memoised pieces per Python worker
-PAIRS_KEPT = 2_000_000     # memoised token pairs per Python worker
+PIECES_KEPT = 200_000      # memoised pieces per Python worker
+PAIRS_KEPT = 400_000     # memoised token pairs per Python worker
 MATCHES_PER_SLICE = 1 << 16
 
 
@@ -60,7 +60,7 @@ class BytePairCodec:
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens) if t}
         self.pattern = regex.compile(pattern)
-        self._compatible: dict[tuple[int, int], bool] = {}
+        self._compatible: dict[int, bool] = {}
         self._pieces = _PackedPieces(self)
         self._build()
 
@@ -129,7 +129,7 @@ class BytePairCodec:
                 right = self.cut[right][0]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left * len(self.tokens) + right
         known = self._compatible.get(key)
         if known is None:
             if len(self._compatible) >= PAIRS_KEPT:

@@ -40,7 +40,7 @@ MIN_TOKENS = 13
 MIN_EQUAL = 0.8
 MISMATCH = -3
 FIELD_BITS = 1 << 22       # Bloom field with two probes: 512 KB, whatever the benchmark
-HASHES_KEPT = 1_000_000
+HASHES_KEPT = 200_000
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
