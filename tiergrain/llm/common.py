@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +40,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, "llm", name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    Its cleaner drops them once the driver has collected the plans that own
+    them; between the stored steps of a long operator that halves the disk used.
+    """
+    for _ in range(2):      # the first round drops the plans, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

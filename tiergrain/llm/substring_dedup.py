@@ -5,7 +5,8 @@ whose words also start in a document with a smaller id.
 
 **Shards by content.** Every window is assigned to its *minimizer*, the 5-word
 sequence inside it with the least hash; equal windows have equal minimizers.
-Neighbouring windows with the same minimizer form a segment (13 to 21 words).
+Neighbouring windows with the same minimizer form a segment (13 to 21 words,
+more where a text repeats itself).
 A minimizer that only one document has cannot hide a repeat, so only segments with
 shared minimizers travel, to the shard their minimizer belongs to. The work
 grows with the input: no text meets all shards. A minimizer that very many
@@ -33,6 +34,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +42,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import id_text, stored
+from tiergrain.llm.common import free_shuffles, id_text, stored
 
 WINDOW = 13
 GRAM = 5                   # words of a minimizer
 SHARD_WORDS = 1_000_000    # words indexed at once
 HOT_TEXTS = 5_000          # a minimizer shared by more texts is spread by window
-WORDS_KEPT = 1_000_000     # memoised word hashes per Python worker
+CHUNK_ROWS = 200           # texts worked on side by side where every row counts
+CHUNK_CHARS = 500_000      # and characters elsewhere
+WORDS_KEPT = 200_000     # memoised word hashes per Python worker
 NO_ID = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -80,79 +84,127 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def segments(words: list[bytes], window: int = WINDOW, gram: int = GRAM):
-    """Segments of a text: first window, last window, minimizer; and the word hashes."""
-    h = _word_hashes(words)
-    n = len(words) - window + 1
-    none = np.zeros(0, dtype=np.int64)
-    if n <= 0:
-        return none, none, np.zeros(0, dtype=np.uint64), h
-    grams = _sequence_hashes(h, gram)
-    least, at = grams[:n].copy(), np.arange(n)
-    for j in range(1, window - gram + 1):
-        better = grams[j:j + n] < least
-        least[better] = grams[j:j + n][better]
-        at[better] = np.flatnonzero(better) + j
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    last = np.concatenate([first[1:] - 1, [n - 1]])
-    return first, last, least[first], h
+class _Chunk:
+    """Some texts side by side: words, minimizer of every window, segments.
+
+    A segment is a run of windows with the same minimizer; windows that would
+    cross the end of a text do not exist.
+    """
+
+    def __init__(self, texts: list[str]):
+        split = [t.encode().split() for t in texts]
+        self.counts = np.array([len(w) for w in split], dtype=np.int64)
+        self.words = list(chain.from_iterable(split))
+        self.hashes = _word_hashes(self.words)
+        n = len(self.words)
+        self.text = np.repeat(np.arange(len(texts)), self.counts)
+        self.begin = np.cumsum(self.counts) - self.counts
+        none = np.zeros(0, dtype=np.int64)
+        self.first, self.last, self.minimizer = none, none, none
+        if n < WINDOW:
+            return
+        grams = _sequence_hashes(self.hashes, GRAM)
+        m = n - WINDOW + 1
+        least = grams[:m].copy()
+        for j in range(1, WINDOW - GRAM + 1):
+            np.minimum(least, grams[j:j + m], out=least)
+        whole = self.text[:m] == self.text[WINDOW - 1:]
+        # equal neighbours belong together if both windows exist
+        joined = np.concatenate([[False], whole[1:] & whole[:-1] & (least[1:] == least[:-1]), [False]])
+        self.first = np.flatnonzero(whole & ~joined[:-1])
+        self.last = np.flatnonzero(whole & ~joined[1:])
+        self.minimizer = least[self.first].view(np.int64)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[list, list]]:
+    """Rows in portions of about ``CHUNK_CHARS`` characters, and their texts; copies of a text in a row once.
+
+    The key is the column before the text.
+    """
+    last, rows, size = None, [], 0
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[text_at - 1] == last:
+                continue
+            last = row[text_at - 1]
+            rows.append(row)
+            size += len(row[text_at])
+            if size >= CHUNK_CHARS:
+                yield rows, [r[text_at] for r in rows]
+                rows, size = [], 0
+    if rows:
+        yield rows, [r[text_at] for r in rows]
 
 
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct minimizers of every text, with the least and largest id of its copies in the batch."""
-    for b in batches:
-        texts: dict[int, list] = {}
-        for doc, key, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            known = texts.setdefault(key, [text, doc, doc])
-            if doc is not None:
-                known[1] = doc if known[1] is None else min(known[1], doc)
-                known[2] = doc if known[2] is None else max(known[2], doc)
-        cols: dict[str, list] = {n: [] for n in ("key", "gram", "lo", "hi")}
-        for key, (text, lo, hi) in texts.items():
-            m = np.unique(segments(text.encode().split())[2]).view(np.int64)
-            for name, v in zip(cols, (pa.array(np.full(len(m), key, dtype=np.int64)), pa.array(m),
-                                      pa.array([lo] * len(m), pa.int64()), pa.array([hi] * len(m), pa.int64()))):
-                cols[name].append(v)
-        if texts:
-            yield pa.RecordBatch.from_arrays([pa.concat_arrays(v) for v in cols.values()], names=list(cols))
-
-
-_CUT = "key long, start int, content binary, route long, words binary, least long"
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments with shared minimizers: one row per place, the words once per batch and content."""
+    """``key``, ``gram``, ``doc``: the minimizers of every row's segments."""
+    def rows_of(b):          # every row counts here, also copies: their ids matter
+        for at in range(0, b.num_rows, CHUNK_ROWS):
+            yield b.slice(at, CHUNK_ROWS)
+
     for b in batches:
-        rows: dict[str, list] = {n: [] for n in ("key", "start", "content", "route", "words", "least")}
-        place: dict[bytes, int] = {}
-        for doc, key, text, grams, hot in zip(*(b.column(i).to_pylist() for i in range(5))):
-            words = text.encode().split()
-            first, last, minimizer, h = segments(words)
-            signed = minimizer.view(np.int64)
-            hot_set = np.array(hot or [], dtype=np.int64)
-            spread = np.isin(signed, hot_set)
-            chosen = np.isin(signed, np.array(grams, dtype=np.int64))
-            whole = _sequence_hashes(h, WINDOW).view(np.int64) if spread.any() else None
-            parts = []
-            for i in np.flatnonzero(chosen).tolist():
-                a, z = int(first[i]), int(last[i])
-                if spread[i]:
-                    parts += [(j, j, int(whole[j])) for j in range(a, z + 1)]
-                else:
-                    parts.append((a, z, int(signed[i])))
-            for a, z, route in parts:
-                line = b" ".join(words[a:z + WINDOW])
-                content = xxhash.xxh3_128_digest(line)
-                at = place.get(content)
-                least = NO_ID if doc is None else doc
-                if at is None:
-                    place[content] = len(rows["key"])
-                else:
-                    rows["least"][at] = min(rows["least"][at], least)
-                for n, v in zip(rows, (key, a, content, route, line if at is None else None, least)):
-                    rows[n].append(v)
-        types = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types)], names=list(rows))
+        for part in rows_of(b):
+            chunk = _Chunk(part.column(2).to_pylist())
+            if not len(chunk.first):
+                continue
+            at = pa.array(chunk.text[chunk.first])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1).take(at), pa.array(chunk.minimizer), part.column(0).take(at)],
+                names=["key", "gram", "doc"])
+
+
+def _content(line: bytes) -> int:
+    """64-bit hash of a segment, signed; with its route it names the segment."""
+    h = xxhash.xxh3_64_intdigest(line)
+    return h - (1 << 64) if h >> 63 else h
+
+
+_PLACES = "key long, start int, route long, content long"
+_SEGMENTS = "route long, content long, words binary, lo long, hi long"
+
+
+def _cut(part: str):
+    """Task function: segments with shared minimizers, as ``places`` or as distinct ``segments``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in _chunks(batches, 2):
+            chunk = _Chunk(texts)
+            # a minimizer in any row's list is shared, whichever text of the chunk has it
+            shared = np.array(list(chain.from_iterable(r[3] for r in rows)), dtype=np.int64)
+            hot = np.array(list(chain.from_iterable(r[4] or [] for r in rows)), dtype=np.int64)
+            chosen = np.isin(chunk.minimizer, shared)
+            first, last, route = chunk.first[chosen], chunk.last[chosen], chunk.minimizer[chosen]
+            spread = np.isin(route, hot)
+            if spread.any():
+                whole = _sequence_hashes(chunk.hashes, WINDOW).view(np.int64)
+                single = np.concatenate([np.arange(a, z + 1) for a, z in zip(first[spread], last[spread])])
+                first, last, route = (np.concatenate([x[~spread], y]) for x, y in (
+                    (first, single), (last, single), (route, whole[single])))
+            if not len(first):
+                continue
+            line = b" ".join(chunk.words)
+            size = np.fromiter(map(len, chunk.words), dtype=np.int64, count=len(chunk.words))
+            end = np.cumsum(size + 1) - 1
+            spans = zip((end - size)[first].tolist(), end[last + WINDOW - 1].tolist())
+            lines = [line[a:z] for a, z in spans]
+            content = np.array([_content(x) for x in lines], dtype=np.int64)
+            text = chunk.text[first]
+            if part == "places":
+                key = np.array([r[1] for r in rows], dtype=np.int64)[text]
+                start = (first - chunk.begin[text]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, start, route, content)],
+                                                 names=["key", "start", "route", "content"])
+                continue
+            distinct, at, which = np.unique(content, return_index=True, return_inverse=True)
+            lo, hi = (np.array([r[i] for r in rows], dtype=np.int64)[text] for i in (5, 6))
+            least, most = lo[at], hi[at]
+            np.minimum.at(least, which, lo)
+            np.maximum.at(most, which, hi)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(route[at]), pa.array(distinct), pa.array([lines[i] for i in at.tolist()], pa.binary()),
+                 pa.array(least), pa.array(most)], names=["route", "content", "words", "lo", "hi"])
+
+    return run
 
 
 class WaveletMatrix:
@@ -261,30 +313,30 @@ def least_owners(lines: list[bytes], owners: list[int], window: int = WINDOW) ->
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by route in; ``content`` and its windows' least owners out, shard by shard."""
-    held: dict[bytes, list] = {}
+    """Rows sorted by route in; windows' least owners of the segments that lose words out, shard by shard."""
+    held: dict[tuple[int, int], list] = {}
     words, route = 0, None
 
     def shard():
-        lines, owners = [v[0] for v in held.values()], [v[1] for v in held.values()]
-        found = least_owners(lines, owners)
+        found = least_owners([v[0] for v in held.values()], [v[1] for v in held.values()])
+        hit = [(k, f) for (k, v), f in zip(held.items(), found) if (f < v[2]).any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array([f.tolist() for f in found], pa.list_(pa.int64()))],
-            names=["content", "least"])
+            [pa.array([k[0] for k, _ in hit], pa.int64()), pa.array([k[1] for k, _ in hit], pa.int64()),
+             pa.array([f.tolist() for _, f in hit], pa.list_(pa.int64()))], names=["route", "content", "least"])
 
     for b in batches:
-        for r, content, line, least in zip(*(b.column(i).to_pylist() for i in range(4))):
+        for r, content, line, lo, hi in zip(*(b.column(i).to_pylist() for i in range(5))):
             if r != route:
                 if words >= SHARD_WORDS:
                     yield from shard()
                     held, words = {}, 0
                 route = r
-            known = held.get(content)
+            known = held.get((r, content))
             if known is None:
-                held[content] = [line, least]
+                held[r, content] = [line, lo, hi]
                 words += line.count(b" ") + 1
-            elif least < known[1]:
-                known[1] = least
+            else:
+                known[1], known[2] = min(known[1], lo), max(known[2], hi)
     if held:
         yield from shard()
 
@@ -293,13 +345,13 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Apply the results of a text's segments to its words."""
     for b in batches:
         out: dict[str, list] = {n: [] for n in ("doc_id", "n_words", "n_removed", "kept")}
-        for doc, text, hits in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for doc, text, hits in zip(*(b.column(i).to_pylist() for i in (0, 2, 3))):
             words = text.encode().split()
             edge = np.zeros(len(words) + 1, dtype=np.int64)
             for hit in hits or [] if doc is not None else []:
                 a, least = hit["start"], np.array(hit["least"])
                 size = len(least) + WINDOW - 1
-                if xxhash.xxh3_128_digest(b" ".join(words[a:a + size])) != hit["content"]:
+                if _content(b" ".join(words[a:a + size])) != hit["content"]:
                     continue                       # a result of another text with the same hash
                 at = a + np.flatnonzero(least < doc)
                 np.add.at(edge, at, 1)
@@ -316,21 +368,23 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    hot_texts: int = HOT_TEXTS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept`` (words joined by a space) of every row."""
+    spark = docs.sparkSession
     # key comes from the text alone, so equal texts are worked on once
     rows = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("key"), "text")
-    grams = rows.mapInArrow(_minimizers, "key long, gram long, lo long, hi long")
-    shared = stored(grams.groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"))
+    grams = rows.mapInArrow(_minimizers, "key long, gram long, doc long")
+    shared = stored(grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"))
                     .where(F.col("lo") < F.col("hi")).select("gram", (F.col("n") > hot_texts).alias("hot")),
                     "repeats-grams")
+    free_shuffles(spark)
     lists = (grams.select("key", "gram").join(shared, "gram").groupBy("key")
              .agg(F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("hot"), F.col("gram"))).alias("hot")))
-    cut = stored(rows.join(lists, "key").select("doc_id", "key", "text", "grams", "hot").mapInArrow(_cut, _CUT),
-                 "repeats-segments")
-    found = (cut.where(F.col("words").isNotNull()).select("route", "content", "words", "least")
-             .repartition("route").sortWithinPartitions("route")
-             .mapInArrow(_search, "content binary, least array<bigint>"))
-    places = cut.select("key", "start", "content").distinct()
-    hits = places.join(found, "content").groupBy("key").agg(
-        F.collect_list(F.struct("start", "content", "least")).alias("hits"))
-    both = rows.join(hits, "key", "left").select("doc_id", "text", "hits")
+    owners = rows.groupBy("key").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("lo"),
+                                     F.coalesce(F.max("doc_id"), F.lit(-NO_ID)).alias("hi"))
+    # the same columns of ``rows`` here and below, so that its shuffle by key serves all three joins
+    marked = rows.join(lists.join(owners, "key"), "key").select("doc_id", "key", "text", "grams", "hot", "lo", "hi")
+    found = (marked.mapInArrow(_cut("segments"), _SEGMENTS).repartition("route").sortWithinPartitions("route")
+             .mapInArrow(_search, "route long, content long, least array<bigint>"))
+    hits = marked.mapInArrow(_cut("places"), _PLACES).join(found, ["route", "content"]).groupBy("key").agg(
+        F.collect_set(F.struct("start", "content", "least")).alias("hits"))
+    both = rows.join(hits, "key", "left").select("doc_id", "key", "text", "hits")
     return both.mapInArrow(_keep, "doc_id long, n_words long, n_removed long, kept string")
