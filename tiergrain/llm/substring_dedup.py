@@ -34,7 +34,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -345,21 +345,41 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Apply the results of a text's segments to its words."""
     for b in batches:
         out: dict[str, list] = {n: [] for n in ("doc_id", "n_words", "n_removed", "kept")}
-        for doc, text, hits in zip(*(b.column(i).to_pylist() for i in (0, 2, 3))):
+        hits = b.column(3)
+        flat = hits.flatten()
+        start, content = (flat.field(i).to_pylist() for i in (0, 1))
+        owners = flat.field(2)
+        least = owners.flatten().to_pylist()
+        sizes = owners.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes).tolist()
+        counts = hits.value_lengths().fill_null(0).to_pylist()
+        at = 0
+        for doc, text, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), counts):
             words = text.encode().split()
-            edge = np.zeros(len(words) + 1, dtype=np.int64)
-            for hit in hits or [] if doc is not None else []:
-                a, least = hit["start"], np.array(hit["least"])
-                size = len(least) + WINDOW - 1
-                if _content(b" ".join(words[a:a + size])) != hit["content"]:
+            stay = bytearray(b"\1") * len(words)
+            line, bounds = None, None
+            for i in range(at, at + n) if doc is not None else ():
+                begin = ends[i - 1] if i else 0
+                found = least[begin:ends[i]]
+                if min(found) >= doc:
+                    continue
+                if line is None:
+                    line = b" ".join(words)
+                    bounds = np.cumsum([0] + [len(w) + 1 for w in words]).tolist()
+                a = start[i]
+                z = a + len(found) + WINDOW - 1
+                if z > len(words) or _content(line[bounds[a]:bounds[z] - 1]) != content[i]:
                     continue                       # a result of another text with the same hash
-                at = a + np.flatnonzero(least < doc)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
-            gone = np.cumsum(edge[:-1]) > 0
-            n = int(gone.sum())
-            kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if n else words)
-            for name, v in zip(out, (doc, len(words), n, kept.decode())):
+                if max(found) < doc:
+                    stay[a:z] = bytes(z - a)
+                else:
+                    for j, owner in enumerate(found, a):
+                        if owner < doc:
+                            stay[j:j + WINDOW] = bytes(WINDOW)
+            at += n
+            gone = stay.count(0)
+            kept = b" ".join(compress(words, stay) if gone else words)
+            for name, v in zip(out, (doc, len(words), gone, kept.decode())):
                 out[name].append(v)
         types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
