@@ -86,3 +86,45 @@ def test_empty_tables(spark):
     assert got(spark, one, []) == [] == got(spark, [], one)
     long = [(1, "x " * 50_000 + one[0][1])]
     assert got(spark, long, one) == [(1, 1, 50_000, 16, 16)]
+
+
+def plain_overlaps(words, item):
+    """The rule read plainly: any stretch of any diagonal, counted token by token."""
+    least = min(13, len(item))
+    for g in range(-len(item) + 1, len(words)):
+        same = [words[g + q] == item[q] for q in range(max(0, -g), min(len(item), len(words) - g))]
+        for a in range(len(same)):
+            for z in range(a + least, len(same) + 1):
+                if 5 * sum(same[a:z]) >= 4 * (z - a):
+                    return True
+    return False
+
+
+def test_substituted_copies_against_plain_rule(spark):
+    items = [(n, [f"i{n}x{k}" for k in range(n)]) for n in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 20)]
+    docs, placed = [], {}
+    for n, w in items:
+        for k in range(3):
+            for out in itertools.combinations(range(n), k):
+                copy = ["zz" if q in out else t for q, t in enumerate(w)]
+                placed[len(docs)] = (n, k)
+                docs.append((len(docs), ["before", "it"] + copy + ["after"]))
+    item = dict(items)
+    want = {(d, placed[d][0]) for d, w in docs if plain_overlaps(w, item[placed[d][0]])}
+    found = got(spark, [(d, " ".join(w)) for d, w in docs], [(n, " ".join(w)) for n, w in items])
+    assert {f[:2] for f in found} == want
+    assert sum(placed[d] == (13, 2) for d, _ in want) == 78 and sum(placed[d] == (8, 1) for d, _ in want) == 8
+    assert all(f[3] >= min(13, f[1]) and 5 * f[4] >= 4 * f[3] for f in found)
+
+
+def test_every_equality_row_against_plain_rule():
+    rng = random.Random(9)
+    for _ in range(3000):
+        n = rng.choice([3, 8, 12, 13, 14, 17, 26, 40, 70])
+        share = rng.choice([0.7, 0.78, 0.85])
+        item = [f"i{k}" for k in range(n)]
+        words = [t if rng.random() < share else "zz" for t in item]
+        same = [a == b for a, b in zip(words, item)]
+        least = min(13, n)
+        plain = any(5 * sum(same[a:z]) >= 4 * (z - a) for a in range(n) for z in range(a + least, n + 1))
+        assert (D.overlap(words, item, 0) is not None) == plain

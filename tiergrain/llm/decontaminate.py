@@ -5,11 +5,14 @@ digits). A *mask* picks 6 of 8 neighbouring tokens and ignores the others; the
 hash of the picked tokens is the seed. The two masks together hit every stretch
 of 13 aligned tokens with up to 2 substitutions. Training seeds meet benchmark
 seeds in a hash join; every hit names a diagonal (text place minus item place),
-and the diagonal is verified token by token: the best-scoring stretch (+1 for an
-equal token, ``MISMATCH`` for another) counts as overlap if it has at least 13
-tokens (the whole item, if that is shorter) of which 80 % are equal.
+and the diagonal is verified token by token: it counts as overlap if any stretch
+of at least 13 tokens (the whole item, if that is shorter) is 80 % equal. The
+best-scoring stretch (+1 for an equal token, ``MISMATCH`` for another) is
+reported if it is such a stretch, else the best-scoring one of 13 to 25 tokens
+that is (a longer one always has a half that is).
 
-Items of fewer than 8 tokens are looked for whole, with a mask of their length.
+Items of fewer than 13 tokens are looked for whole, with masks of their length:
+one of them misses the substitutions of any copy that is 80 % equal.
 
 **Plan.** Benchmark seeds set bits in a Bloom field of fixed size, the only thing
 every task gets. Training seeds outside it are dropped where they are computed,
@@ -24,6 +27,7 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,6 @@ from pyspark.sql import functions as F
 from tiergrain.llm.common import id_text
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
-SPAN = 8
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
 MISMATCH = -3
@@ -72,8 +75,15 @@ def seeds(words: list[str], masks) -> Iterator[np.ndarray]:
         yield (s ^ (s >> np.uint64(32))).view(np.int64)
 
 
+def _short_masks(n: int) -> tuple[tuple[int, ...], ...]:
+    """Masks over a whole item of ``n`` tokens; each leaves out some groups of places, together every choice of them."""
+    wrong = int(n * (1 - MIN_EQUAL) + 1e-9)
+    groups = 2 * wrong + 1
+    return tuple(tuple(i for i in range(n) if i % groups not in out) for out in combinations(range(groups), wrong))
+
+
 def _masks(short: list[int]):
-    return MASKS + tuple(tuple(range(n)) for n in short)
+    return MASKS + tuple(m for n in short for m in _short_masks(n))
 
 
 def _probes(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,16 +92,18 @@ def _probes(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _item_seeds(short: list[int]):
+    sizes = (0,) * len(MASKS) + tuple(n for n in short for _ in _short_masks(n))     # 0: items of 13 tokens and more
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: tuple[list, list, list] = ([], [], [])
             for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = tokens(text)
-                for mask, s in zip(_masks(short), seeds(words, _masks(short))):
-                    if len(words) < SPAN and len(mask) != len(words):
-                        continue
-                    if len(words) >= SPAN and mask not in MASKS:
+                for size, s in zip(sizes, seeds(words, _masks(short))):
+                    if size != (len(words) if len(words) < MIN_TOKENS else 0):
                         continue
+                    if size:
+                        s = s[:1]
                     rows[0].append(s)
                     rows[1].append(np.full(len(s), item, dtype=np.int64))
                     rows[2].append(np.arange(len(s), dtype=np.int32))
@@ -130,16 +142,39 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def equal_stretch(equal: np.ndarray, least: int) -> tuple[int, int] | None:
+    """Bounds of the best-scoring stretch of ``least`` to 2 * ``least`` - 1 places that is ``MIN_EQUAL`` equal.
+
+    A longer stretch that is equal enough has a half that is, so there is none at all if none is found.
+    """
+    same = np.concatenate([[0], np.cumsum(equal)])
+    best = None
+    for n in range(least, min(2 * least - 1, len(equal)) + 1):
+        count = same[n:] - same[:-n]
+        start = int(count.argmax())
+        score = int(count[start]) + MISMATCH * (n - int(count[start]))
+        if count[start] >= MIN_EQUAL * n and (best is None or score > best[0]):
+            best = score, start, start + n
+    return best and best[1:]
+
+
 def overlap(words: list[str], item: list[str], diagonal: int) -> tuple[int, int, int] | None:
     """Start in the text, tokens and equal tokens of the overlap on a diagonal, if it counts."""
     a, z = max(0, -diagonal), min(len(item), len(words) - diagonal)
     if z <= a:
         return None
     equal = np.array([words[diagonal + q] == item[q] for q in range(a, z)])
+    least = min(MIN_TOKENS, len(item))
+    if len(equal) < least:
+        return None
     start, end = best_stretch(equal)
     n, same = end - start, int(equal[start:end].sum())
-    if n < min(MIN_TOKENS, len(item)) or same < MIN_EQUAL * n:
-        return None
+    if n < least or same < MIN_EQUAL * n:
+        found = equal_stretch(equal, least)
+        if found is None:
+            return None
+        start, end = found
+        n, same = end - start, int(equal[start:end].sum())
     return diagonal + a + start, n, same
 
 
@@ -170,10 +205,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def sizes(batches):
         for b in batches:
-            n = sorted({len(tokens(t)) for t in b.column(0).to_pylist()} & set(range(1, SPAN)))
+            n = sorted({len(tokens(t)) for t in b.column(0).to_pylist()} & set(range(1, MIN_TOKENS)))
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32())], names=["n"])
 
-    short = sorted(r.n for r in items.select("item_text").mapInArrow(sizes, "n int").distinct().collect())  # 7 at most
+    short = sorted(r.n for r in items.select("item_text").mapInArrow(sizes, "n int").distinct().collect())  # 12 at most
     item_seeds = items.mapInArrow(_item_seeds(short), "seed long, item long, at int")
 
     def words_of_field(batches):
