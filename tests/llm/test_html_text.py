@@ -60,3 +60,17 @@ def test_edges(spark):
     got = sorted(((r.page_id, r.text, r.n_chars) for r in extract_pages(df).collect()), key=str)
     assert got == sorted([(1, "", 0), (None, P1, len(P1)), (1, "", 0), (1, P1, len(P1))], key=str)
     assert extract_pages(df.limit(0)).count() == 0
+
+
+def test_script_bodies_are_no_markup():
+    article = f"<article><p>{P1}</p></article>"
+    bodies = ["for(var i=0;i<len;i++){f(i);}", "if(a<b)x='it", "<!-- no end", "if(a<b && c>\"d", "x='<p>';y=\"</div>\"", "a</b"]
+    for name in ("script", "STYLE", "textarea", "iframe"):
+        for body in bodies:
+            page = f"<body><{name} a='b'>{body}</{name.lower()} >{article}<{name}>{body}</{name}><p>"
+            assert main_text(page) == P1, page
+            assert main_text(f"<html><head><{name}>{body}</{name}></head><body>{article}") == P1
+    assert main_text(f"<head><title>a <b 'c</title></head>{article}<script>f(a<b") == P1
+    assert main_text(f"<svg><title>x</title><script/></svg>{article}") == P1
+    many = "<title>" * 20_000
+    assert main_text(f"{article}<svg>{many}") == P1 and main_text(f"{article}" + "<script>a<b;</script>" * 20_000) == P1

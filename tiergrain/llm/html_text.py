@@ -13,7 +13,8 @@ whole.
 
 Defined results: a null or empty page has empty text, so does one without
 text; broken markup never fails (a tag cut off at the end is dropped, open
-elements end with their parent); pages of any length and depth are parsed in
+elements end with their parent, the content of scripts and the like is never
+taken for markup); pages of any length and depth are parsed in
 one linear pass; repeated rows give repeated results.
 """
 
@@ -36,6 +37,8 @@ BLOCK = frozenset(
     "tbody td tfoot th thead tr ul".split())
 RAW = frozenset("script style noscript template textarea title iframe object svg math head select button "
                 "canvas audio video map".split())
+# The content of these is no markup: it ends at the next end tag of the same name.
+PLAIN = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in ("script", "style", "title", "textarea", "iframe")}
 UNWANTED = frozenset("nav footer aside form menu dialog fieldset".split())
 # A start tag of the key ends an open element of the value, up to the nearest element of the second value.
 _LISTS = frozenset(("ul", "ol", "menu", "dir"))
@@ -109,6 +112,7 @@ def _parse(page: str) -> _Tree:
     raw_depth = 0
     text: list[str] = []
     at = 0
+    endless: set[str] = set()      # plain elements with no further end tag
 
     def end_block() -> None:
         if text:
@@ -133,13 +137,21 @@ def _parse(page: str) -> _Tree:
         del path[depth:]
         open_links = 0
 
-    for m in _MARKUP.finditer(page):
+    while m := _MARKUP.search(page, at):
         if m.start() > at:
             take(page[at:m.start()])
         at = m.end()
         if m[2] is None or not m[4]:
             continue
         tag, closing = m[2].lower(), m[1]
+        if tag in PLAIN and not closing and tag not in endless and not m[3].rstrip().endswith("/"):
+            end = PLAIN[tag].search(page, at)
+            if end:
+                at = end.start()
+                if raw and raw != tag:
+                    continue
+            else:
+                endless.add(tag)
         if raw:
             if tag == raw:
                 raw_depth += -1 if closing else (tag not in ("script", "style", "title", "textarea"))
