@@ -74,3 +74,34 @@ def test_script_bodies_are_no_markup():
     assert main_text(f"<svg><title>x</title><script/></svg>{article}") == P1
     many = "<title>" * 20_000
     assert main_text(f"{article}<svg>{many}") == P1 and main_text(f"{article}" + "<script>a<b;</script>" * 20_000) == P1
+
+
+def test_wrappers_with_furniture_words_are_kept():
+    body = "".join(f"<p>{P1} {i}</p>" for i in range(6))
+    want = "\n\n".join(f"{P1} {i}" for i in range(6))
+    furniture = f"<div class=sidebar><p>{P2}</p></div><div class='comments-area'><p>{P2}</p></div>"
+    for open_, close in (("<div class='page has-sidebar'>", "</div>"), ("<div class='post comments-open'>", "</div>"),
+                         ("<div id=no-header>", "</div>"), ("<form id='aspnetForm'>", "</form>"),
+                         ("<form id='aspnetForm'><div class='page has-sidebar'>", "</div></form>"),
+                         ("<div class='sidebar'>", "</div>"), ("<div class=contentSidebarWrap>", "</div>")):
+        assert main_text(f"<body><nav>{MENU}</nav>{open_}{body}{close}<footer>{P2}</footer>") == want, open_
+        if "'sidebar'" not in open_:
+            assert main_text(f"<body>{MENU}{open_}{body}{furniture}{close}") == want, open_
+        assert main_text(f"<body>{open_}{furniture}<article>{body}</article>{close}") == want, open_
+    assert main_text(f"<div class='comments'>{body}</div>") == want
+    assert main_text(f"<div hidden>{body}</div>") == ""
+
+
+def test_comments_stay_out():
+    body = "".join(f"<p>{P1} {i}</p>" for i in range(3))
+    want = "\n\n".join(f"{P1} {i}" for i in range(3))
+    reader = f"<article class='comment'><p>{P2}</p></article>" * 20
+    plain = f"<article><p>{P2}</p></article>" * 20
+    for said in (reader, plain):
+        for box in ("<section class='comments'>", "<section id=comments-list>"):
+            assert main_text(f"<article>{body}{box}{said}</section></article>") == want
+            assert main_text(f"<main><article>{body}</article>{box}{said}</section></main>") == want
+            assert main_text(f"<div>{body}</div>{box}{said}</section>") == want
+    assert main_text(f"<article>{body}{reader}</article>") == want
+    assert main_text(f"<article>{body}</article><aside>{plain}</aside><div class=sidebar>{plain}</div>") == want
+    assert main_text(f"<article class='post comments-open'>{body}</article>") == want

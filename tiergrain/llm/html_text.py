@@ -2,7 +2,9 @@
 
 Every page is parsed into a tree of block elements (inline markup is text).
 After elements that say themselves that they are no article text are taken out
-(navigation, footers, scripts, forms, adverts, comments ...), every node gets
+(navigation, footers, scripts, forms, adverts, comments ...; but not the nodes
+round the article, and not those that hold most of the page's text, see
+``_keep``), every node gets
 its *composite density*: characters per tag, weighed down by the share of
 characters and tags that belong to links. A node's *density sum* adds up the
 densities of its children; the node with the largest sum holds the main text.
@@ -40,6 +42,7 @@ RAW = frozenset("script style noscript template textarea title iframe object svg
 # The content of these is no markup: it ends at the next end tag of the same name.
 PLAIN = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in ("script", "style", "title", "textarea", "iframe")}
 UNWANTED = frozenset("nav footer aside form menu dialog fieldset".split())
+WRAPPERS = frozenset("form fieldset".split())       # of these, the ones that can stand round a whole page
 # A start tag of the key ends an open element of the value, up to the nearest element of the second value.
 _LISTS = frozenset(("ul", "ol", "menu", "dir"))
 _TABLE = frozenset(("table",))
@@ -59,6 +62,15 @@ FURNITURE = frozenset(
     "cookie cookies consent gdpr notice notification alert popup modal overlay dialog disclaimer "
     "newsletter subscribe subscription signup login form share sharing social skip".split())
 
+COMMENTS = frozenset("comment comments commentlist respond reply replies discussion disqus feedback".split())
+# With one of these a value tells what a page has, not what the element is: "has-sidebar", "comments-open".
+STATES = frozenset("has have no not with without open opened closed enabled disabled off hide hides".split())
+# What an element's own markup says of it: article text, a furniture word among others, furniture by name,
+# furniture by element or hidden, reader comments.
+CLEAN, MENTIONS, NAMED, NEVER, READERS = range(5)
+# Share of the page's text that lets a marked node stay.
+MOST = {MENTIONS: 0.5, NAMED: 0.9}
+
 _MARKUP = re.compile(
     r"<!--(?:.*?--!?>|.*\Z)|<[!?][^>]*+(?:>|\Z)|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(>|\Z)", re.S)
@@ -67,20 +79,29 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _furniture(tag: str, attributes: str) -> bool:
-    """Does the element itself say that it is no article text?"""
-    if tag in UNWANTED:
-        return True
+def _furniture(tag: str, attributes: str) -> int:
+    """How far does the element itself say that it is no article text?"""
+    mark = CLEAN if tag not in UNWANTED else MENTIONS if tag in WRAPPERS else NEVER
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style":
+            mark = max(mark, NEVER)
+        elif name == "style":
             if _HIDDEN.search(value):
-                return True
-        elif any(w.lower() in FURNITURE for w in _WORDS.findall(value)):
-            return True
-    return False
+                mark = max(mark, NEVER)
+        elif name != "aria-hidden":
+            for part in value.split():
+                words = [w.lower() for w in _WORDS.findall(part)]
+                found = FURNITURE.intersection(words)
+                if not found:
+                    continue
+                if not STATES.isdisjoint(words):
+                    mark = max(mark, MENTIONS)
+                elif not COMMENTS.isdisjoint(found):
+                    mark = READERS
+                else:
+                    mark = max(mark, NAMED if found.issuperset(words) else MENTIONS)
+    return mark
 
 
 class _Tree:
@@ -89,15 +110,15 @@ class _Tree:
     def __init__(self) -> None:
         self.tag: list[str] = []
         self.parent: list[int] = []
-        self.drop: list[bool] = []
+        self.mark: list[int] = []
         self.chars: list[int] = []
         self.link_chars: list[int] = []
         self.tags: list[int] = []
         self.link_tags: list[int] = []
         self.blocks: list[tuple[int, str]] = []      # (node, text) in page order
 
-    def add(self, tag: str, parent: int, drop: bool) -> int:
-        for values, v in ((self.tag, tag), (self.parent, parent), (self.drop, drop), (self.chars, 0),
+    def add(self, tag: str, parent: int, mark: int) -> int:
+        for values, v in ((self.tag, tag), (self.parent, parent), (self.mark, mark), (self.chars, 0),
                           (self.link_chars, 0), (self.tags, 0), (self.link_tags, 0)):
             values.append(v)
         return len(self.tag) - 1
@@ -105,7 +126,7 @@ class _Tree:
 
 def _parse(page: str) -> _Tree:
     tree = _Tree()
-    root = tree.add("body", -1, False)
+    root = tree.add("body", -1, CLEAN)
     path = [root]
     open_links = 0
     raw = ""              # inside this element everything is skipped
@@ -207,19 +228,44 @@ def _parse(page: str) -> _Tree:
 
 
 def _keep(tree: _Tree) -> list[bool]:
-    """Which nodes stay: page furniture goes, unless the article is inside it."""
+    """Which nodes stay: page furniture goes, unless the article is inside it.
+
+    The article is in the unmarked ``article`` and ``main`` elements outside furniture and comments; if there are
+    none, in those outside comments; if there are none either, a marked node that holds most of the page's text
+    without links (``MOST``) stays. If nothing is left of the page, furniture by word stays, then comments do.
+    """
     n = len(tree.tag)
-    holds = [t in ("article", "main") for t in tree.tag]
-    for i in range(n - 1, 0, -1):
-        if holds[i]:
-            holds[tree.parent[i]] = True
+    mark = tree.mark[:]
     inside = [False] * n          # below an article or main
-    stays = [True] * n
+    worst = [CLEAN] * n           # of the node and all around it
+    around = [CLEAN] * n          # of all around it
     for i in range(1, n):
         p = tree.parent[i]
         inside[i] = inside[p] or tree.tag[p] in ("article", "main")
-        page_header = tree.tag[i] == "header" and not inside[i]
-        stays[i] = stays[p] and (holds[i] or not (tree.drop[i] or page_header))
+        if tree.tag[i] == "header" and not inside[i]:
+            mark[i] = max(mark[i], NAMED)
+        around[i] = worst[p]
+        worst[i] = max(worst[p], mark[i])
+    named = [i for i in range(n) if tree.tag[i] in ("article", "main")]
+    articles = [i for i in named if mark[i] == CLEAN and around[i] <= MENTIONS]
+    if not articles:
+        articles = [i for i in named if worst[i] < READERS]
+    holds = [False] * n
+    for i in articles:
+        holds[i] = True
+    mass = [c - lc for c, lc in zip(tree.chars, tree.link_chars)]
+    for i in range(n - 1, 0, -1):
+        p = tree.parent[i]
+        holds[p] = holds[p] or holds[i]
+        if mark[i] < NEVER:
+            mass[p] += mass[i]
+    for fallback in ((), (MENTIONS, NAMED), (MENTIONS, NAMED, READERS)):
+        stays = [True] * n
+        for i in range(1, n):
+            most = not articles and mark[i] in MOST and mass[i] > MOST[mark[i]] * mass[0]
+            stays[i] = stays[tree.parent[i]] and (holds[i] or mark[i] == CLEAN or mark[i] in fallback or most)
+        if any(c and s for c, s in zip(tree.chars, stays)):
+            break
     return stays
 
 
