@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tiergrain.llm import toxicity as T
@@ -40,3 +41,33 @@ def test_grades_are_ordered_and_rows_kept(spark):
     assert by[0].severity > by[4].severity > 0.5 > by[1].severity and by[300].toxic and not by[200].toxic
     assert T.grade_documents(docs.limit(0), labels).count() == 0
     assert not any(r.toxic for r in T.grade_documents(docs, labels.limit(0)).collect())
+
+
+def _some(n, every):
+    return [(i, ("awful vile " if i % every == 0 else "nice calm ") + f"day n{i}") for i in range(n)]
+
+
+def test_labels_of_other_documents_take_no_places(spark):
+    docs = spark.createDataFrame(_some(80, 4), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)] + [(i, 0) for i in range(1000, 9000)],
+                                   "doc_id long, toxic int")
+    got = {r.doc_id: r.toxic for r in T.grade_documents(docs, labels, train_rows=100).collect()}
+    assert got == {i: i % 4 == 0 for i in range(80)}
+
+
+def test_a_rare_class_has_training_rows(spark):
+    docs = spark.createDataFrame(_some(6000, 300), "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 300 = 0) as toxic")
+    got = {r.doc_id: r.toxic for r in T.grade_documents(docs, labels, train_rows=100).collect()}
+    assert got == {i: i % 300 == 0 for i in range(6000)}
+    for n in ({0: 5, 1: 3}, {0: 1, 1: 9999}, {0: 10**9, 1: 2}, {0: 70, 1: 70}, {0: 10**9, 1: 10**7}):
+        places = T.class_places(n, 100)
+        assert sum(places.values()) == min(100, sum(n.values())) and all(1 <= places[c] <= n[c] for c in n)
+        assert all(places[c] >= min(n[c], 10) for c in n)
+
+
+def test_a_class_without_documents_is_reported(spark):
+    docs = spark.createDataFrame([(i, "nice calm day") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 20)) for i in range(40)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match=r"labels \[1\] exist"):
+        assert not any(r.toxic for r in T.grade_documents(docs, labels).collect())

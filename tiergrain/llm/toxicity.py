@@ -11,18 +11,21 @@ are clearly more frequent in toxic texts (``MIN_LIFT``), the ``FEATURES`` that
 speak most for the toxic class are used. Copies among the training texts count
 once.
 
-**Training rows.** At most ``TRAIN_ROWS`` labelled documents (those with the
-least id hashes) are used, so training costs the same at every size; scoring
-covers every document. Labels only say toxic or not; a toxic training text is
+**Training rows.** At most ``TRAIN_ROWS`` labelled documents of the input (of
+each class those with the least id hashes) are used, so training costs the same
+at every size; scoring covers every document. The classes have their shares of
+the labels, but a class that has them gets at least ``LEAST_SHARE`` of the
+places; rows then weigh as much as the labels they stand for. Labels only say toxic or not; a toxic training text is
 severe if it has more of the chosen features than the median of the toxic texts.
 
 Defined results: a null or empty text has no features; labels with a null or an
 unknown document are ignored; without both classes the model scores every text
-0; repeated rows give repeated results; an empty table gives an empty result.
+0, with a warning if labels of a missing class exist; repeated rows give repeated results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 from tiergrain.llm.common import id_text, stored
 
 TRAIN_ROWS = 12_000
+LEAST_SHARE = 0.1         # of the training rows, for each class that has as many
 FEATURES = 2_000
 MIN_ROWS = 3              # toxic training texts that must have a feature
 MIN_LIFT = 1.5            # log ratio of a feature's share among toxic and clean training texts
@@ -81,11 +85,12 @@ class OrdinalModel:
 
 
 def fit_ordinal(rows: list[np.ndarray], grade: np.ndarray, n_features: int, steps: int = STEPS,
-                ridge: float = RIDGE) -> tuple[np.ndarray, tuple[float, float]]:
-    """Cumulative-link regression by Adam on the mean log loss; rows list feature numbers."""
+                ridge: float = RIDGE, weight: np.ndarray | None = None) -> tuple[np.ndarray, tuple[float, float]]:
+    """Cumulative-link regression by Adam on the (weighted) mean log loss; rows list feature numbers."""
+    weight = np.ones(len(rows)) if weight is None else weight / weight.mean()
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     feature = np.concatenate([*rows, np.zeros(0, dtype=np.int64)]).astype(np.int64)
-    share = [np.clip(np.mean(grade <= j), 1e-3, 1 - 1e-3) for j in (0, 1)]
+    share = [np.clip(np.mean(weight * (grade <= j)), 1e-3, 1 - 1e-3) for j in (0, 1)]
     low = np.log(share[0] / (1 - share[0]))
     gap = np.log(max(1e-2, np.log(share[1] / (1 - share[1])) - low))
     x = np.concatenate([np.zeros(n_features), [low, gap]])
@@ -101,11 +106,11 @@ def fit_ordinal(rows: list[np.ndarray], grade: np.ndarray, n_features: int, step
         slope = below * (1 - below)
         own = np.arange(len(rows))
         p = np.maximum(below[own, grade + 1] - below[own, grade], 1e-12)
-        by_margin = (slope[own, grade + 1] - slope[own, grade]) / p / len(rows)
+        by_margin = weight * (slope[own, grade + 1] - slope[own, grade]) / p / len(rows)
         g = np.zeros_like(x)
         g[:n_features] = np.bincount(feature, weights=by_margin[at], minlength=n_features) + ridge * x[:n_features]
-        by_theta = [np.sum(np.where(grade == j, -slope[:, j + 1], 0) / p + np.where(grade == j + 1, slope[:, j + 1], 0) / p)
-                    / len(rows) for j in (0, 1)]
+        by_theta = [np.sum(weight * (np.where(grade == j, -slope[:, j + 1], 0) / p
+                                     + np.where(grade == j + 1, slope[:, j + 1], 0) / p)) / len(rows) for j in (0, 1)]
         g[-2] = by_theta[0] + by_theta[1]
         g[-1] = by_theta[1] * np.exp(x[-1])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -125,20 +130,42 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
              pa.array([counts[0][f] for f in names], pa.int64())], names=["feature", "toxic", "clean"])
 
 
+def class_places(n: dict[int, int], train_rows: int) -> dict[int, int]:
+    """Training rows of each class, of ``n`` labelled documents."""
+    total = n[0] + n[1]
+    if total <= train_rows:
+        return dict(n)
+    least = max(1, int(train_rows * LEAST_SHARE))
+    toxic = min(max(train_rows * n[1] // total, min(n[1], least)), train_rows - min(n[0], least))
+    return {0: train_rows - toxic, 1: toxic}
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         toxic_col: str = "toxic", train_rows: int = TRAIN_ROWS, features: int = FEATURES) -> OrdinalModel:
     """Train on at most ``train_rows`` labelled documents."""
     marks = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(toxic_col).cast("int").alias("y"))
              .where(F.col("id").isNotNull() & F.col("y").isin(0, 1))
-             .groupBy("id").agg(F.max("y").alias("y"))
-             .orderBy(F.xxhash64("id"), "id").limit(train_rows))
+             .groupBy("id").agg(F.max("y").alias("y")))
     text = id_text(docs, id_col, text_col)
-    # ``marks`` has at most ``train_rows`` rows of two numbers
-    sample = stored(text.join(F.broadcast(marks), F.col("doc_id") == F.col("id")).select("text", "y")
+    ids = text.select(F.col("doc_id").alias("id")).distinct()
+    known = stored(marks.join(ids, "id", "left_semi"), "toxicity-labels")
+    labelled = {0: 0, 1: 0} | {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not labelled[0] or not labelled[1]:
+        lost = sorted(r.y for r in marks.select("y").distinct().collect() if not labelled[r.y])
+        if lost:
+            warnings.warn(f"toxicity: labels {lost} exist, but of no document of the input; every text scores 0")
+        return OrdinalModel({}, (0.0, 1.0))
+    places = class_places(labelled, train_rows)
+
+    def chosen_of(y: int) -> DataFrame:
+        rows = known.where(F.col("y") == y)
+        return rows if places[y] == labelled[y] else rows.orderBy(F.xxhash64("id"), "id").limit(places[y])
+
+    # at most ``train_rows`` rows of two numbers
+    train = chosen_of(0).unionByName(chosen_of(1))
+    sample = stored(text.join(F.broadcast(train), F.col("doc_id") == F.col("id")).select("text", "y")
                     .distinct().repartition(8), "toxicity-sample")
     n = {r.y: r.n for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if not n.get(0) or not n.get(1):
-        return OrdinalModel({}, (0.0, 1.0))
     counts = (sample.mapInArrow(_feature_counts, "feature string, toxic long, clean long")
               .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
               .where(F.col("toxic") >= MIN_ROWS))
@@ -158,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = rows["y"].to_numpy()
     size = np.array([len(x) for x in rows["x"]])
     severe = size > np.median(size[y == 1])
-    weights, theta = fit_ordinal(list(rows["x"]), y + (y == 1) * severe, len(chosen))
+    stand_for = np.array([labelled[c] / places[c] for c in (0, 1)])
+    weights, theta = fit_ordinal(list(rows["x"]), y + (y == 1) * severe, len(chosen), weight=stand_for[y])
     return OrdinalModel(dict(zip(chosen, weights.tolist())), theta)
 
 
