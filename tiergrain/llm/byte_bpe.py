@@ -5,18 +5,18 @@ broadcast: its size is fixed by the file, not by the data. Every regex match
 ("piece") of a text is encoded on its own:
 
 * a piece that is itself a token is that token (as the public library does);
-* otherwise bytes are mapped to Latin-1 characters, one Aho-Corasick pass
-  finds the longest token that starts at every byte, and the encoder walks
-  left to right. It takes the longest token whose neighbourhood with the last
-  token is *compatible*: byte-pair merging would never have merged or cut
-  across the border of the two. If none fits it shortens the token, and if no
-  prefix fits either it takes the last token back. A position given up once is
+* otherwise bytes are mapped to Latin-1 characters and the encoder walks left to
+  right. At every place it visits, the Aho-Corasick automaton's trie gives the
+  longest token that starts there. It takes the longest token whose neighbourhood
+  with the last token is *compatible*: byte-pair merging would never have merged
+  or cut across the border of the two. If none fits it shortens the token, and if
+  no prefix fits either it takes the last token back. A position given up once is
   never tried again, so the work is linear in the bytes.
 
 Compatibility is decided by undoing merges on both sides of the border and is
 memoised per token pair. Pieces repeat a lot in running text, so their ids are
-memoised too; both tables are emptied when they reach a fixed size, which
-changes the speed only.
+memoised too. Each table has two generations of fixed size: a full young one
+becomes the old one, and what is still used moves back. That changes the speed only.
 
 Defined results: a null or empty text has no ids; repeated rows and ids give
 repeated results; a text of any length is processed in slices of matches.
@@ -25,6 +25,7 @@ repeated results; a text of any length is processed in slices of matches.
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 from functools import lru_cache
 from itertools import islice
 
@@ -35,22 +36,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECES_KEPT = 200_000      # memoised pieces per Python worker
-PAIRS_KEPT = 400_000     # memoised token pairs per Python worker
+PIECES_KEPT = 350_000      # memoised pieces per generation and Python worker
+PAIRS_KEPT = 250_000       # memoised token pairs per generation and Python worker
 MATCHES_PER_SLICE = 1 << 16
 
 
-class _PackedPieces(dict):
-    """Packed ids by piece, worked out at the first look-up."""
+class _Memo(dict):
+    """Results by key, worked out at the first look-up; two generations of at most ``size``."""
 
-    def __init__(self, codec: BytePairCodec):
+    def __init__(self, work: Callable, size: int):
         super().__init__()
-        self.codec = codec
+        self.work, self.size, self.old = work, size, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.codec.encode_piece(piece.encode("utf-8"))
-        packed = self[piece] = b"".join([i.to_bytes(4, "little") for i in ids])
-        return packed
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        known = self.old.get(key)
+        if known is None:
+            known = self.work(key)
+        self[key] = known
+        return known
 
 
 class BytePairCodec:
@@ -60,10 +66,15 @@ class BytePairCodec:
         self.tokens = tokens
         self.rank = {t: i for i, t in enumerate(tokens) if t}
         self.pattern = regex.compile(pattern)
-        self._compatible: dict[int, bool] = {}
-        self._pieces = _PackedPieces(self)
+        self.sizes = [len(t) for t in tokens]
+        self.packed = [i.to_bytes(4, "little") for i in range(len(tokens))]
+        self._compatible = _Memo(lambda key: self._decide(*divmod(key, len(tokens))), PAIRS_KEPT)
+        self._pieces = _Memo(self._pack, PIECES_KEPT)
         self._build()
 
+    def _pack(self, piece: str) -> bytes:
+        return b"".join([self.packed[i] for i in self.encode_piece(piece.encode("utf-8"))])
+
     def _build(self) -> None:
         """Find for every token the last merge that makes it.
 
@@ -92,7 +103,7 @@ class BytePairCodec:
         automaton = ahocorasick.Automaton()
         for i in reachable:
             t = tokens[i]
-            automaton.add_word(t.decode("latin-1"), (i, len(t)))
+            automaton.add_word(t.decode("latin-1"), i)
             for k in range(len(t) - 1, 0, -1):
                 p = rank.get(t[:k], -1)
                 if p in reachable:
@@ -100,6 +111,8 @@ class BytePairCodec:
                     break
         automaton.make_automaton()
         self.automaton = automaton
+        self.words = {tokens[i].decode("latin-1"): i for i in reachable}
+        self.longest = max(map(len, self.words), default=1)
 
     def _made_at(self, token: int) -> int:
         """When merging makes the token; single bytes are there from the start."""
@@ -129,40 +142,42 @@ class BytePairCodec:
                 right = self.cut[right][0]
 
     def compatible(self, left: int, right: int) -> bool:
-        key = left * len(self.tokens) + right
-        known = self._compatible.get(key)
-        if known is None:
-            if len(self._compatible) >= PAIRS_KEPT:
-                self._compatible.clear()
-            known = self._compatible[key] = self._decide(left, right)
-        return known
+        return self._compatible[left * len(self.tokens) + right]
+
+    def _longest_token(self, text: str) -> int:
+        """The longest token that ``text`` starts with; the trie's path bounds the look-ups."""
+        size = self.automaton.longest_prefix(text)
+        token = self.words.get(text[:size])
+        while token is None:
+            size -= 1
+            token = self.words.get(text[:size])
+        return token
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        n, tokens, shorter = len(piece), self.tokens, self.shorter
-        longest = [-1] * n
-        for end, (token, size) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - size + 1] = token      # a later end is a longer token
-        given_up = bytearray(n + 1)
+        text, n = piece.decode("latin-1"), len(piece)
+        pairs, shorter, sizes = self._compatible, self.shorter, self.sizes
+        many, reach, find = len(self.tokens), self.longest, self._longest_token
+        given_up: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, last, token = 0, -1, find(text[:reach]) if n else -1
         while at < n:
-            last = out[-1] if out else -1
             while token >= 0:
-                end = at + len(tokens[token])
-                if not given_up[end] and (last < 0 or self.compatible(last, token)):
+                end = at + sizes[token]
+                if end not in given_up and (last < 0 or pairs[last * many + token]):
                     break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at, last = end, token
+                token = find(text[at:at + reach]) if at < n else -1
             else:
-                given_up[at] = 1
+                given_up.add(at)
                 token = out.pop()
-                at -= len(tokens[token])
+                at -= sizes[token]
+                last = out[-1] if out else -1
         return out
 
     def encode_packed(self, text: str) -> bytes:
@@ -174,8 +189,6 @@ class BytePairCodec:
         slices = []
         while part := list(islice(matches, MATCHES_PER_SLICE)):
             slices.append(b"".join(map(self._pieces.__getitem__, part)))
-            if len(self._pieces) > PIECES_KEPT:
-                self._pieces.clear()
         return b"".join(slices)
 
     def decode_packed(self, packed: bytes) -> bytes:

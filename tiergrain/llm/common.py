@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
-import time
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiergrain.session import shared_dir
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,21 +33,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 
     Cuts the lineage without keeping blocks on executors, so a lost executor
-    costs a reread instead of a recomputation.
+    costs a reread instead of a recomputation. The write's shuffle files go
+    when it is done.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.select("*").write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs now.
-
-    Its cleaner drops them once the driver has collected the plans that own
-    them; between the stored steps of a long operator that halves the disk used.
-    """
-    for _ in range(2):      # the first round drops the plans, the second what they held
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)

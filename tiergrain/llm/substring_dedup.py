@@ -34,39 +34,41 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import free_shuffles, id_text, stored
+from tiergrain.llm.common import id_text, stored
 
 WINDOW = 13
 GRAM = 5                   # words of a minimizer
 SHARD_WORDS = 1_000_000    # words indexed at once
 HOT_TEXTS = 5_000          # a minimizer shared by more texts is spread by window
-CHUNK_ROWS = 200           # texts worked on side by side where every row counts
-CHUNK_CHARS = 500_000      # and characters elsewhere
-WORDS_KEPT = 200_000     # memoised word hashes per Python worker
+CHUNK_BYTES = 1 << 20      # texts worked on side by side; a longer text is a chunk of its own
 NO_ID = np.iinfo(np.int64).max
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * _M2
+    return h ^ (h >> np.uint64(27))
 
 
-_hashes = _WordHashes()
+def _powers(base: int) -> np.ndarray:
+    steps = np.full(CHUNK_BYTES, base % (1 << 64), dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * _M2
-    return h ^ (h >> np.uint64(27))
+_WORD = np.ones(256, dtype=bool)
+_WORD[[9, 10, 11, 12, 13, 32]] = False
+_LETTER = _mixed(np.arange(1, 257, dtype=np.uint64) * _M1)
+_UP, _DOWN = _powers(int(_M2)), _powers(pow(int(_M2), -1, 1 << 64))
 
 
 def _sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -78,27 +80,66 @@ def _sequence_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return _mixed(h)
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > WORDS_KEPT:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every word: a polynomial over its bytes, from prefix sums over blocks of words."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    at = 0
+    while at < len(starts):
+        base = starts[at]
+        z = int(np.searchsorted(ends, base + CHUNK_BYTES, side="right"))
+        if z == at:                                   # a word longer than a block
+            out[at] = xxhash.xxh64_intdigest(data[base:ends[at]].tobytes())
+            at += 1
+            continue
+        a, e = starts[at:z] - base, ends[at:z] - base
+        terms = _LETTER[data[base:base + e[-1]]] * _UP[:e[-1]]
+        sums = np.cumsum(terms)
+        out[at:z] = (sums[e - 1] - sums[a] + terms[a]) * _DOWN[a]
+        at = z
+    return _mixed(out)
+
+
+class _Words:
+    """The words of some texts side by side, as places in their bytes."""
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        raw = texts.buffers()[2]
+        data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, dtype=np.uint8)
+        self.data = data[offsets[0]:offsets[-1]]
+        self.offsets = offsets - offsets[0]
+        inside = _WORD[self.data]
+        opens, closes = np.zeros(len(inside) + 1, dtype=bool), np.zeros(len(inside) + 1, dtype=bool)
+        opens[:-1] = inside
+        opens[1:-1] &= ~inside[:-1]
+        closes[1:] = inside
+        closes[1:-1] &= ~inside[1:]
+        border = self.offsets[:-1][np.diff(self.offsets) > 0]        # where a text begins, a word does not go on
+        opens[border] = inside[border]
+        later = border[border > 0]
+        closes[later] = inside[later - 1]
+        self.starts, self.ends = np.flatnonzero(opens), np.flatnonzero(closes)
+        self.text = np.searchsorted(self.offsets, self.starts, side="right") - 1
+        self.counts = np.bincount(self.text, minlength=len(texts))
+        self.begin = np.cumsum(self.counts) - self.counts
+
+    def line(self, first: int, last: int) -> bytes:
+        """The bytes from one word to another (both included)."""
+        return self.data[self.starts[first]:self.ends[last]].tobytes()
 
 
-class _Chunk:
-    """Some texts side by side: words, minimizer of every window, segments.
+class _Segments(_Words):
+    """Words, the minimizer of every window, and segments.
 
     A segment is a run of windows with the same minimizer; windows that would
     cross the end of a text do not exist.
     """
 
-    def __init__(self, texts: list[str]):
-        split = [t.encode().split() for t in texts]
-        self.counts = np.array([len(w) for w in split], dtype=np.int64)
-        self.words = list(chain.from_iterable(split))
-        self.hashes = _word_hashes(self.words)
-        n = len(self.words)
-        self.text = np.repeat(np.arange(len(texts)), self.counts)
-        self.begin = np.cumsum(self.counts) - self.counts
+    def __init__(self, texts: pa.Array):
+        super().__init__(texts)
+        self.hashes = _word_hashes(self.data, self.starts, self.ends)
+        n = len(self.hashes)
         none = np.zeros(0, dtype=np.int64)
         self.first, self.last, self.minimizer = none, none, none
         if n < WINDOW:
@@ -116,35 +157,22 @@ class _Chunk:
         self.minimizer = least[self.first].view(np.int64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[list, list]]:
-    """Rows in portions of about ``CHUNK_CHARS`` characters, and their texts; copies of a text in a row once.
-
-    The key is the column before the text.
-    """
-    last, rows, size = None, [], 0
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if row[text_at - 1] == last:
-                continue
-            last = row[text_at - 1]
-            rows.append(row)
-            size += len(row[text_at])
-            if size >= CHUNK_CHARS:
-                yield rows, [r[text_at] for r in rows]
-                rows, size = [], 0
-    if rows:
-        yield rows, [r[text_at] for r in rows]
+def _parts(batch: pa.RecordBatch, text_at: int) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in runs of about ``CHUNK_BYTES`` of text."""
+    size = np.cumsum(pa.compute.binary_length(batch.column(text_at)).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = size[at - 1] if at else 0
+        z = max(at + 1, int(np.searchsorted(size, done + CHUNK_BYTES, side="right")))
+        yield batch.slice(at, z - at)
+        at = z
 
 
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``key``, ``gram``, ``doc``: the minimizers of every row's segments."""
-    def rows_of(b):          # every row counts here, also copies: their ids matter
-        for at in range(0, b.num_rows, CHUNK_ROWS):
-            yield b.slice(at, CHUNK_ROWS)
-
     for b in batches:
-        for part in rows_of(b):
-            chunk = _Chunk(part.column(2).to_pylist())
+        for part in _parts(b, 2):            # every row counts here, also copies: their ids matter
+            chunk = _Segments(part.column(2))
             if not len(chunk.first):
                 continue
             at = pa.array(chunk.text[chunk.first])
@@ -163,46 +191,59 @@ _PLACES = "key long, start int, route long, content long"
 _SEGMENTS = "route long, content long, words binary, lo long, hi long"
 
 
+def _longs(values) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+
+
 def _cut(part: str):
-    """Task function: segments with shared minimizers, as ``places`` or as distinct ``segments``."""
+    """Task function: segments with shared minimizers, as ``places`` or as distinct ``segments``.
+
+    Rows come sorted by key, so copies of a text follow each other and are cut once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in _chunks(batches, 2):
-            chunk = _Chunk(texts)
-            # a minimizer in any row's list is shared, whichever text of the chunk has it
-            shared = np.array(list(chain.from_iterable(r[3] for r in rows)), dtype=np.int64)
-            hot = np.array(list(chain.from_iterable(r[4] or [] for r in rows)), dtype=np.int64)
-            chosen = np.isin(chunk.minimizer, shared)
-            first, last, route = chunk.first[chosen], chunk.last[chosen], chunk.minimizer[chosen]
-            spread = np.isin(route, hot)
-            if spread.any():
-                whole = _sequence_hashes(chunk.hashes, WINDOW).view(np.int64)
-                single = np.concatenate([np.arange(a, z + 1) for a, z in zip(first[spread], last[spread])])
-                first, last, route = (np.concatenate([x[~spread], y]) for x, y in (
-                    (first, single), (last, single), (route, whole[single])))
-            if not len(first):
-                continue
-            line = b" ".join(chunk.words)
-            size = np.fromiter(map(len, chunk.words), dtype=np.int64, count=len(chunk.words))
-            end = np.cumsum(size + 1) - 1
-            spans = zip((end - size)[first].tolist(), end[last + WINDOW - 1].tolist())
-            lines = [line[a:z] for a, z in spans]
-            content = np.array([_content(x) for x in lines], dtype=np.int64)
-            text = chunk.text[first]
-            if part == "places":
-                key = np.array([r[1] for r in rows], dtype=np.int64)[text]
-                start = (first - chunk.begin[text]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, start, route, content)],
-                                                 names=["key", "start", "route", "content"])
+        last = None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            distinct, at, which = np.unique(content, return_index=True, return_inverse=True)
-            lo, hi = (np.array([r[i] for r in rows], dtype=np.int64)[text] for i in (5, 6))
-            least, most = lo[at], hi[at]
-            np.minimum.at(least, which, lo)
-            np.maximum.at(most, which, hi)
+            keys = _longs(b.column(1))
+            new = np.concatenate([[last is None or keys[0] != last], keys[1:] != keys[:-1]])
+            last = keys[-1]
+            for rows in _parts(b.filter(pa.array(new)), 2):
+                yield from cut(rows)
+
+    def cut(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        chunk = _Segments(rows.column(2))
+        # a minimizer in any row's list is shared, whichever text of the chunk has it
+        shared, hot = _longs(rows.column(3).flatten()), _longs(rows.column(4).flatten())
+        chosen = np.isin(chunk.minimizer, shared)
+        first, last, route = chunk.first[chosen], chunk.last[chosen], chunk.minimizer[chosen]
+        spread = np.isin(route, hot)
+        if spread.any():
+            whole = _sequence_hashes(chunk.hashes, WINDOW).view(np.int64)
+            single = np.concatenate([np.arange(a, z + 1) for a, z in zip(first[spread], last[spread])])
+            first, last, route = (np.concatenate([x[~spread], y]) for x, y in (
+                (first, single), (last, single), (route, whole[single])))
+        if not len(first):
+            return
+        raw = chunk.data.tobytes()
+        lines = [raw[a:z] for a, z in zip(chunk.starts[first].tolist(), chunk.ends[last + WINDOW - 1].tolist())]
+        content = np.array([_content(x) for x in lines], dtype=np.int64)
+        text = chunk.text[first]
+        if part == "places":
+            start = (first - chunk.begin[text]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(route[at]), pa.array(distinct), pa.array([lines[i] for i in at.tolist()], pa.binary()),
-                 pa.array(least), pa.array(most)], names=["route", "content", "words", "lo", "hi"])
+                [pa.array(x) for x in (_longs(rows.column(1))[text], start, route, content)],
+                names=["key", "start", "route", "content"])
+            return
+        distinct, at, which = np.unique(content, return_index=True, return_inverse=True)
+        lo, hi = _longs(rows.column(5))[text], _longs(rows.column(6))[text]
+        least, most = lo[at], hi[at]
+        np.minimum.at(least, which, lo)
+        np.maximum.at(most, which, hi)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(route[at]), pa.array(distinct), pa.array([lines[i] for i in at.tolist()], pa.binary()),
+             pa.array(least), pa.array(most)], names=["route", "content", "words", "lo", "hi"])
 
     return run
 
@@ -286,7 +327,7 @@ def least_owners(lines: list[bytes], owners: list[int], window: int = WINDOW) ->
     ids: dict[bytes, int] = {}
     text, lengths = [], []
     for line in lines:
-        words = line.split(b" ")
+        words = line.split()
         text.extend([ids.setdefault(w, len(ids) + 1) for w in words])
         text.append(0)
         lengths.append(len(words))
@@ -334,7 +375,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = held.get((r, content))
             if known is None:
                 held[r, content] = [line, lo, hi]
-                words += line.count(b" ") + 1
+                words += len(line.split())
             else:
                 known[1], known[2] = min(known[1], lo), max(known[2], hi)
     if held:
@@ -344,58 +385,63 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Apply the results of a text's segments to its words."""
     for b in batches:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "n_words", "n_removed", "kept")}
-        hits = b.column(3)
-        flat = hits.flatten()
-        start, content = (flat.field(i).to_pylist() for i in (0, 1))
-        owners = flat.field(2)
-        least = owners.flatten().to_pylist()
-        sizes = owners.value_lengths().to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes).tolist()
-        counts = hits.value_lengths().fill_null(0).to_pylist()
-        at = 0
-        for doc, text, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), counts):
-            words = text.encode().split()
-            stay = bytearray(b"\1") * len(words)
-            line, bounds = None, None
-            for i in range(at, at + n) if doc is not None else ():
-                begin = ends[i - 1] if i else 0
-                found = least[begin:ends[i]]
-                if min(found) >= doc:
-                    continue
-                if line is None:
-                    line = b" ".join(words)
-                    bounds = np.cumsum([0] + [len(w) + 1 for w in words]).tolist()
-                a = start[i]
-                z = a + len(found) + WINDOW - 1
-                if z > len(words) or _content(line[bounds[a]:bounds[z] - 1]) != content[i]:
-                    continue                       # a result of another text with the same hash
-                if max(found) < doc:
-                    stay[a:z] = bytes(z - a)
-                else:
-                    for j, owner in enumerate(found, a):
-                        if owner < doc:
-                            stay[j:j + WINDOW] = bytes(WINDOW)
-            at += n
-            gone = stay.count(0)
-            kept = b" ".join(compress(words, stay) if gone else words)
-            for name, v in zip(out, (doc, len(words), gone, kept.decode())):
-                out[name].append(v)
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+        for part in _parts(b, 2):
+            yield _kept(part)
+
+
+def _kept(rows: pa.RecordBatch) -> pa.RecordBatch:
+    chunk = _Words(rows.column(2))
+    n = len(chunk.starts)
+    hits = rows.column(3)
+    text = np.repeat(np.arange(rows.num_rows), _longs(hits.value_lengths().fill_null(0)))
+    flat = hits.flatten()
+    start, content = _longs(flat.field(0)), _longs(flat.field(1))
+    owners = flat.field(2)
+    windows = _longs(owners.value_lengths())
+    owner = _longs(owners.flatten())
+    doc = _longs(rows.column(0).fill_null(-NO_ID))       # a row without an id loses nothing
+    hit = np.repeat(np.arange(len(text)), windows)       # the result that a window belongs to
+    lost = owner < doc[text[hit]] if len(hit) else np.zeros(0, dtype=bool)
+    # only a result that speaks of this text's own words counts, not one of another text with the same hash
+    own = np.zeros(len(text), dtype=bool)
+    for i in np.unique(hit[lost]).tolist():
+        z = start[i] + windows[i] + WINDOW - 1
+        a = chunk.begin[text[i]]
+        own[i] = z <= chunk.counts[text[i]] and _content(chunk.line(a + start[i], a + z - 1)) == content[i]
+    lost &= own[hit]
+    first = np.cumsum(windows) - windows
+    at = (chunk.begin[text] + start)[hit[lost]] + np.flatnonzero(lost) - first[hit[lost]]
+    step = np.bincount(at, minlength=n + 1) - np.bincount(at + WINDOW, minlength=n + 1)
+    stay = np.cumsum(step[:n]) == 0
+    # the bytes of the words that stay, and the one after each that another follows
+    kept = np.flatnonzero(stay)
+    ends = chunk.ends[kept]
+    between = ends[:-1][chunk.text[kept[1:]] == chunk.text[kept[:-1]]]
+    edges = np.zeros(len(chunk.data) + 1, dtype=np.int8)
+    edges[chunk.starts[kept]] += 1
+    edges[ends] -= 1
+    mask = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+    mask[between] = True
+    data = chunk.data.copy()
+    data[between] = 32
+    offsets = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])[chunk.offsets]
+    texts = pa.Array.from_buffers(pa.large_string(), rows.num_rows,
+                                  [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[mask].tobytes())])
+    gone = chunk.counts - np.bincount(chunk.text[kept], minlength=rows.num_rows)
+    return pa.RecordBatch.from_arrays(
+        [rows.column(0), pa.array(chunk.counts.astype(np.int64)), pa.array(gone.astype(np.int64)), texts.cast(pa.string())],
+        names=["doc_id", "n_words", "n_removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    hot_texts: int = HOT_TEXTS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed`` and ``kept`` (words joined by a space) of every row."""
-    spark = docs.sparkSession
     # key comes from the text alone, so equal texts are worked on once
     rows = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("key"), "text")
     grams = rows.mapInArrow(_minimizers, "key long, gram long, doc long")
     shared = stored(grams.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"))
                     .where(F.col("lo") < F.col("hi")).select("gram", (F.col("n") > hot_texts).alias("hot")),
                     "repeats-grams")
-    free_shuffles(spark)
     lists = (grams.select("key", "gram").join(shared, "gram").groupBy("key")
              .agg(F.collect_set("gram").alias("grams"), F.collect_set(F.when(F.col("hot"), F.col("gram"))).alias("hot")))
     owners = rows.groupBy("key").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("lo"),
