@@ -55,4 +55,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS B
        sha256(array_to_string(list_filter(w, lambda x, j: NOT list_contains(coalesce(ps, []), j)), ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (r)"""
 
-ORACLE = {"op7_licences": licences(), "op8_substring_dedup": SUBSTRING_DEDUP}
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least AS (SELECT t, min(doc_id) AS m FROM d GROUP BY t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+               max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x:
+        CASE x WHEN 'A' THEN len(w) < 100 WHEN 'B' THEN 100 * len(list_distinct(w)) < 80 * len(w)
+               WHEN 'C' THEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t)
+               WHEN 'D' THEN regexp_matches(t, '[#$%&*|]') ELSE coalesce(doc_id > m, false) END) AS fails
+      FROM d JOIN least USING (t) LEFT JOIN lab USING (doc_id)),
+g AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, filter_order[step] AS letter, string_split(filter_order[1:step - 1], '') AS before,
+             string_split(filter_order[1:step], '') AS done FROM o, range(1, 6) r(step)),
+c AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+        sum(CASE WHEN NOT list_has_any(fails, done) THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN list_contains(fails, letter) AND NOT list_has_any(fails, before) THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN list_contains(fails, letter) AND list_has_any(fails, before) THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN fails = [letter] THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN list_contains(fails, letter) AND NOT list_has_any(fails, before) THEN n * good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN list_contains(fails, letter) AND NOT list_has_any(fails, before) THEN n * toxic ELSE 0 END) AS toxic_lost
+      FROM g, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM c"""
+
+ORACLE = {"op7_licences": licences(), "op8_substring_dedup": SUBSTRING_DEDUP, "op13_filter_audit": FILTER_AUDIT}

@@ -95,6 +95,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.filter_audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_decontaminate": op2_decontaminate,
@@ -106,4 +112,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op13_filter_audit": op13_filter_audit,
 }
