@@ -85,4 +85,21 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM c"""
 
-ORACLE = {"op7_licences": licences(), "op8_substring_dedup": SUBSTRING_DEDUP, "op13_filter_audit": FILTER_AUDIT}
+HARD_NEGATIVES = """
+WITH ok AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+              list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same,
+             CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+      FROM ok a JOIN ok r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3"""
+
+ORACLE = {"op7_licences": licences(), "op8_substring_dedup": SUBSTRING_DEDUP, "op13_filter_audit": FILTER_AUDIT,
+          "op11_hard_negatives": HARD_NEGATIVES}

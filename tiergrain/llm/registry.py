@@ -95,6 +95,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.hard_negatives import mine_hard_negatives
+
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.llm.filter_audit import audit_filters
 
@@ -112,5 +118,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_filter_audit": op13_filter_audit,
 }
