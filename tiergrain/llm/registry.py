@@ -101,6 +101,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tiergrain.llm.quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tiergrain.llm.filter_audit import audit_filters
 
@@ -119,5 +125,6 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_toxicity": op10_toxicity,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_quality": op12_quality,
     "op13_filter_audit": op13_filter_audit,
 }
