@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECES_KEPT = 350_000      # memoised pieces per generation and Python worker
+PIECES_KEPT = 500_000      # memoised pieces per generation and Python worker
 PAIRS_KEPT = 250_000       # memoised token pairs per generation and Python worker
 MATCHES_PER_SLICE = 1 << 16
 
@@ -144,26 +144,24 @@ class BytePairCodec:
     def compatible(self, left: int, right: int) -> bool:
         return self._compatible[left * len(self.tokens) + right]
 
-    def _longest_token(self, text: str) -> int:
-        """The longest token that ``text`` starts with; the trie's path bounds the look-ups."""
-        size = self.automaton.longest_prefix(text)
-        token = self.words.get(text[:size])
-        while token is None:
-            size -= 1
-            token = self.words.get(text[:size])
-        return token
-
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.rank.get(piece)
-        if whole is not None:
-            return [whole]
+        if whole is not None or not piece:
+            return [whole] if piece else []
         text, n = piece.decode("latin-1"), len(piece)
-        pairs, shorter, sizes = self._compatible, self.shorter, self.sizes
-        many, reach, find = len(self.tokens), self.longest, self._longest_token
+        pairs, shorter, sizes, many = self._compatible, self.shorter, self.sizes, len(self.tokens)
+        reach, path, word = self.longest, self.automaton.longest_prefix, self.words.get
         given_up: set[int] = set()
         out: list[int] = []
-        at, last, token = 0, -1, find(text[:reach]) if n else -1
-        while at < n:
+        at, last, token = 0, -1, None
+        while True:
+            if token is None:          # the longest token from here on; the trie's path bounds the look-ups
+                rest = text[at:at + reach]
+                size = path(rest)
+                token = word(rest[:size])
+                while token is None:
+                    size -= 1
+                    token = word(rest[:size])
             while token >= 0:
                 end = at + sizes[token]
                 if end not in given_up and (last < 0 or pairs[last * many + token]):
@@ -171,14 +169,14 @@ class BytePairCodec:
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
-                at, last = end, token
-                token = find(text[at:at + reach]) if at < n else -1
+                if end == n:
+                    return out
+                at, last, token = end, token, None
             else:
                 given_up.add(at)
                 token = out.pop()
                 at -= sizes[token]
                 last = out[-1] if out else -1
-        return out
 
     def encode_packed(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""

@@ -140,7 +140,7 @@ def _equations(model: FourierRidge):
             more = model.equations(x, b.column(1).to_numpy().astype(np.float64))
             left, right, rows = left + more[0], right + more[1], rows + len(x)
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([left.ravel().tolist()]), pa.array([right.tolist()]),
+            yield pa.RecordBatch.from_arrays([pa.array([left.tobytes()]), pa.array([right.tobytes()]),
                                               pa.array([rows], pa.int64())], names=["l", "r", "n"])
     return run
 
@@ -187,10 +187,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return model
     fitted = rows.where("NOT calibrates")
     # FIT_PARTS rows of a matrix each: the sample is bounded, so is their number
-    parts = fitted.select("x", "y").repartition(FIT_PARTS, F.xxhash64("x")).mapInArrow(
-        _equations(model), "l array<double>, r array<double>, n long").collect()
+    parts = fitted.select("x", "y").repartition(FIT_PARTS).mapInArrow(
+        _equations(model), "l binary, r binary, n long").collect()
     if parts:
-        left, right = (sum(np.array(p[k]) for p in parts) for k in "lr")
+        left, right = (sum(np.frombuffer(p[k]) for p in parts) for k in "lr")
         model.solve(left.reshape(len(right), len(right)), right, sum(p["n"] for p in parts))
     held = rows.where("calibrates").select("x", "y").toPandas()          # a fifth of ``train_rows``
     if not len(held):
