@@ -20,12 +20,12 @@ def brute(text, theta=L.CONTAINMENT):
                 places.append(i)
                 base.add(label)
     labels, score = set(base), 1.0 if places else 0.0
-    for line in (text or "").split("\n"):
-        b = set(words(line))
-        for label, t in L.TEMPLATES:
-            ts = set(words(t))
+    for label, t, must, never in L.TEMPLATES:
+        ts, run = set(words(t)), len(words(t)) + L.SLACK
+        for i in range(max(1, len(ws) - run + 1)):
+            b = set(ws[i:i + run])
             c = len(b & ts) / len(ts)
-            if c >= theta - 1e-9:
+            if c >= theta - 1e-9 and b.issuperset(must.split()) and b.isdisjoint(never.split()):
                 labels.add(label)
                 score = max(score, c)
     return (len(ws), len(places), min(places, default=None), max(places, default=None),
@@ -38,7 +38,7 @@ def got_of(rows):
 
 
 def odd():
-    t = [x for _, x in L.TEMPLATES]
+    t = [x for _, x, _, _ in L.TEMPLATES]
     out = [None, "", "!!", "MIT License mit license MIT-license", "cc by cc by", "apachelicense", "Kİ cć by",
            "GNU  General\nPublic License", " ".join(t), "\n".join(t), "x " * 30_000 + "MIT License", "the under license"]
     for x in t:
@@ -49,6 +49,28 @@ def odd():
     return out
 
 
+GPL = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+       "Public License as published by the Free Software Foundation, either version 3 of the License, or later.")
+NOTICES = [
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"), ("Licensed under CC BY 4.0", "cc-by"),
+    ("Licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"), (GPL, "gpl"),
+    (GPL.replace("program", "library").replace("General", "Lesser General"), "lgpl"),
+    ("Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated "
+     "documentation files (the\n\"Software\"), to deal in the Software without restriction.", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that "
+     "the following conditions\n * are met:", "bsd"),
+    ("licensed under the terms of the\nGNU Affero General Public License", "agpl"),
+    ("This work is licensed under the Mozilla Public License version 3", ""),
+    ("Er kommt mit dem Zug. The road goes under the bridge. A driving license.", ""),
+]
+
+
+def test_notices_get_the_labels_a_reader_gives(spark):
+    rows = [(i, x + t + y) for i, (t, _) in enumerate(NOTICES) for x, y in (("", ""), ("Foo bar.\n\n", "\nfoo " * 40))]
+    got = L.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, ",".join(r.labels)) for r in got} == {(i, want) for i, (_, want) in enumerate(NOTICES)}
+
+
 def test_odd_texts_against_plain_code(spark):
     texts = odd()
     df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, places int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from tiergrain.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
+from tiergrain.llm.license_scan import CONTAINMENT, PHRASES, SLACK, TEMPLATES
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -15,12 +15,14 @@ def _list(words) -> str:
 
 
 def licences() -> str:
-    """op7: places by list slices, templates by set intersection with every line."""
+    """op7: places by list slices; every run of words of a text that could hold a template at all."""
     phrases = ", ".join(f"({_list(p.split())}, '{label}')" for p, label in PHRASES)
     rows = []
-    for label, text in TEMPLATES:
-        words = sorted(set("".join(c if c.isalnum() else " " for c in text.lower()).split()))
-        rows.append(f"('{label}', {_list(words)}, {math.ceil(CONTAINMENT * len(words) - 1e-9)})")
+    for label, text, must, never in TEMPLATES:
+        spoken = "".join(c if c.isalnum() else " " for c in text.lower()).split()
+        words = sorted(set(spoken))
+        rows.append(f"('{label}', {_list(words)}, {math.ceil(CONTAINMENT * len(words) - 1e-9)}, {len(spoken) + SLACK}, "
+                    f"{_list(must.split())}, {_list(never.split())}::VARCHAR[])")
     return f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_LOWER} AS t FROM documents),
 w AS (SELECT doc_id, r, t, regexp_extract_all(t, {_WORD}) AS ws FROM d),
@@ -28,11 +30,14 @@ p(ph, label) AS (VALUES {phrases}),
 place AS (SELECT r, label, unnest(list_filter(generate_series(1, len(ws) - len(ph) + 1),
               lambda i: ws[i:i + len(ph) - 1] = ph)) - 1 AS i FROM w, p),
 base AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS z, list_distinct(list(label)) AS ls FROM place GROUP BY r),
-m(label, words, need) AS (VALUES {', '.join(rows)}),
-lines AS (SELECT DISTINCT r, list_distinct(regexp_extract_all(line, {_WORD})) AS b
-          FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM w)),
-hit AS (SELECT r, label, len(list_intersect(b, words)) / len(words) AS c FROM lines, m
-        WHERE len(list_intersect(b, words)) >= need),
+m(label, words, need, run, must, never) AS (VALUES {', '.join(rows)}),
+able AS (SELECT r, label, ws, words, need, run, must, never FROM w, m
+         WHERE list_has_all(ws, must) AND len(list_intersect(list_distinct(ws), words)) >= need),
+runs AS (SELECT r, label, words, need, must, never, ws[i:i + run - 1] AS b
+         FROM (SELECT *, unnest(generate_series(1, greatest(len(ws) - run + 1, 1))) AS i FROM able)),
+hit AS (SELECT r, label, len(list_intersect(list_distinct(b), words)) / len(words) AS c FROM runs
+        WHERE list_has_all(b, must) AND NOT list_has_any(b, never)
+          AND len(list_intersect(list_distinct(b), words)) >= need),
 found AS (SELECT r, list_distinct(list(label)) AS ls, max(c) AS c FROM hit GROUP BY r)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
        CAST(a AS BIGINT) AS first_word, CAST(z AS BIGINT) AS last_word,
