@@ -105,3 +105,33 @@ def test_comments_stay_out():
     assert main_text(f"<article>{body}{reader}</article>") == want
     assert main_text(f"<article>{body}</article><aside>{plain}</aside><div class=sidebar>{plain}</div>") == want
     assert main_text(f"<article class='post comments-open'>{body}</article>") == want
+
+
+def test_parse_is_linear_in_stray_and_deep_tags():
+    import time
+
+    n = 50_000
+    for page in ("<div>" * n + "x" + "</section>" * n, "<div>" * n + "<li>a" * n, "<ul><li>" * n + "</td>" * n):
+        began = time.process_time()
+        main_text(page)
+        assert time.process_time() - began < 5
+    short, long = (min(timed(k) for _ in range(3)) for k in (10_000, 40_000))
+    assert long < 8 * short
+
+
+def timed(n):
+    import time
+
+    page = "<div>" * n + "x" + "</section>" * n + "<li>y" * n
+    began = time.process_time()
+    main_text(page)
+    return time.process_time() - began
+
+
+def test_names_that_only_mention_furniture_keep_article_text():
+    for name in ("share-price", "search-theory", "alert-system"):
+        page = f"<article><p>One two three.</p><div class='{name}'><p>The price rose.</p></div></article>"
+        assert main_text(page) == "One two three.\n\nThe price rose."
+    for name in ("share-buttons", "related-posts", "newsletter-box", "ad-slot", "cookie-banner"):
+        page = f"<article><p>One two three.</p><div class='{name}'><p>Click here now.</p></div></article>"
+        assert main_text(page) == "One two three."

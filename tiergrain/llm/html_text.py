@@ -62,6 +62,13 @@ FURNITURE = frozenset(
     "cookie cookies consent gdpr notice notification alert popup modal overlay dialog disclaimer "
     "newsletter subscribe subscription signup login form share sharing social skip".split())
 
+# Words that say nothing of what is in an element: with furniture words alone beside them it is furniture.
+PLAIN_NAMES = frozenset(
+    "box button buttons post posts article articles link links list lists container wrapper wrap slot unit bar block "
+    "section area panel pane row col column inner outer content item items icon icons group main top bottom left "
+    "right side site page primary secondary global mobile desktop sticky fixed floating inline text title heading "
+    "label image img logo card cards module component region zone holder frame more".split())
+
 COMMENTS = frozenset("comment comments commentlist respond reply replies discussion disqus feedback".split())
 # With one of these a value tells what a page has, not what the element is: "has-sidebar", "comments-open".
 STATES = frozenset("has have no not with without open opened closed enabled disabled off hide hides".split())
@@ -100,7 +107,8 @@ def _furniture(tag: str, attributes: str) -> int:
                 elif not COMMENTS.isdisjoint(found):
                     mark = READERS
                 else:
-                    mark = max(mark, NAMED if found.issuperset(words) else MENTIONS)
+                    told = {w for w in words if len(w) > 1} - PLAIN_NAMES
+                    mark = max(mark, NAMED if found.issuperset(told) else MENTIONS)
     return mark
 
 
@@ -128,6 +136,7 @@ def _parse(page: str) -> _Tree:
     tree = _Tree()
     root = tree.add("body", -1, CLEAN)
     path = [root]
+    depths: dict[str, list[int]] = {}      # where on the path the open elements of a name are
     open_links = 0
     raw = ""              # inside this element everything is skipped
     raw_depth = 0
@@ -155,9 +164,14 @@ def _parse(page: str) -> _Tree:
     def close_to(depth: int) -> None:
         nonlocal open_links
         end_block()
+        for node in path[depth:]:
+            depths[tree.tag[node]].pop()
         del path[depth:]
         open_links = 0
 
+    def innermost(tags) -> int:
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
     while m := _MARKUP.search(page, at):
         if m.start() > at:
             take(page[at:m.start()])
@@ -200,25 +214,25 @@ def _parse(page: str) -> _Tree:
             end_block()
             continue
         if closing:
-            for depth in range(len(path) - 1, 0, -1):
-                if tree.tag[path[depth]] == tag:
-                    close_to(depth)
-                    break
+            if depths.get(tag):
+                close_to(depths[tag][-1])
             else:
                 end_block()
             continue
         end_block()
-        ended, within = ENDS.get(tag, (("p",), frozenset()))
-        for depth in range(len(path) - 1, 0, -1):
-            open_tag = tree.tag[path[depth]]
-            if open_tag in ended or (tag in HEADINGS and open_tag in HEADINGS):
+        if tag in ENDS:
+            ended, within = ENDS[tag]
+            depth = innermost(ended)
+            if depth > innermost(within):
                 close_to(depth)
-                break
-            if open_tag in within or not (open_tag == "p" or within):
-                break
+        elif path[-1] != root:
+            last = tree.tag[path[-1]]
+            if last == "p" or (tag in HEADINGS and last in HEADINGS):
+                close_to(len(path) - 1)
         if tag in VOID:
             continue
         node = tree.add(tag, path[-1], _furniture(tag, m[3]))
+        depths.setdefault(tag, []).append(len(path))
         path.append(node)
         open_links = 0
     if at < len(page):
@@ -232,7 +246,8 @@ def _keep(tree: _Tree) -> list[bool]:
 
     The article is in the unmarked ``article`` and ``main`` elements outside furniture and comments; if there are
     none, in those outside comments; if there are none either, a marked node that holds most of the page's text
-    without links (``MOST``) stays. If nothing is left of the page, furniture by word stays, then comments do.
+    without links (``MOST``) stays. Inside an article a name that only mentions furniture ("share-price") goes if a third
+    of its text is links. If nothing is left of the page, furniture by word stays, then comments do.
     """
     n = len(tree.tag)
     mark = tree.mark[:]
@@ -253,9 +268,10 @@ def _keep(tree: _Tree) -> list[bool]:
     holds = [False] * n
     for i in articles:
         holds[i] = True
-    mass = [c - lc for c, lc in zip(tree.chars, tree.link_chars)]
+    mass, whole = [c - lc for c, lc in zip(tree.chars, tree.link_chars)], tree.chars[:]
     for i in range(n - 1, 0, -1):
         p = tree.parent[i]
+        whole[p] += whole[i]
         holds[p] = holds[p] or holds[i]
         if mark[i] < NEVER:
             mass[p] += mass[i]
@@ -263,7 +279,9 @@ def _keep(tree: _Tree) -> list[bool]:
         stays = [True] * n
         for i in range(1, n):
             most = not articles and mark[i] in MOST and mass[i] > MOST[mark[i]] * mass[0]
-            stays[i] = stays[tree.parent[i]] and (holds[i] or mark[i] == CLEAN or mark[i] in fallback or most)
+            # a name such as "share-price" inside the article: its text decides
+            own = mark[i] == MENTIONS and inside[i] and 3 * mass[i] >= 2 * whole[i]
+            stays[i] = stays[tree.parent[i]] and (holds[i] or mark[i] == CLEAN or mark[i] in fallback or most or own)
         if any(c and s for c, s in zip(tree.chars, stays)):
             break
     return stays

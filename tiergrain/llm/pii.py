@@ -51,7 +51,6 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _RUN = r"A-Za-z0-9_%/.+-"
 CANDIDATE = rf"(?<![{_RUN}])(?=(?:[A-Za-z_%/.+-]*+[0-9]){{4}})[{_RUN}]{{6,}}+"
 SPACE = r"[\x20\x09-\x0D]+"
-WINDOW = 100           # characters before an entity that are looked at for its pattern
 _PIECE = "array<struct<gap:bigint,value:string,pattern:string>>"
 _SPAN = "array<struct<start:bigint,end:bigint,value:string,pattern:string>>"
 _BLOCK = 256
@@ -64,9 +63,9 @@ def _pattern(gap: Column, first: Column) -> Column:
     skipped. The first of the two words must have a space or the text's start
     before it.
     """
-    window = F.concat(F.when(first, F.lit(" ")).otherwise(F.lit("")), F.right(gap, F.lit(WINDOW)))
-    return F.element_at(F.transform(F.array(F.split(window, SPACE)), lambda w: F.when(
-        (F.size(w) >= 4) & (F.length(F.element_at(w, -1)) <= 20),
+    whole = F.concat(F.when(first, F.lit(" ")).otherwise(F.lit("")), gap)
+    return F.element_at(F.transform(F.array(F.split(whole, SPACE)), lambda w: F.when(
+        F.size(w) >= 4,
         F.lower(F.concat_ws(" ", F.get(w, F.size(w) - 3), F.get(w, F.size(w) - 2))))), 1)
 
 
