@@ -82,3 +82,17 @@ def test_whole_run_and_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in CP.STAGES:
         assert stage(spark, docs, DIR).count() == 0
+
+
+def test_stages_keep_columns_with_the_stages_own_names(spark):
+    clash = ("d_key", "d_id", "d_spans", "key", "root", "n", "m", "fp", "base", "id", "toxic", "no_id")
+    rows = documents(spark)
+    docs = spark.createDataFrame([(*r, *(f"{c}{i}" for c in clash)) for i, r in enumerate(rows)],
+                                 SCHEMA + "".join(f", {c} string" for c in clash))
+    docs = docs.unionByName(docs.where("doc_id = 5000"))
+    for name, stage in CP.STAGES[:-1]:
+        out = stage(spark, docs, DIR)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert len({r[c].removeprefix(c) for c in clash}) == 1
+    assert CP.bpe(spark, docs, DIR).count() == len(rows) + 1
