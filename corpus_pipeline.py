@@ -42,6 +42,14 @@ def _same(docs: DataFrame, decided: DataFrame) -> Column:
     return docs["doc_id"].eqNullSafe(decided["d_id"]) & (F.xxhash64(_text(docs)) == decided["d_key"])
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = tox.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(~model.column(F.col("text"))["toxic"])
@@ -58,8 +66,9 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     # the same id and text several times: one of these rows stays
     once, often = stay.where("n = 1"), stay.where("n > 1")
     again = docs.join(often, _same(docs, often), "left_semi")
+    key = _free(docs, "d_key")
     return docs.join(once, _same(docs, once), "left_semi").unionByName(
-        again.withColumn("d_key", F.xxhash64(_text(again))).dropDuplicates(["doc_id", "d_key"]).drop("d_key"))
+        again.withColumn(key, F.xxhash64(_text(again))).dropDuplicates(["doc_id", key]).drop(key))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +82,8 @@ def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                                        F.sort_array(F.concat("base", "added")).alias("d_spans"))
     found = found.where(F.size("d_spans") > 0).distinct()
     both = docs.join(found, _same(docs, found), "left")
-    text = F.when(F.col("d_spans").isNotNull(), redact(docs["text"], F.col("d_spans"))).otherwise(docs["text"])
+    spans = found["d_spans"]
+    text = F.when(spans.isNotNull(), redact(docs["text"], spans)).otherwise(docs["text"])
     out = both.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
         if "n_chars" in docs.columns else out
