@@ -385,8 +385,15 @@ def _register_extensions() -> None:
              doc="compliance report under configured thresholds (R1)")
 
 
+def _register_operations() -> None:
+    from tiergrain.plans.operations import QUERIES
+    for name, (builder, oracle) in QUERIES.items():
+        register(name, builder, oracle, doc=(builder.__doc__ or name).strip())
+
+
 _register_investment()
 _register_insurance()
 _register_streams()
 _register_extensions()
 _register_refresh()
+_register_operations()
