@@ -5,16 +5,22 @@ sessions. All over the given tables; the DuckDB oracle of each is written apart.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tiergrain.operators import intervals, sliced
+from tiergrain.operators import intervals, sketches, sliced
 from tiergrain.operators.quality import RuleSet
 from tiergrain.session import shared_dir
+from tiergrain.sources import text_files
 from tiergrain.sources.changes import DELETE, UPSERT, ChangeTable
+from tiergrain.sources.reconcile import reconcile, write_digested
 from tiergrain.sources.sinks import read_view
 from tiergrain.sources.tables import Tables
 from tiergrain.sources.updates import refresh_or_fail
+from tiergrain.streaming.dedup import dedup_stream, read_deduplicated
 
 DAY = 86_400_000_000
 HOUR = DAY // 24
@@ -186,6 +192,112 @@ s AS (SELECT user_id, ts, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL
         OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM p)
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n FROM s GROUP BY user_id, no"""
 
+
+def reconciled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of two versions of the orders: removed, added, repriced and doubled ones."""
+    old = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    part = F.col("o_orderkey") % 1000
+    new = old.where(part != 1).withColumn("cents", F.col("cents") + F.when(part == 2, 1).otherwise(0))
+    new = new.unionByName(old.where(part == 3).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000)) \
+        .unionByName(old.where(part == 4)).unionByName(old.where(part == 4))
+    base = shared_dir(spark, "reconcile", "orders")
+    write_digested(old, f"{base}/old", ["o_orderkey"], ranges=32)
+    write_digested(new, f"{base}/new", ["o_orderkey"], ranges=32)
+    return reconcile(spark, f"{base}/old", f"{base}/new", ["o_orderkey"])
+
+
+RECONCILED_SQL = """
+WITH a AS (SELECT o_orderkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+b AS (SELECT o_orderkey, o_orderstatus, cents + CASE WHEN o_orderkey % 1000 = 2 THEN 1 ELSE 0 END AS cents FROM a WHERE o_orderkey % 1000 <> 1
+  UNION ALL SELECT o_orderkey + 1000000000, o_orderstatus, cents FROM a WHERE o_orderkey % 1000 = 3
+  UNION ALL SELECT a.* FROM a, range(2) WHERE o_orderkey % 1000 = 4),
+gone AS (SELECT *, count(*) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL),
+come AS (SELECT *, count(*) AS copies FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL)
+SELECT o_orderkey, o_orderstatus, cents, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM b) THEN 'changed_from' ELSE 'removed' END AS change, copies FROM gone
+UNION ALL
+SELECT o_orderkey, o_orderstatus, cents, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM a) THEN 'changed_to' ELSE 'added' END, copies FROM come"""
+
+_TEXT_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                             T.StructField("o_orderstatus", T.StringType()), T.StructField("cents", T.LongType())])
+
+
+def text_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as delimited and as JSON lines, some of them broken, and read back: clean rows and quarantine."""
+    key = F.col("o_orderkey")
+    orders = Tables(spark, sf_dir).orders.select(
+        key, "o_custkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    fields = [F.col(c).cast("string") for c in orders.columns]
+    line = F.concat_ws(",", *fields[:3], F.when(key % 50 == 7, F.lit("12x")).otherwise(fields[3]),
+                       F.when(key % 50 == 8, F.lit("more")))
+    line = F.when(key % 50 == 9, F.concat_ws(",", *fields[:2])).otherwise(line)
+    whole = F.to_json(F.struct(*orders.columns))
+    json = F.when(key % 50 == 7, F.concat(F.lit('{"o_orderkey":'), fields[0], F.lit(',"cents":"12x"}'))) \
+        .when(key % 50 == 8, F.concat(F.lit('{"o_orderkey":'), fields[0], F.lit(',"more":1}'))) \
+        .when(key % 50 == 9, F.concat(F.lit('{"o_orderkey":'), fields[0])).otherwise(whole)
+    base = shared_dir(spark, "landing", "orders")
+    orders.select(line.alias("value")).write.text(f"{base}/delimited")
+    orders.select(json.alias("value")).write.text(f"{base}/json")
+    none = F.lit(None).cast("string")
+    parts = []
+    for name, rows, sep in (("delimited", text_files.read_delimited(spark, f"{base}/delimited", _TEXT_SCHEMA), ","),
+                            ("json", text_files.read_json(spark, f"{base}/json", _TEXT_SCHEMA), None)):
+        parts.append(text_files.clean(rows).select(F.lit(name).alias("format"), *orders.columns, none.alias("line"), none.alias("reason")))
+        parts.append(text_files.broken(rows, _TEXT_SCHEMA, sep).select(
+            F.lit(name).alias("format"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in _TEXT_SCHEMA], "line", "reason"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+TEXT_SOURCES_SQL = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderkey % 50 AS p FROM orders)
+SELECT f AS format, o_orderkey, o_custkey, o_orderstatus, cents, NULL AS line, NULL AS reason
+FROM o, (VALUES ('delimited'), ('json')) x(f) WHERE p NOT IN (7, 8, 9)
+UNION ALL SELECT 'delimited', NULL, NULL, NULL, NULL,
+  CASE p WHEN 7 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, '12x')
+         WHEN 8 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, cents, 'more') ELSE concat_ws(',', o_orderkey, o_custkey) END,
+  CASE p WHEN 7 THEN 'bad_value' WHEN 8 THEN 'surplus_field' ELSE 'missing_field' END FROM o WHERE p IN (7, 8, 9)
+UNION ALL SELECT 'json', NULL, NULL, NULL, NULL,
+  '{"o_orderkey":' || o_orderkey || CASE p WHEN 7 THEN ',"cents":"12x"}' WHEN 8 THEN ',"more":1}' ELSE '' END,
+  CASE p WHEN 7 THEN 'bad_value' WHEN 8 THEN 'surplus_field' ELSE 'not_json' END FROM o WHERE p IN (7, 8, 9)"""
+
+
+def distinct_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers per status and year from daily sketches; the exact count and whether the estimate is within 4 errors."""
+    orders = Tables(spark, sf_dir).orders.withColumn("order_year", F.year("o_orderdate"))
+    base = shared_dir(spark, "sketches", "customers")
+    sketches.daily_sketches(orders, ["o_orderstatus", "order_year"], F.to_date("o_orderdate"), "o_custkey") \
+        .write.parquet(f"{base}/daily")
+    groups = ["o_orderstatus", "order_year"]
+    found = sketches.merged_counts(spark.read.parquet(f"{base}/daily"), groups, "estimate")
+    exact = orders.groupBy(*groups).agg(F.count_distinct("o_custkey").alias("customers"))
+    near = F.abs(F.col("estimate") - F.col("customers")) <= 4 * sketches.STANDARD_ERROR * F.col("customers") + 1
+    return exact.join(found, groups).select(*groups, "customers", near.alias("estimate_within_bound"))
+
+
+DISTINCT_CUSTOMERS_SQL = """
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(DISTINCT o_custkey) AS customers, true AS estimate_within_bound
+FROM orders GROUP BY ALL"""
+
+
+def deduplicated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arriving in three refreshes, some of them twice: one row each, and the number dropped."""
+    events = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts")
+    base = shared_dir(spark, "streams", "dedup")
+    dropped = 0
+    for arrival in range(3):
+        own = F.col("event_id") % 3 == arrival
+        again = (F.col("event_id") % 3 < arrival) & (F.col("event_id") % 10 == 0)
+        events.where(own | again).write.mode("append").parquet(f"{base}/in")
+        dropped = dedup_stream(spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/_checkpoint", ["event_id"], "ts", "60 days")
+    kept = read_deduplicated(spark, f"{base}/out")
+    return kept.groupBy("user_id").agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("distinct_events")) \
+        .withColumn("dropped_in_all", F.lit(dropped).cast("long"))
+
+
+DEDUPLICATED_SQL = """
+SELECT user_id, count(*) AS events, count(*) AS distinct_events,
+  (SELECT CAST(sum(2 - event_id % 3) AS BIGINT) FROM events WHERE event_id % 10 = 0) AS dropped_in_all
+FROM events GROUP BY user_id"""
+
 QUERIES = {
     "refresh_fail_update": (fail_update, FAIL_UPDATE_SQL),
     "cdc_orders_history": (lambda spark, sf_dir: change_table(spark, sf_dir).history(), HISTORY_SQL),
@@ -195,4 +307,8 @@ QUERIES = {
     "asof_lines_last_event": (lines_last_event, LINES_LAST_EVENT_SQL),
     "frames_event_values": (event_frames, EVENT_FRAMES_SQL),
     "sessions_events": (event_sessions, EVENT_SESSIONS_SQL),
+    "reconcile_orders": (reconciled_orders, RECONCILED_SQL),
+    "text_sources_orders": (text_sources, TEXT_SOURCES_SQL),
+    "sketch_distinct_customers": (distinct_customers, DISTINCT_CUSTOMERS_SQL),
+    "stream_dedup_events": (deduplicated_events, DEDUPLICATED_SQL),
 }
