@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PIECES_KEPT = 500_000      # memoised pieces per generation and Python worker
+PIECES_KEPT = 400_000      # memoised pieces per generation and Python worker
 PAIRS_KEPT = 250_000       # memoised token pairs per generation and Python worker
 MATCHES_PER_SLICE = 1 << 16
 
@@ -50,6 +50,7 @@ class _Memo(dict):
 
     def __missing__(self, key):
         if len(self) >= self.size:
+            self.old = {}            # freed before its successor is made
             self.old = dict(self)
             self.clear()
         known = self.old.get(key)
