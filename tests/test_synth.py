@@ -1,57 +1,19 @@
-"""Generated tables: defect rates follow the spec, output is reproducible."""
+"""Date spine: weekdays only, both ends included, every pair; no rows without quotes."""
 
-from pyspark.sql import functions as F
+import datetime as dt
 
-from tiergrain.params import TEST_PARAMS
-from tiergrain.plans import synthetic as syn
-from tiergrain.sources.tables import Tables
+from tiergrain.plans.synthetic import fx_date_spine
 
-from conftest import SF01
+SCHEMA = "from_currency string, to_currency string, rate_date date"
 
 
-def rate(df, cond):
-    r = df.agg(F.avg(F.when(cond, 1.0).otherwise(0.0)).alias("r")).first().r
-    return r
+def test_weekdays_of_every_pair(spark):
+    first, last = dt.date(2024, 1, 4), dt.date(2024, 1, 9)          # Thursday to Tuesday
+    rows = [("EUR", "USD", first), ("EUR", "USD", first), ("GBP", "USD", last), (None, "USD", first), ("EUR", None, last)]
+    got = [tuple(r) for r in fx_date_spine(spark.createDataFrame(rows, SCHEMA)).collect()]
+    days = [dt.date(2024, 1, d) for d in (4, 5, 8, 9)]
+    assert sorted(got) == sorted((a, "USD", d) for a in ("EUR", "GBP") for d in days)
 
 
-def test_policy_fault_rates(spark):
-    p = syn.synth_policies(Tables(spark, SF01).orders, TEST_PARAMS, [f"LOB-0{i}" for i in range(1, 9)],
-                           [f"BRK-0{i}" for i in range(1, 7)])
-    assert p.count() == 15000
-    assert 0.02 < rate(p, F.col("policy_id").isNull()) < 0.04
-    assert 0.03 < rate(p, F.col("gross_premium") < 0) < 0.05
-    assert 0.013 < rate(p, F.col("limit_amount") == 0) < 0.027
-    assert 0.02 < rate(p, F.col("lob_id") == "LOB-99") < 0.04
-    assert 0.45 < rate(p, F.col("status") == "BOUND") < 0.55
-    assert 0.27 < rate(p, F.col("territory") == "US") < 0.33
-    assert p.filter(F.datediff("expiry_date", F.to_date("inception_date")) != 365).count() == 0
-
-
-def test_trade_faults_and_ranges(spark):
-    t = syn.synth_trades(Tables(spark, SF01).orders)
-    assert 0.005 < rate(t, F.col("trade_id").isNull()) < 0.016
-    assert 0.01 < rate(t, F.col("quantity") < 0) < 0.021
-    ok = t.filter(F.col("quantity") > 0)
-    r = ok.agg(F.min("quantity"), F.max("quantity")).first()
-    assert r[0] >= 10 and r[1] <= 50000
-    assert t.filter(F.col("trade_date") < F.lit("2024-01-01").cast("timestamp_ntz")).count() == 0
-
-
-def test_reproducible_and_partition_independent(spark):
-    o = Tables(spark, SF01).orders
-    a = syn.synth_claims(Tables(spark, SF01).part, TEST_PARAMS)
-    b = syn.synth_claims(Tables(spark, SF01).part.repartition(7), TEST_PARAMS)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert 0.025 < rate(a, F.col("incurred_amount") < 0) < 0.045 or a.count() < 5000
-    t1 = syn.synth_trades(o).select(F.sum(F.hash(*syn.synth_trades(o).columns))).first()[0]
-    t2 = syn.synth_trades(o.repartition(3)).select(F.sum(F.hash(*syn.synth_trades(o).columns))).first()[0]
-    assert t1 == t2
-
-
-def test_exposure_grid_pml_share(spark):
-    t = Tables(spark, SF01)
-    g = syn.exposure_grid(t.orders, t.customer, t.nation, t.region)
-    r = g.agg(F.min(F.col("probable_max_loss") / F.col("total_insured_value")).alias("lo"),
-              F.max(F.col("probable_max_loss") / F.col("total_insured_value")).alias("hi")).first()
-    assert 0.05 <= r.lo and r.hi <= 0.30
-    assert g.select("territory").distinct().count() == 5 and g.select("peril").distinct().count() == 5
+def test_no_quotes_no_days(spark):
+    assert fx_date_spine(spark.createDataFrame([], SCHEMA)).count() == 0

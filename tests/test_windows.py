@@ -39,13 +39,6 @@ def test_running_sums_with_nulls_on_the_hot_path(spark):
     assert hot == plain and plain[0] is None and plain[399] is not None
 
 
-def test_template_key_is_never_cut(spark):
-    from tiergrain.operators.synth import template_key
-    df = spark.createDataFrame([(5,), (12345671,), (12345672,)], "n long")
-    assert [r[0] for r in df.select(template_key("T-", F.col("n"), 7)).collect()] == [
-        "T-0000005", "T-12345671", "T-12345672"]
-
-
 def test_claim_versions_skip_dropped_ranks(spark):
     from tiergrain.params import TEST_PARAMS
     from tiergrain.plans.extensions import claim_versions

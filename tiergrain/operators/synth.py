@@ -1,103 +1,13 @@
-"""Seeded, distributed synthetic-data primitives.
-
-Every random draw is a pure function of a row key and a seed
-(``xxhash64(key, seed)``), so a generated table is reproducible, independent
-of partitioning and computed on the executors; nothing is built in a driver
-loop. Rows come from a driving DataFrame (one output row per input row), so
-the volume is whatever the driving table holds.
-
-``mix`` is an integer-only alternative (two Lehmer steps modulo 2^31-1) that
-SQL engines without xxhash64 reproduce exactly; the oracle-checked grids use
-it.
-"""
+"""Date spines made on the executors."""
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Sequence
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOD = 2147483647          # 2^31 - 1
-MULT = 48271
-
-
-def unit(key: Column, seed: int) -> Column:
-    """D2 base: a uniform double in [0, 1) from the row key and a seed."""
-    h = F.xxhash64(key, F.lit(seed))
-    return F.pmod(h, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
-
-
-def mix(*parts: Column, seed: int = 0) -> Column:
-    """Integer hash in [0, MOD): portable to any SQL engine with bigint math."""
-    x = F.lit(seed % MOD).cast("bigint")
-    for p in parts:
-        x = F.pmod(F.pmod(x * MULT, F.lit(MOD)) + F.pmod(p.cast("bigint"), F.lit(MOD)), F.lit(MOD))
-    x = F.pmod(x * MULT, F.lit(MOD))
-    return F.pmod(x * MULT, F.lit(MOD))
-
-
-def mix_sql(parts: Sequence[str], seed: int = 0) -> str:
-    """The SQL text of ``mix`` for the oracle."""
-    x = f"CAST({seed % MOD} AS BIGINT)"
-    for p in parts:
-        x = f"(((({x}) * {MULT}) % {MOD} + (CAST({p} AS BIGINT) % {MOD} + {MOD}) % {MOD}) % {MOD})"
-    x = f"((({x}) * {MULT}) % {MOD})"
-    return f"((({x}) * {MULT}) % {MOD})"
-
-
-def uniform(key: Column, seed: int, lo: float, hi: float) -> Column:
-    """Uniform double in [lo, hi)."""
-    return F.lit(float(lo)) + unit(key, seed) * F.lit(float(hi - lo))
-
-
-def choice(key: Column, seed: int, values: Sequence) -> Column:
-    """D3: uniform choice from a list."""
-    arr = F.array(*[F.lit(v) for v in values])
-    idx = F.floor(unit(key, seed) * F.lit(len(values))).cast("int") + 1
-    return F.element_at(arr, idx)
-
-
-def weighted_choice(key: Column, seed: int, values: Sequence, weights: Sequence[float]) -> Column:
-    """Choice with weights (cumulative thresholds on one draw)."""
-    total = float(sum(weights))
-    u = unit(key, seed)
-    acc = 0.0
-    out = None
-    for v, w in zip(values[:-1], weights[:-1]):
-        acc += w / total
-        out = F.when(u < F.lit(acc), F.lit(v)) if out is None else out.when(u < F.lit(acc), F.lit(v))
-    last = F.lit(values[-1])
-    return last if out is None else out.otherwise(last)
-
-
-def template_key(prefix: str, n: Column, width: int) -> Column:
-    """``prefix`` + number, zero-padded to ``width`` and never cut."""
-    digits = n.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
-
-
-def random_timestamp(key: Column, seed: int, start: dt.datetime, end: dt.datetime) -> Column:
-    """Uniform timestamp (whole seconds) in [start, end], NTZ."""
-    s0 = int(start.replace(tzinfo=dt.timezone.utc).timestamp())
-    span = int((end - start).total_seconds())
-    secs = F.lit(s0) + F.floor(unit(key, seed) * F.lit(span + 1)).cast("bigint")
-    return F.timestamp_seconds(secs).cast("timestamp_ntz")
-
-
-def jitter(base: Column, key: Column, seed: int, pct: float) -> Column:
-    """``base * (1 + u)`` with u uniform in [-pct, pct)."""
-    return base * (F.lit(1.0) + uniform(key, seed, -pct, pct))
-
-
-def inject(value: Column, key: Column, seed: int, rate: float, bad: Column) -> Column:
-    """Replace ``value`` by ``bad`` on a seeded ``rate`` share of rows."""
-    return F.when(unit(key, seed) < F.lit(rate), bad).otherwise(value)
-
 
-def weekday_spine(df, start: Column, end: Column, name: str):
-    """One row per weekday (Mon-Fri) between two dates, for every row of ``df``.
+def weekday_spine(df: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
+    """One row per weekday (Mon-Fri) between two dates, for every row of ``df``.
 
     A generator per driving row (``explode(sequence)``), not a join; the
     bounds may be scalar subqueries.

@@ -366,7 +366,6 @@ def _register_extensions() -> None:
     from tiergrain.plans import extensions_sql  # noqa: F401  (registers CTEs)
     for name, doubles in EXT_DOUBLES.items():
         register(name, _ext_builder(name), build(stab(name, doubles), [name]), doc=f"extension {name}")
-    # the generators of plans/synthetic.py invent their values: library functions, no queries
     register("synth_fx_date_spine", _date_spine, build(stab("synth_fx_date_spine", []), ["synth_fx_date_spine"]),
              doc="calendar of the quoted currencies")
     for dataset, keys in inv.GOLD_CLUSTER_BY.items():
