@@ -1,10 +1,14 @@
-"""Distinct counts from mergeable sketches: one sketch per group and day, merged for any range.
+"""Distinct counts and quantiles from mergeable sketches: one per group and day, merged for any range.
 
 ``COUNT(DISTINCT)`` over a long range reads all rows again. Here every day's
 rows are read once; a day leaves one HyperLogLog sketch of ``2^LOG_SIZE`` registers
 (about 4 KB), and a range's count is the estimate of the union of its days'
 sketches. The relative standard error is ``1.04 / sqrt(2^LOG_SIZE)``: 1.6 % at 12,
 whatever the number of rows or of days merged.
+
+Quantiles come from KLL sketches with ``k = QUANTILE_K`` (a few KB): the rank of an
+estimate is within ``RANK_ERROR`` of the one asked for (99 % of the time), merged or
+not. Groups without any value have a null estimate.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ from pyspark.sql import functions as F
 
 LOG_SIZE = 12
 STANDARD_ERROR = 1.04 / 2 ** (LOG_SIZE / 2)
+QUANTILE_K = 400
+RANK_ERROR = 0.01
 
 
 def daily_sketches(df: DataFrame, groups: Sequence[str], day: Column, value: str, log_size: int = LOG_SIZE) -> DataFrame:
@@ -26,3 +32,16 @@ def daily_sketches(df: DataFrame, groups: Sequence[str], day: Column, value: str
 def merged_counts(sketches: DataFrame, groups: Sequence[str], name: str) -> DataFrame:
     """Estimated distinct values of every group over the days in ``sketches``."""
     return sketches.groupBy(*groups).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(name))
+
+
+def daily_quantiles(df: DataFrame, groups: Sequence[str], day: Column, value: str, k: int = QUANTILE_K) -> DataFrame:
+    """``groups``, ``day`` and ``sketch`` of the whole numbers in ``value``."""
+    return df.groupBy(*groups, day.alias("day")).agg(F.kll_sketch_agg_bigint(F.col(value).cast("long"), F.lit(k)).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, groups: Sequence[str], ranks: dict[str, float]) -> DataFrame:
+    """Estimated values at ``ranks`` (name: 0 to 1) of every group over the days in ``sketches``."""
+    merged = sketches.groupBy(*groups).agg(F.kll_merge_agg_bigint("sketch").alias("_sketch"))
+    known = F.kll_sketch_get_n_bigint("_sketch") > 0
+    return merged.select(*groups, *[F.when(known, F.kll_sketch_get_quantile_bigint("_sketch", F.lit(float(r)))).alias(n)
+                                    for n, r in ranks.items()])

@@ -1,6 +1,6 @@
 """Queries of the operators that the reference names or implies but does not have:
 fail-the-update, change application, interval joins, as-of join, frames,
-sessions. All over the given tables; the DuckDB oracle of each is written apart.
+sessions, sketches, event-time windows, stream-stream joins. All over the given tables; the DuckDB oracle of each is written apart.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from tiergrain.sources.sinks import read_view
 from tiergrain.sources.tables import Tables
 from tiergrain.sources.updates import refresh_or_fail
 from tiergrain.streaming.dedup import dedup_stream, read_deduplicated
+from tiergrain.streaming.event_windows import START, EventWindows, Measure
+from tiergrain.streaming.joins import Side, join_streams, read_joined
 
 DAY = 86_400_000_000
 HOUR = DAY // 24
@@ -298,6 +300,94 @@ SELECT user_id, count(*) AS events, count(*) AS distinct_events,
   (SELECT CAST(sum(2 - event_id % 3) AS BIGINT) FROM events WHERE event_id % 10 = 0) AS dropped_in_all
 FROM events GROUP BY user_id"""
 
+
+
+def _price_ranks(orders: DataFrame, found: DataFrame, groups: list[str], ranks: dict[str, float]) -> DataFrame:
+    """Per group whether each estimate's rank among all prices is within the bound (ties: any of their ranks)."""
+    rows = orders.join(found, groups)
+    near = []
+    for name, rank in ranks.items():
+        below = F.avg((F.col("cents") < F.col(name)).cast("double"))
+        upto = F.avg((F.col("cents") <= F.col(name)).cast("double"))
+        slack = 2 * sketches.RANK_ERROR + 1 / F.count("cents")
+        near.append(((below <= rank + slack) & (upto >= rank - slack)).alias(f"{name}_within_bound"))
+    return rows.groupBy(*groups).agg(F.count("cents").alias("orders"), *near)
+
+
+def price_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price quantiles per status and year from daily sketches; whether each rank is within twice the stated error."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderstatus", F.year("o_orderdate").alias("order_year"), "o_orderdate",
+                                                 F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    base, groups = shared_dir(spark, "sketches", "prices"), ["o_orderstatus", "order_year"]
+    sketches.daily_quantiles(orders, groups, F.to_date("o_orderdate"), "cents").write.parquet(f"{base}/daily")
+    ranks = {"median": 0.5, "p95": 0.95}
+    found = sketches.merged_quantiles(spark.read.parquet(f"{base}/daily"), groups, ranks)
+    return _price_ranks(orders, found, groups, ranks)
+
+
+PRICE_QUANTILES_SQL = """
+SELECT o_orderstatus, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders, true AS median_within_bound,
+  true AS p95_within_bound
+FROM orders GROUP BY ALL"""
+
+
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six-hour windows of events that arrive in three refreshes, some too late: closed and open windows, late rows."""
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    arrival = F.when(F.col("event_id") % 20 == 0, F.least(third + 1 + F.col("event_id") % 40 / 20, F.lit(2))).otherwise(third)
+    events = Tables(spark, sf_dir).events.select("event_id", "event_type", "ts", F.round(F.col("value") * 100).cast("long").alias("cents"),
+                                                 arrival.cast("int").alias("arrival"))
+    base = shared_dir(spark, "streams", "windows")
+    windows = EventWindows(spark, f"{base}/table", events.drop("arrival").schema, "ts", ["event_type"],
+                           {"events": Measure(F.count("*"), F.sum), "cents": Measure(F.sum("cents"), F.sum)}, 6 * HOUR, DAY)
+    for n in range(3):
+        events.where(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(f"{base}/in")
+        windows.run(f"{base}/in")
+    late = windows.late().groupBy(START, "event_type").agg(F.count("*").alias("events"), F.sum("cents").alias("cents"))
+    parts = (("closed", windows.closed()), ("open", windows.still_open()), ("late", late))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), START, "event_type", "events", "cents") for kind, df in parts])
+
+
+EVENT_WINDOWS_SQL = f"""
+WITH d AS (SELECT event_id, event_type, ts, CAST(round(value * 100) AS BIGINT) AS cents, least((day(ts) - 1) // 10, 2) AS third,
+    make_timestamp(epoch_us(ts) - epoch_us(ts) % {6 * HOUR}) AS window_start FROM events),
+e AS (SELECT *, CASE WHEN event_id % 20 <> 0 THEN third WHEN event_id % 40 = 0 THEN least(third + 1, 2) ELSE 2 END AS arrival FROM d),
+w AS (SELECT a, (SELECT max(ts) - INTERVAL 1 DAY FROM e WHERE arrival < a) AS mark FROM range(4) r(a)),
+k AS (SELECT e.*, CASE WHEN coalesce(window_start + INTERVAL 6 HOUR <= mark, false) THEN 'late'
+    WHEN window_start + INTERVAL 6 HOUR <= (SELECT mark FROM w WHERE a = 3) THEN 'closed' ELSE 'open' END AS kind
+  FROM e JOIN w ON arrival = a)
+SELECT kind, window_start, event_type, count(*) AS events, CAST(sum(cents) AS BIGINT) AS cents FROM k GROUP BY ALL"""
+
+_JOIN_DELAY = "800 days 5 hours"
+
+
+def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines shipped within a year, arriving in separate streams, a tenth of each a refresh late."""
+    t = Tables(spark, sf_dir)
+
+    def arrivals(rows: DataFrame, at: str, late) -> DataFrame:
+        third = F.when(F.col(at) < F.lit("1997-03-01").cast("timestamp"), 0).when(F.col(at) < F.lit("1999-05-01").cast("timestamp"), 1).otherwise(2)
+        return rows.withColumn("arrival", F.least(third + F.when(late, 1).otherwise(0), F.lit(2)))
+    orders = arrivals(t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp")), "o_orderdate", F.col("o_orderkey") % 10 == 3)
+    lines = arrivals(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp")), "l_shipdate",
+                     F.col("l_partkey") % 10 == 7)
+    base = shared_dir(spark, "streams", "order_lines")
+    left = Side(f"{base}/orders", orders.drop("arrival").schema, "o_orderdate", _JOIN_DELAY)
+    right = Side(f"{base}/lines", lines.drop("arrival").schema, "l_shipdate", _JOIN_DELAY)
+    for n in range(3):
+        for rows, side in ((orders, left), (lines, right)):
+            rows.where(F.col("arrival") == n).drop("arrival").write.mode("append").parquet(side.folder)
+        join_streams(spark, left, right, [("o_orderkey", "l_orderkey")], "0 DAYS", "365 DAYS", f"{base}/out", f"{base}/_checkpoint")
+    return read_joined(spark, f"{base}/out").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz"),
+                                                    "l_linenumber", "l_partkey", F.col("l_shipdate").cast("timestamp_ntz"))
+
+
+ORDERS_WITH_LINES_SQL = f"""
+WITH m AS (SELECT least((SELECT max(o_orderdate) FROM orders), (SELECT max(l_shipdate) FROM lineitem)) - INTERVAL '{_JOIN_DELAY}' AS mark)
+SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_partkey, l_shipdate
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND l_shipdate BETWEEN o_orderdate AND o_orderdate + INTERVAL 365 DAYS
+WHERE l_orderkey IS NOT NULL OR o_orderdate + INTERVAL 365 DAYS < (SELECT mark FROM m)"""
+
 QUERIES = {
     "refresh_fail_update": (fail_update, FAIL_UPDATE_SQL),
     "cdc_orders_history": (lambda spark, sf_dir: change_table(spark, sf_dir).history(), HISTORY_SQL),
@@ -311,4 +401,7 @@ QUERIES = {
     "text_sources_orders": (text_sources, TEXT_SOURCES_SQL),
     "sketch_distinct_customers": (distinct_customers, DISTINCT_CUSTOMERS_SQL),
     "stream_dedup_events": (deduplicated_events, DEDUPLICATED_SQL),
+    "sketch_price_quantiles": (price_quantiles, PRICE_QUANTILES_SQL),
+    "stream_event_windows": (event_windows, EVENT_WINDOWS_SQL),
+    "stream_orders_with_lines": (orders_with_lines, ORDERS_WITH_LINES_SQL),
 }
