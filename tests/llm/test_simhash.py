@@ -116,3 +116,17 @@ def test_edges(spark):
     assert sorted(got, key=str) == sorted([(1, 1), (2, 1), (5, 5), (5, 5), (9, 9), (None, 9), (7, 7), (8, 7),
                                            (None, None)], key=str)
     assert S.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_a_large_group_of_copies_is_dealt_over_places(spark, monkeypatch):
+    written = {}
+
+    def watched(df, name, real=S.stored):
+        written[name] = real(df, name)
+        return written[name]
+    monkeypatch.setattr(S, "stored", watched)
+    rows = [(i, "the same words in every copy" if i % 3 else f"words of text {i} alone {i * i}") for i in range(3, 3003)]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert len(got) == 3000 and {r.component_id for r in got if r.doc_id % 3} == {4}
+    sizes = [r["count"] for r in written["simhash-fingerprints"].groupBy("fp", "place").count().collect()]
+    assert max(sizes) < 2000 / 8 * 1.5

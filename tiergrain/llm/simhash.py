@@ -293,8 +293,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``root`` names the group, also where ids are missing or repeated.
     """
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fingerprints")
-    firsts = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    # equal fingerprints are dealt over places, written with the rows: no join or aggregate meets a whole group of copies
+    places = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(places)).cast("int")
+    fps = stored(fingerprints(docs, id_col, text_col, shingle).withColumn("place", dealt), "simhash-fingerprints")
+    parts = stored(fps.groupBy("fp", "place").agg(F.min("doc_id").alias("first")), "simhash-parts")
+    firsts = stored(parts.groupBy("fp").agg(F.min("first").alias("first")), "simhash-distinct")
     linked = components(link_fingerprints(firsts.select("fp"), max_bits, bucket))
     members = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
     named = members.join(firsts, members["node"] == firsts["fp"]).select("node", "root", "first")
@@ -302,7 +306,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = named.join(least, "root").select(F.col("node").alias("fp"), "least", "root")
     ids = firsts.join(group, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"),
                                                   F.coalesce("root", "fp").alias("root"))
-    return fps.join(ids, "fp").select("doc_id", "key", "fp", "component_id", "root")
+    ids = parts.select("fp", "place").join(ids, "fp")      # at most ``places`` rows a fingerprint
+    return fps.join(ids, ["fp", "place"]).select("doc_id", "key", "fp", "component_id", "root")
 
 
 def hex_fingerprint(fp: Column) -> Column:
