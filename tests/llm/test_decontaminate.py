@@ -2,8 +2,10 @@ import itertools
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tiergrain.llm import decontaminate as D
+from tiergrain.llm.common import may_be_in
 
 
 def brute(docs, items):
@@ -128,3 +130,11 @@ def test_every_equality_row_against_plain_rule():
         least = min(13, n)
         plain = any(5 * sum(same[a:z]) >= 4 * (z - a) for a in range(n) for z in range(a + least, n + 1))
         assert (D.overlap(words, item, 0) is not None) == plain
+
+
+def test_only_texts_that_were_hit_are_shuffled(spark):
+    keys = spark.range(2000).select(F.xxhash64("id").alias("key"))
+    rows = spark.range(50_000).select("id", F.xxhash64("id").alias("key"))
+    kept = rows.where(may_be_in(keys, "key", D.HIT_BITS))
+    assert kept.where("id < 2000").count() == 2000 and kept.count() < 2000 + 48_000 * 0.01
+    assert rows.where(may_be_in(keys.limit(0), "key", D.HIT_BITS)).count() == 0

@@ -45,3 +45,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def may_be_in(keys: DataFrame, column: str, bits: int) -> Column:
+    """A test of ``column`` (an evenly spread long): false only for values that ``keys[column]`` does not have.
+
+    The values set bits in a field of ``bits`` bits, which is all that the driver and the tasks
+    get, whatever the number of keys; the test runs in the JVM.
+    """
+    slot = F.pmod(F.col(column), F.lit(bits))
+    word, bit = F.shiftright(slot, 6).cast("int"), (slot % 64).cast("int")
+    set_bits = keys.select(word.alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
+    field = [0] * (bits // 64)
+    for r in set_bits.groupBy("w").agg(F.bit_or("b").alias("b")).collect():      # at most ``bits`` / 64 rows
+        field[r.w] = r.b
+    packed = F.split(F.lit(",".join(map(str, field))), ",").cast("array<bigint>")      # folded to one literal
+    return F.getbit(F.element_at(packed, word + 1), bit) == 1

@@ -17,7 +17,9 @@ one of them misses the substitutions of any copy that is 80 % equal.
 **Plan.** Benchmark seeds set bits in a Bloom field of fixed size, the only thing
 every task gets. Training seeds outside it are dropped where they are computed,
 so the seed join shuffles little more than true hits, and it is an ordinary join
-for a benchmark of any size. Equal texts are joined once, by text hash.
+for a benchmark of any size. Equal texts are joined once, by text hash. The hits, a
+few numbers each, are written to the shared folder; a second bit field of fixed size holds the
+hashes of the texts that were hit, so hardly any other text is shuffled to be verified.
 
 Defined results: null and empty texts and items overlap nothing; repeated rows
 give repeated results; a null id is kept; an empty table on either side gives an
@@ -36,13 +38,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import id_text
+from tiergrain.llm.common import id_text, may_be_in, stored
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
 MISMATCH = -3
 FIELD_BITS = 1 << 22       # Bloom field with two probes: 512 KB, whatever the benchmark
+HIT_BITS = 1 << 20         # field of the hashes of hit texts: 128 KB, whatever their number
 HASHES_KEPT = 200_000
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -224,9 +227,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     set_bits = item_seeds.select("seed").mapInArrow(words_of_field, "word long, bits long") \
         .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     field[set_bits["word"].to_numpy()] = set_bits["bits"].to_numpy()
-    hits = (rows.select("key", "text").mapInArrow(_text_seeds(short, field.tobytes()), "seed long, key long, place int")
-            .join(item_seeds, "seed").select("key", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct())
-    checked = (rows.join(hits, "key").join(items, "item")
+    hits = stored(rows.select("key", "text").mapInArrow(_text_seeds(short, field.tobytes()), "seed long, key long, place int")
+                  .join(item_seeds, "seed").select("key", "item", (F.col("place") - F.col("at")).alias("diagonal")).distinct(),
+                  "decontamination-hits")
+    checked = (rows.where(may_be_in(hits, "key", HIT_BITS)).join(hits, "key").join(items, "item")
                .select("doc_id", "key", "text", "item", "item_text", "diagonal")
                .mapInArrow(_verify, "doc_id long, key long, item_id long, start long, n_tokens long, n_equal long"))
     best = checked.groupBy("doc_id", "key", "item_id").agg(
