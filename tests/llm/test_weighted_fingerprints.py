@@ -2,6 +2,8 @@ import hashlib
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tiergrain.llm import weighted_fingerprints as W
 
 
@@ -30,6 +32,9 @@ def test_query_against_plain_code(spark):
         g = got[r.doc_id]
         assert (g.n_chars, g.edited_sha256) == (len(r.text), hashlib.sha256(e.encode()).hexdigest())
         errors += [g.near_edited - jaccard(r.text, e), g.near_next - jaccard(r.text, nxt.text)]
+        quads = [[f[k:k + 4] for k in range(0, 4 * W.SAMPLES, 4)] for f in (g.fingerprint, g.edited_fingerprint, got[nxt.doc_id].fingerprint)]
+        alike = [sum(x == y for x, y in zip(quads[0], q)) / W.SAMPLES for q in quads[1:]]
+        assert [g.near_edited, g.near_next] == alike                # of the fingerprints returned
     assert abs(sum(errors) / len(errors)) < 0.02                    # unbiased
     assert (sum(x * x for x in errors) / len(errors)) ** 0.5 < 0.1       # spread of 32 samples
     same = {}
@@ -66,6 +71,12 @@ def test_order_with_ties_nulls_and_extra_columns(spark):
     assert Counter((r.doc_id, r.n_chars) for r in full) == Counter((i, len(t or "")) for i, t, _ in rows)
 
 
+def test_very_many_buckets_are_about_equally_full(spark):
+    rows = spark.range(60_000).select((F.col("id") * 7919 % 60_013).alias("doc_id"), F.lit("x").alias("text"))
+    sizes = [r["count"] for r in W._bucketed(rows, 20_000).groupBy("bucket").count().collect()]
+    assert len(sizes) > 19_000 and max(sizes) <= 12
+
+
 def test_single_row_and_empty_table(spark):
     df = spark.createDataFrame([(3, "A a b")], "doc_id long, text string")
     r = W.fingerprint_documents(df, samples=8).first()

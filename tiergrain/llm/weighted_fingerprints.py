@@ -10,7 +10,8 @@ The sample is the (word, t) with the least ``a``. Two texts pick the same one
 with a probability equal to their generalised Jaccard similarity (sum of the
 smaller weights over sum of the larger). ``a`` follows from (word, t) alone and
 is continuous, so the least ``ln a`` itself stands for the sample: the signature
-is ``SAMPLES`` minima, the likeness of two signatures the share that are equal.
+is ``SAMPLES`` minima, 16 bits of each, the likeness of two signatures the share that are
+equal. (Different samples agree in their 16 bits once in 65,536 times.)
 
 **Plan.** For the edited text every row needs its successor in descending id.
 Rows go to buckets of id ranges (approximate quantiles of all ids; a repeated
@@ -55,16 +56,20 @@ def log_a(word_hash: Column, log_weight: Column, k: int) -> Column:
     return F.log(c) - r * (F.floor(log_weight / r + b).cast("double") - b + 1.0)
 
 
+def compact(samples: Column) -> Column:
+    """16 bits of every sample: what a fingerprint holds and likenesses compare."""
+    return F.transform(samples, lambda x: F.xxhash64(x).bitwiseAND(F.lit(65535)))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples of two signatures (0 to 1)."""
+    """Share of equal samples of two compact signatures (0 to 1)."""
     equal = F.aggregate(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y).cast("int")), F.lit(0), lambda s, x: s + x)
     return equal.cast("double") / F.size(a)
 
 
 def signature_text(samples: Column) -> Column:
     """Four hex digits for every sample."""
-    return F.array_join(F.transform(samples, lambda x: F.lower(F.lpad(
-        F.hex(F.xxhash64(x).bitwiseAND(F.lit(65535))), 4, "0"))), "")
+    return F.array_join(F.transform(samples, lambda x: F.lower(F.lpad(F.hex(x), 4, "0"))), "")
 
 
 def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
@@ -72,7 +77,7 @@ def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
     key = F.coalesce("doc_id", F.lit(_LOWEST))
     rows = rows.withColumn("order_id", key).withColumn("order_hash", F.xxhash64("text"))
     at = [i / buckets for i in range(1, buckets)]
-    edges = rows.agg(F.percentile_approx("order_id", at, 10_000).alias("e")).first().e if at else None
+    edges = rows.agg(F.percentile_approx("order_id", at, max(10_000, 4 * buckets)).alias("e")).first().e if at else None
     if not edges:
         return rows.withColumn("bucket", F.lit(0))
     # two steps keep the search short for many buckets: coarse steps, then one step's edges
@@ -132,7 +137,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """Signatures of every text, of its edited text, and their likenesses.
 
     ``doc_id``, ``n_chars``, ``edited_sha256``, ``samples``, ``edited_samples``
-    (arrays of doubles), ``near_edited``, ``near_next``.
+    (16-bit numbers), ``near_edited``, ``near_next``.
     """
     rows = with_successors(docs, id_col, text_col, buckets)
     rows = rows.select("bucket", "rn", "doc_id", "text", "extra",
@@ -161,7 +166,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     minima = terms.groupBy("bucket", "rn", "side").agg(
         *[F.min(F.when(F.col("h").isNotNull(), log_a(F.col("h"), F.col("ls"), k))).alias(f"m{k}")
           for k in range(samples)], *[F.max(k).alias(k) for k in meta])
-    packed = minima.select("bucket", "rn", "side", F.array(*[f"m{k}" for k in range(samples)]).alias("m"),
+    packed = minima.select("bucket", "rn", "side", compact(F.array(*[f"m{k}" for k in range(samples)])).alias("m"),
                            F.struct(*meta).alias("meta"))
     w = Window.partitionBy("bucket").orderBy("rn", "side")
     lined = packed.select("side", "m", F.lead("m", 1).over(w).alias("edited"), F.lead("meta", 2).over(w).alias("meta"),
