@@ -16,6 +16,44 @@ def test_ordinal_regression_recovers_a_shared_weight():
     assert np.abs(got - w).max() < 0.35 and abs(theta[0] - 1) < 0.3 and abs(theta[1] - 3) < 0.35
 
 
+def _log_loss(rows, grade, weight, ridge, w, low, gap):
+    theta = [-np.inf, low, low + np.exp(gap), np.inf]
+    sigmoid = lambda z: 1 / (1 + np.exp(-z))
+    m = np.array([w[r].sum() for r in rows])
+    p = [sigmoid(theta[g + 1] - x) - sigmoid(theta[g] - x) for g, x in zip(grade, m)]
+    return -np.average(np.log(np.maximum(p, 1e-300)), weights=weight) + ridge / 2 * (w @ w)
+
+
+def test_fit_is_the_optimum_that_a_pattern_search_finds():
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(2) < 0.5) for _ in range(200)]
+    score = np.array([np.array([1.5, -1.0])[r].sum() for r in rows]) + rng.logistic(size=200)
+    grade, weight = (score > 0.5).astype(int) + (score > 2.0), rng.integers(1, 4, 200).astype(float)
+    x, step = np.zeros(4), 1.0
+    value = lambda x: _log_loss(rows, grade, weight, 0.01, x[:2], x[2], x[3])
+    best = value(x)
+    while step > 1e-4:
+        near = [x + step * d for d in np.vstack([np.eye(4), -np.eye(4)])]
+        values = [value(n) for n in near]
+        if min(values) < best - 1e-12:
+            best, x = min(values), near[int(np.argmin(values))]
+        else:
+            step /= 2
+    w, theta = T.fit_ordinal(rows, grade, 2, steps=3000, ridge=0.01, weight=weight)
+    assert np.allclose([*w, *theta], [x[0], x[1], x[2], x[2] + np.exp(x[3])], atol=0.01)
+
+
+def test_margins_grade_by_strength_and_not_by_number():
+    """Feature 0 is found in toxic texts only, 1 to 3 in clean ones as well: one strong word outweighs three weak ones."""
+    rows = [[0]] * 60 + [[1, 2, 3]] * 60 + [[1], [2], [3], []] * 60
+    y = np.array([1] * 120 + [0] * 240)
+    rows, order = [np.array(r, dtype=np.int64) for r in rows], np.random.default_rng(1).permutation(360)
+    margin = T.held_out_margins([rows[i] for i in order], y[order], 4, np.ones(360))
+    by = dict(zip(order.tolist(), margin))
+    assert min(by[i] for i in range(60)) > max(max(by[i] for i in range(120, 360)), 0)
+    assert T.held_out_margins(rows[:1], y[:1], 4, np.ones(1)).tolist() == [0.0]
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{d}/{n}.parquet") for n in ("documents", "labels"))

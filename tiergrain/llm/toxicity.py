@@ -16,7 +16,8 @@ each class those with the least id hashes) are used, so training costs the same
 at every size; scoring covers every document. The classes have their shares of
 the labels, but a class that has them gets at least ``LEAST_SHARE`` of the
 places; rows then weigh as much as the labels they stand for. Labels only say toxic or not; a toxic training text is
-severe if it has more of the chosen features than the median of the toxic texts.
+severe if its margin, under a two-grade model fitted on the other half of the training rows, is above the
+median of the toxic texts.
 
 Defined results: a null or empty text has no features; labels with a null or an
 unknown document are ignored; without both classes the model scores every text
@@ -118,6 +119,18 @@ def fit_ordinal(rows: list[np.ndarray], grade: np.ndarray, n_features: int, step
     return x[:n_features], (float(x[-2]), float(x[-2] + np.exp(x[-1])))
 
 
+def held_out_margins(rows: list[np.ndarray], y: np.ndarray, n_features: int, weight: np.ndarray) -> np.ndarray:
+    """Each row's margin under a two-grade model fitted on the other half of the rows."""
+    half, margin = np.arange(len(rows)) % 2, np.zeros(len(rows))
+    for own in (0, 1):
+        others = np.flatnonzero(half != own)
+        if len(others):
+            weights, _ = fit_ordinal([rows[i] for i in others], y[others], n_features, weight=weight[others])
+            for i in np.flatnonzero(half == own):
+                margin[i] = weights[rows[i]].sum()
+    return margin
+
+
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         counts = (Counter(), Counter())
@@ -183,9 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows["x"] = [np.array(x, dtype=np.int64) for x in rows["x"]]
     rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["y"][i], rows["x"][i].tolist()))]
     y = rows["y"].to_numpy()
-    size = np.array([len(x) for x in rows["x"]])
-    severe = size > np.median(size[y == 1])
     stand_for = np.array([labelled[c] / places[c] for c in (0, 1)])
+    margin = held_out_margins(list(rows["x"]), y, len(chosen), stand_for[y])
+    severe = margin > np.median(margin[y == 1])
     weights, theta = fit_ordinal(list(rows["x"]), y + (y == 1) * severe, len(chosen), weight=stand_for[y])
     return OrdinalModel(dict(zip(chosen, weights.tolist())), theta)
 
