@@ -9,6 +9,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tiergrain.llm import byte_bpe as B
 from tiergrain.llm.byte_bpe import BytePairCodec, encode_documents, read_ranks
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
@@ -81,3 +82,17 @@ def test_query_against_the_library(spark, library):
         assert r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_other_operators_free_the_memo_tables():
+    from tiergrain.llm import decontaminate
+    from tiergrain.llm.common import only_memos_of
+    codec = B._worker_codec(tuple(read_ranks(PATH)), P.PATTERN)
+    ids = codec.encode_packed("some words, some more words")
+    assert len(codec._pieces) > 0
+    list(decontaminate.seeds(["some", "words"] * 10, decontaminate.MASKS))
+    assert not codec._pieces and not codec._compatible and len(decontaminate._hashes) == 2
+    assert B._worker_codec(tuple(read_ranks(PATH)), P.PATTERN).encode_packed("some words, some more words") == ids
+    assert not decontaminate._hashes
+    only_memos_of("toxicity")
+    assert not codec._pieces

@@ -36,6 +36,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiergrain.llm.common import id_text, only_memos_of
+
 PIECES_KEPT = 400_000      # memoised pieces per generation and Python worker
 PAIRS_KEPT = 250_000       # memoised token pairs per generation and Python worker
 MATCHES_PER_SLICE = 1 << 16
@@ -59,6 +61,10 @@ class _Memo(dict):
         self[key] = known
         return known
 
+    def forget(self) -> None:
+        self.old = {}
+        self.clear()
+
 
 class BytePairCodec:
     """Encoder and decoder for one vocabulary."""
@@ -73,6 +79,11 @@ class BytePairCodec:
         self._pieces = _Memo(self._pack, PIECES_KEPT)
         self._build()
 
+    def forget(self) -> None:
+        """Empty the memo tables."""
+        self._compatible.forget()
+        self._pieces.forget()
+
     def _pack(self, piece: str) -> bytes:
         return b"".join([self.packed[i] for i in self.encode_piece(piece.encode("utf-8"))])
 
@@ -210,6 +221,12 @@ def _codec(tokens: tuple[bytes, ...], pattern: str) -> BytePairCodec:
     return BytePairCodec(list(tokens), pattern)
 
 
+def _worker_codec(tokens: tuple[bytes, ...], pattern: str) -> BytePairCodec:
+    codec = _codec(tokens, pattern)
+    only_memos_of("bpe", codec.forget)
+    return codec
+
+
 class Tokenizer:
     """Columns that encode and decode with one broadcast vocabulary."""
 
@@ -218,12 +235,12 @@ class Tokenizer:
 
         @F.pandas_udf(T.BinaryType())
         def encode(texts: pd.Series) -> pd.Series:
-            codec = _codec(*ranks.value)
+            codec = _worker_codec(*ranks.value)
             return texts.map(lambda t: codec.encode_packed(t or ""))
 
         @F.pandas_udf(T.BinaryType())
         def decode(ids: pd.Series) -> pd.Series:
-            codec = _codec(*ranks.value)
+            codec = _worker_codec(*ranks.value)
             return ids.map(lambda b: codec.decode_packed(b or b""))
 
         self._encode, self._decode = encode, decode
@@ -243,8 +260,6 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     One narrow pass: no shuffle, any row order, one result per input row.
     """
-    from tiergrain.llm.common import id_text
-
     tok = Tokenizer(docs.sparkSession, path, pattern)
     ids = id_text(docs, id_col, text_col).select("doc_id", tok.encode(F.col("text")).alias("ids"))
     return ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiergrain.session import shared_dir
 
+_memos: dict[str, Callable[[], None]] = {}      # of this Python worker: operator -> what empties its memo tables
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -61,3 +64,15 @@ def may_be_in(keys: DataFrame, column: str, bits: int) -> Column:
         field[r.w] = r.b
     packed = F.split(F.lit(",".join(map(str, field))), ",").cast("array<bigint>")      # folded to one literal
     return F.getbit(F.element_at(packed, word + 1), bit) == 1
+
+
+def only_memos_of(operator: str, release: Callable[[], None] | None = None) -> None:
+    """Empty the memo tables that other operators' tasks left in this Python worker; ``release`` empties the caller's.
+
+    Spark reuses Python workers, so the stages of a pipeline would otherwise hold their tables
+    all at once. Call it from module-level code: functions pickled by value have tables of their own.
+    """
+    for other in [o for o in _memos if o != operator]:
+        _memos.pop(other)()
+    if release is not None:
+        _memos[operator] = release

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import id_text, may_be_in, stored
+from tiergrain.llm.common import id_text, may_be_in, only_memos_of, stored
 
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 4, 5, 6, 7))
 MIN_TOKENS = 13
@@ -66,6 +66,7 @@ def tokens(text: str) -> list[str]:
 
 def seeds(words: list[str], masks) -> Iterator[np.ndarray]:
     """For each mask the seeds from every place (as signed numbers)."""
+    only_memos_of("decontamination", _hashes.clear)
     if len(_hashes) > HASHES_KEPT:
         _hashes.clear()
     h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import id_text, stored
+from tiergrain.llm.common import id_text, only_memos_of, stored
 
 MAX_BITS = 3
 SHINGLE = 3
@@ -75,6 +75,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id``, ``key`` (hash of the text) and ``fp`` (the 64 bits as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memos_of("simhash")
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], dtype="<u8")
             yield pa.RecordBatch.from_arrays(

@@ -38,7 +38,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiergrain.llm.common import id_text, stored
+from tiergrain.llm.common import id_text, only_memos_of, stored
 
 TRAIN_ROWS = 12_000
 LEAST_SHARE = 0.1         # of the training rows, for each class that has as many
@@ -78,6 +78,7 @@ class OrdinalModel:
 
         @F.pandas_udf("severity double, grade int, toxic boolean")
         def score(texts: pd.Series) -> pd.DataFrame:
+            only_memos_of("toxicity")
             p = np.array([self.probabilities(t or "") for t in texts]).reshape(-1, 2)
             return pd.DataFrame({"severity": p.sum(axis=1), "grade": (p >= 0.5).sum(axis=1).astype("int32"),
                                  "toxic": p[:, 0] >= 0.5})
@@ -132,6 +133,7 @@ def held_out_margins(rows: list[np.ndarray], y: np.ndarray, n_features: int, wei
 
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    only_memos_of("toxicity")
     for b in batches:
         counts = (Counter(), Counter())
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
