@@ -50,12 +50,12 @@ def test_double_lists_match_schemas(spark):
 
 
 def test_claim_ranks_with_hot_key_path(spark):
-    """Force every claim id with >= 2 rows onto the sliced path: same ranks."""
+    """Day slices give the ranks of the plain window."""
     from tiergrain.params import TEST_PARAMS
     from tiergrain.plans.insurance import InsuranceDatasets
     from tiergrain.sources.bindings import raw_tables
-    p = InsuranceDatasets(raw_tables(spark, SF01), TEST_PARAMS.replace(hot_key_rows=2))
-    plain = InsuranceDatasets(raw_tables(spark, SF01), TEST_PARAMS.replace(hot_key_rows=None))
+    p = InsuranceDatasets(raw_tables(spark, SF01), TEST_PARAMS.replace(claim_slice_days=30))
+    plain = InsuranceDatasets(raw_tables(spark, SF01), TEST_PARAMS.replace(claim_slice_days=None))
     cols = ["claim_id", "loss_date", "incurred_amount", "paid_amount", "reserve_amount", "policy_id",
             "cumulative_paid_rank"]
     a = p["silver_claims_enriched"].select(*cols)

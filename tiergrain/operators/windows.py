@@ -1,24 +1,26 @@
-"""Per-group ordered numbering and running sums that survive hot keys.
+"""Per-group ordered numbering, running sums and leads that survive hot keys.
 
 ``row_number() over (partition by k order by o)`` sends every row of one key
 to one task. When one key holds a large share of the data that task holds it
-all. ``ordered_within`` keeps the exact result but splits hot keys:
-
-1. Hot keys are found from a Bernoulli sample (``groupBy(k).count()`` on the
-   sample, a tiny aggregate). Detection only routes rows; both paths below
-   are exact, so a missed or spurious hot key costs speed, never correctness.
-2. Cold keys (each at most ``hot_rows`` rows) use the plain window.
-3. Hot keys are range-partitioned on (k, o): a hot key spreads over many
-   partitions, each a contiguous slice of its order. The slice id is fixed by
-   writing the hot rows with ``checkpoint()`` to the shared checkpoint folder
-   (so both consumers below see the same slices, and a lost executor
-   recomputes nothing upstream).
-4. Within a slice, the window runs on (k, slice): bounded, balanced groups.
-   Rows and sums of earlier slices of the same key come from a per-(k, slice)
-   aggregate, at most (#hot keys x #slices) rows, joined back.
-
-Null keys form one group, as in SQL windows; null-safe joins keep them on the
-right path.
+all. ``ordered_within`` keeps the exact result over slices of the order:
+
+1. Every row belongs to the slice ``floor(position / width)`` of its key, where
+   ``position`` is a whole number that never falls along the order (a day, a rank).
+2. The window runs on (key, slice): one shuffle of the rows.
+3. What the other slices of the key hold (rows, sums, first values) comes from an
+   aggregate per (key, slice), combined map-side; a window over these few rows gives
+   each slice what lies before or after it, and an equi-join on the same (key, slice)
+   brings it back without another shuffle of the rows.
+
+Slices depend on the rows alone: nothing is sampled, written or decided while the
+frame is built, and a lost task recomputes the same rows. A task holds at most
+the rows of one key in one slice; choose ``width`` so that they fit.
+
+With ``keep_slices`` the result keeps its key and slice columns. A further window over the
+same slices takes them from there and shuffles no row again, whatever was dropped between.
+
+Null keys form one group and null positions come first, as in SQL windows. The key
+travels as a struct, in which nulls are equal, so plain equality joins it.
 """
 
 from __future__ import annotations
@@ -28,121 +30,89 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiergrain.session import checkpoint_root
-
-# A key with more rows than this is "hot"; a cold group is small enough for
-# one task's window buffer.
-DEFAULT_HOT_ROWS = 1_000_000
-# Expected sampled rows of a key at the hot threshold.
-SAMPLE_HITS = 200
+SLICES = ("_key", "_slice")
+_FIRST_SLICE = -(1 << 63)   # of rows without a position
 
 
 def _order_cols(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in order]
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else (cond & c)
-    return cond
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, seed: int = 7) -> DataFrame:
-    """Keys estimated to hold more than ``hot_rows`` rows (from a sample)."""
-    fraction = min(1.0, SAMPLE_HITS / float(hot_rows))
-    sampled = df.sample(withReplacement=False, fraction=fraction, seed=seed) if fraction < 1.0 else df
-    return (sampled.groupBy(*keys).count()
-            .filter(F.col("count") >= F.lit(max(1, int(hot_rows * fraction))))
-            .select(*keys))
-
-
-def _plain(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str]) -> DataFrame:
+def _plain(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], leads: dict[str, str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-    out = df
-    if rank:
-        out = out.withColumn(rank, F.row_number().over(w))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for name, src in sums.items():
-        out = out.withColumn(name, F.sum(src).over(run))
-    return out
-
-
-def _sliced(df: DataFrame, keys, order, rank: str | None, sums: dict[str, str], slices: int) -> DataFrame:
-    sl = (df.repartitionByRange(slices, *[F.col(k).asc_nulls_first() for k in keys], *_order_cols(order))
-            .withColumn("_slice", F.spark_partition_id())
-            .checkpoint(eager=True))
-    # per (key, slice): rows and sums, then what earlier slices of the key hold
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(src).alias(f"_s_{name}") for name, src in sums.items()]
-    per = sl.groupBy(*keys, "_slice").agg(*aggs)
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per.select(*keys, "_slice",
-                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-                      *[F.sum(f"_s_{name}").over(before).alias(f"_b_{name}") for name in sums])
-    local = _plain(sl, [*keys, "_slice"], order, "_lrn" if rank else None,
-                   {f"_l_{name}": src for name, src in sums.items()})
-    j = local.join(offs, _null_safe_on(local, offs, [*keys, "_slice"]), "inner")
-    cols = [local[c] for c in df.columns]
+    numbers = [F.row_number().over(w).alias(rank)] if rank else []
+    return df.select("*", *numbers, *[F.sum(src).over(run).alias(n) for n, src in sums.items()],
+                     *[F.lead(src).over(w).alias(n) for n, src in leads.items()])
+
+
+def _placed(df: DataFrame, keys, position: Column, width: int) -> DataFrame:
+    """``df`` with its rows' key and slice."""
+    if set(SLICES) <= set(df.columns):
+        return df
+    number = F.call_function("div", position - F.pmod(position, F.lit(width)), F.lit(width))
+    return df.select("*", F.struct(*[F.col(k) for k in keys]).alias("_key"),
+                     F.coalesce(number, F.lit(_FIRST_SLICE)).alias("_slice"))
+
+
+def _sliced(df: DataFrame, counts_from: DataFrame, keys, order, counts_order, position: Column, width: int,
+            rank: str | None, sums: dict[str, str], leads: dict[str, str], keep_slices: bool) -> DataFrame:
+    # per (key, slice): rows, sums and first values, then those of the slices around it
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(src).alias(f"_s_{n}") for n, src in sums.items()]
+    if leads:
+        firsts = F.struct(*[F.col(src).alias(n) for n, src in leads.items()])
+        aggs.append(F.min_by(firsts, F.struct(*[F.col(c) for c in counts_order])).alias("_first"))
+    per = _placed(counts_from, keys, position, width).groupBy(*SLICES).agg(*aggs)
+    along = Window.partitionBy("_key").orderBy("_slice")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    around = [F.sum("_n").over(before).alias("_n_before")] if rank else []
+    around += [F.sum(f"_s_{n}").over(before).alias(f"_b_{n}") for n in sums]
+    around += [F.lead("_first").over(along).alias("_after")] if leads else []
+    carried = per.select(*SLICES, *around)
+
+    w = Window.partitionBy(*SLICES).orderBy(*_order_cols(order))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = [F.row_number().over(w).alias("_local_rank")] if rank else []
+    local += [F.sum(src).over(run).alias(f"_l_{n}") for n, src in sums.items()]
+    # a struct, so that a null value differs from having no next row
+    local += [F.lead(F.struct(*[F.col(src).alias(n) for n, src in leads.items()])).over(w).alias("_next")] if leads else []
+    rows = _placed(df, keys, position, width).select("*", *local).join(carried, list(SLICES), "left")
+
+    cols: list[Column] = [F.col(c) for c in df.columns if c not in SLICES]
     if rank:
-        cols.append((local["_lrn"] + offs["_n_before"]).cast("int").alias(rank))
-    for name in sums:
+        cols.append((F.col("_local_rank") + F.coalesce("_n_before", F.lit(0))).cast("int").alias(rank))
+    for n in sums:
         # null as long as no earlier row has a value, like SUM over a window
-        own, earlier = local[f"_l_{name}"], offs[f"_b_{name}"]
-        cols.append(F.when(own.isNull(), earlier).when(earlier.isNull(), own).otherwise(own + earlier).alias(name))
-    return j.select(*cols)
-
-
-def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str | None = None,
-                   sums: dict[str, str] | None = None, hot_rows: int | None = DEFAULT_HOT_ROWS,
-                   slices: int | None = None, sample_from: DataFrame | None = None) -> DataFrame:
-    """Row number and/or running sums per key in ``order`` (asc, nulls first).
-
-    ``order`` should end in tie-breakers that make it total; rows equal on
-    every order column get consecutive numbers in an unspecified order.
-    ``hot_rows=None`` forces the plain window. ``sample_from`` (same rows as
-    ``df``) is what hot keys are sampled from, e.g. ``df`` without an
-    ``observe`` node that must fire only in the final action.
-
-    Passes over ``df``: one sampled pass to find hot keys (written to the
-    shared checkpoint folder, a handful of rows); with none, the plain window
-    (one more pass). With hot keys, their rows alone are written; the others
-    go through the plain window. Ranks are 32-bit, as in SQL's ROW_NUMBER: a key
-    with more than 2^31 - 1 rows fails loudly under ANSI.
+        own, earlier = F.col(f"_l_{n}"), F.col(f"_b_{n}")
+        cols.append(F.when(own.isNull(), earlier).when(earlier.isNull(), own).otherwise(own + earlier).alias(n))
+    cols += [F.coalesce("_next", "_after")[n].alias(n) for n in leads]
+    return rows.select(*cols, *(SLICES if keep_slices else ()))
+
+
+def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], position: Column | None = None,
+                   width: int | None = None, rank: str | None = None, sums: dict[str, str] | None = None,
+                   leads: dict[str, str] | None = None, counts_from: DataFrame | None = None,
+                   counts_order: Sequence[str] | None = None, keep_slices: bool = False) -> DataFrame:
+    """Row number, running sums and next values per key in ``order`` (asc, nulls first).
+
+    ``sums`` and ``leads`` map new columns to source columns. ``position`` must not fall along
+    ``order`` and be null only for its first rows; without a ``width`` the plain window runs.
+    ``order`` should end in tie-breakers that make it total; rows equal on every order
+    column get consecutive numbers in an unspecified order.
+    ``counts_from`` (same rows as ``df``) is what slices are counted from, e.g. ``df``
+    without an ``observe`` node that must fire once; ``counts_order`` tells the first row
+    of a slice there (default: ``order``). Ranks are 32-bit, as in SQL's
+    ROW_NUMBER: a key with more than 2^31 - 1 rows fails loudly under ANSI.
     """
-    sums = dict(sums or {})
-    if hot_rows is None:
-        return _plain(df, keys, order, rank, sums)
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    hot = hot_keys(sample_from if sample_from is not None else df, keys, hot_rows).checkpoint(eager=True)
-    if hot.isEmpty():
-        return _plain(df, keys, order, rank, sums)
-    is_hot = _null_safe_on(df, hot, keys)
-    hot_rows_df = df.join(hot, is_hot, "left_semi")
-    cold_rows = df.join(hot, is_hot, "left_anti")
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _plain(cold_rows, keys, order, rank, sums).unionByName(
-        _sliced(hot_rows_df, keys, order, rank, sums, n))
+    sums, leads = dict(sums or {}), dict(leads or {})
+    if width is None or position is None:
+        return _plain(df, keys, order, rank, sums, leads)
+    return _sliced(df, counts_from if counts_from is not None else df, keys, order, counts_order or order,
+                   position, width, rank, sums, leads, keep_slices)
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-                      hot_rows: int | None = DEFAULT_HOT_ROWS, sample_from: DataFrame | None = None) -> DataFrame:
+                      position: Column | None = None, width: int | None = None,
+                      counts_from: DataFrame | None = None, keep_slices: bool = False) -> DataFrame:
     """``row_number() over (partition by keys order by order)``."""
-    return ordered_within(df, keys, order, rank=name, hot_rows=hot_rows, sample_from=sample_from)
-
-
-def next_in_order(df: DataFrame, keys: Sequence[str], rank: str, columns: Sequence[str],
-                  prefix: str = "next_") -> DataFrame:
-    """``lead(c)`` over ``rank`` within keys, as an equi-join on (keys, rank + 1).
-
-    (keys, rank) is unique, so the join has no hot key however large a group is.
-    """
-    nxt = df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], (F.col(rank) - 1).alias("_r"),
-                    *[F.col(c).alias(f"{prefix}{c}") for c in columns])
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(nxt[f"_k_{k}"])
-        cond = c if cond is None else (cond & c)
-    cond = cond & (df[rank] == nxt["_r"])
-    return df.join(nxt, cond, "left").drop(*[f"_k_{k}" for k in keys], "_r")
+    return ordered_within(df, keys, order, position, width, rank=name, counts_from=counts_from, keep_slices=keep_slices)

@@ -30,14 +30,19 @@ class Params:
     # many (estimated) bytes; a larger one is written once per refresh, bucketed
     # on its key, so that a micro-batch never shuffles it
     stream_dimension_bytes: int = 10 << 20
-    # per-key windows route keys with more rows than this (estimated from a
-    # sample) to a range-sliced path; None = plain window only
-    hot_key_rows: int | None = 1_000_000
+    # windows over the rows of one claim run in slices of this many days of its
+    # losses, so that no task holds a whole claim; None = plain window
+    claim_slice_days: int | None = 1
 
     @property
     def as_of_date(self) -> dt.date:
         return self.as_of.date()
 
+    @property
+    def claim_slice(self) -> int | None:
+        """``claim_slice_days`` in microseconds."""
+        return None if self.claim_slice_days is None else self.claim_slice_days * 86_400_000_000
+
     def replace(self, **kw) -> "Params":
         return dataclasses.replace(self, **kw)
 

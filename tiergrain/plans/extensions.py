@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tiergrain.functions.exprs import date_literal
 from tiergrain.operators.compliance import rule_report, threshold_rule
 from tiergrain.operators.relational import pct_of
-from tiergrain.operators.windows import next_in_order, ordered_within
+from tiergrain.operators.sliced import micros
+from tiergrain.operators.windows import SLICES, ordered_within
 from tiergrain.params import Params
 from tiergrain.plans.insurance import latest_exposure, premium_by_lob_year
 
@@ -140,12 +141,21 @@ def paid_triangle(claims: DataFrame) -> DataFrame:
     return tri.withColumn("cumulative_paid", F.sum("paid").over(w))
 
 
-def running_incurred(claims: DataFrame, params: Params) -> DataFrame:
-    """Running incurred per claim in version order (``cumulative_paid_rank``);
-    hot claims are summed slice by slice (see ``ordered_within``)."""
-    base = claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount")
-    return ordered_within(base, ["claim_id"], ["cumulative_paid_rank"],
-                          sums={"running_incurred": "incurred_amount"}, hot_rows=params.hot_key_rows)
+def _in_versions(claims: DataFrame, columns: list[str], params: Params, kept: DataFrame | None, **asked) -> DataFrame:
+    """A window over each claim's rows in version order (``cumulative_paid_rank``, which follows ``loss_date``).
+
+    ``kept`` are the rows of ``claims`` without their rank, which the slices are counted from. If ``claims``
+    brings the slices of its rank, the rows are not shuffled again.
+    """
+    base = claims.select("claim_id", "cumulative_paid_rank", *columns, *[c for c in SLICES if c in claims.columns])
+    return ordered_within(base, ["claim_id"], ["cumulative_paid_rank"], micros("loss_date"), params.claim_slice,
+                          counts_from=kept, counts_order=["loss_date"], **asked)
+
+
+def running_incurred(claims: DataFrame, params: Params, kept: DataFrame | None = None) -> DataFrame:
+    """Running incurred per claim in version order."""
+    return _in_versions(claims, ["loss_date", "incurred_amount"], params, kept,
+                        sums={"running_incurred": "incurred_amount"})
 
 
 # X6 -----------------------------------------------------------------------------
@@ -163,19 +173,14 @@ def earned_premium(policies: DataFrame, params: Params) -> DataFrame:
 
 
 # X7 -----------------------------------------------------------------------------
-def claim_versions(claims: DataFrame, params: Params) -> DataFrame:
+def claim_versions(claims: DataFrame, params: Params, kept: DataFrame | None = None) -> DataFrame:
     """SCD2-style validity interval of each claim row among its versions.
 
-    Ranks are given before rows are dropped, so they have gaps: the surviving
-    versions are numbered anew, and ``valid_to`` is the next survivor's
-    ``loss_date`` (an equi-join on that number plus one).
+    ``valid_to`` is the ``loss_date`` of the next version that was not dropped.
     """
-    base = claims.select("claim_id", "cumulative_paid_rank", "loss_date", "incurred_amount", "status")
-    base = ordered_within(base, ["claim_id"], ["cumulative_paid_rank"], rank="_version", hot_rows=params.hot_key_rows)
-    j = next_in_order(base, ["claim_id"], "_version", ["loss_date"])
-    return j.select("claim_id", "cumulative_paid_rank", F.col("loss_date").alias("valid_from"),
-                    F.col("next_loss_date").alias("valid_to"), F.col("next_loss_date").isNull().alias("is_current"),
-                    "incurred_amount", "status")
+    j = _in_versions(claims, ["loss_date", "incurred_amount", "status"], params, kept, leads={"valid_to": "loss_date"})
+    return j.select("claim_id", "cumulative_paid_rank", F.col("loss_date").alias("valid_from"), "valid_to",
+                    F.col("valid_to").isNull().alias("is_current"), "incurred_amount", "status")
 
 
 # X8 -----------------------------------------------------------------------------

@@ -274,11 +274,11 @@ def _ext(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name == "ext_paid_triangle":
         return ext.paid_triangle(s["kept_claims"])
     if name == "ext_running_incurred":
-        return ext.running_incurred(s["silver_claims_enriched"], params)
+        return ext.running_incurred(s["placed_claims"], params, s["kept_claims"])
     if name == "ext_earned_premium":
         return ext.earned_premium(s["silver_enriched_policies"], params)
     if name == "ext_claim_versions":
-        return ext.claim_versions(s["silver_claims_enriched"], params)
+        return ext.claim_versions(s["placed_claims"], params, s["kept_claims"])
     if name == "ext_reinsurance_split":
         return ext.reinsurance_split(s["silver_enriched_policies"], s.raw["raw_reinsurers"])
     if name == "ext_exposure_by_rating":
