@@ -94,3 +94,15 @@ def test_metrics_count_every_batch_and_survive_a_restart(spark):
     assert {k: v for k, v in batch_metrics(spark, f"{base}/ckpt").items() if k in want} == want
     again = append_stream(spark, f"{base}/in", schema, f"{base}/out", f"{base}/ckpt", ruleset=rules, max_files=1)
     assert again.batches == 0 and batch_metrics(spark, f"{base}/ckpt")["_evaluated"] == 130
+
+
+def test_micro_batches_are_bounded_by_bytes(spark):
+    import os
+    base = tempfile.mkdtemp(prefix="tg-bytes-")
+    spark.range(4000).selectExpr("CAST(id AS int) AS id").repartitionByRange(8, "id").write.parquet(f"{base}/in")
+    sizes = [os.path.getsize(f"{base}/in/{f}") for f in os.listdir(f"{base}/in") if f.endswith(".parquet")]
+    schema = spark.read.parquet(f"{base}/in").schema
+    few = append_stream(spark, f"{base}/in", schema, f"{base}/few", f"{base}/few-ckpt", max_bytes=2 * max(sizes))
+    one = append_stream(spark, f"{base}/in", schema, f"{base}/one", f"{base}/one-ckpt", max_bytes=2 * sum(sizes))
+    assert (few.batches, one.batches) == (4, 1)
+    assert spark.read.parquet(f"{base}/few").distinct().count() == spark.read.parquet(f"{base}/one").count() == 4000

@@ -30,6 +30,8 @@ class Params:
     # many (estimated) bytes; a larger one is written once per refresh, bucketed
     # on its key, so that a micro-batch never shuffles it
     stream_dimension_bytes: int = 10 << 20
+    # a micro-batch of a streaming table takes whole files of about this many bytes
+    stream_batch_bytes: int = 1 << 30
     # windows over the rows of one claim run in slices of this many days of its
     # losses, so that no task holds a whole claim; None = plain window
     claim_slice_days: int | None = 1
@@ -77,4 +79,5 @@ TEST_PARAMS = Params(
     max_single_risk_pct=0.12,
     max_peril_concentration_pct=11.0,
     max_aggregate_limit_usd=5e9,
+    stream_batch_bytes=4 << 20,     # several micro-batches at sf0.1
 )

@@ -21,15 +21,11 @@ from tiergrain.sources.bindings import raw_tables
 from tiergrain.streaming.refresh import StreamRun, append_stream, batch_metrics, enrich_stream, full_refresh, read_enriched, stage_arrivals
 
 ROWS_PER_FILE = 20_000     # landed files are cut by rows: no shuffle, any number of files
-FILES_PER_TRIGGER = 2   # several micro-batches per refresh in the registered keys
 
 
 class InvestmentStreams:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, trade_arrivals: int = 2,
-                 files_per_trigger: int | None = FILES_PER_TRIGGER):
-        """``files_per_trigger`` bounds a micro-batch (None: everything that
-        has arrived in one batch per refresh)."""
-        self.files_per_trigger = files_per_trigger
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, trade_arrivals: int = 2):
+        """``params.stream_batch_bytes`` bounds a micro-batch."""
         self.spark = spark
         self.params = params
         self.raw = raw_tables(spark, sf_dir)
@@ -65,7 +61,7 @@ class InvestmentStreams:
     def refresh_bronze(self, table: str) -> StreamRun:
         raw = inv.BRONZE_SOURCES[table]
         run = append_stream(self.spark, self.raw_dir(raw), self.schema(raw), self.sink(table), self.ckpt(table),
-                            ruleset=inv.BRONZE_RULES[table], max_files=self.files_per_trigger)
+                            ruleset=inv.BRONZE_RULES[table], max_bytes=self.params.stream_batch_bytes)
         self.runs.setdefault(table, []).append(run)
         return run
 
@@ -96,7 +92,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_market_data")
             run = append_stream(self.spark, src, self.schema("raw_market_data"), self.sink(t), self.ckpt(t),
                                 transform=inv.market_data_unfiltered, ruleset=inv.SILVER_RULES[t],
-                                max_files=self.files_per_trigger)
+                                max_bytes=self.params.stream_batch_bytes)
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -106,7 +102,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_fx_rates")
             run = append_stream(self.spark, src, self.schema("raw_fx_rates"), self.sink(t), self.ckpt(t),
                                 transform=lambda d: d.select(*inv.FX_COLUMNS), ruleset=inv.SILVER_RULES[t],
-                                max_files=self.files_per_trigger)
+                                max_bytes=self.params.stream_batch_bytes)
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -145,7 +141,7 @@ class InvestmentStreams:
                                                   dims["silver_fund_structures"](), self.params)
 
         run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
-                            self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_files=self.files_per_trigger)
+                            self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_bytes=self.params.stream_batch_bytes)
         self.runs.setdefault(t, []).append(run)
         return run
 
@@ -169,7 +165,7 @@ class InvestmentStreams:
         self.bronze(table)
         sink, checkpoint = full_refresh(self.spark, table)
         append_stream(self.spark, self.raw_dir(raw), self.schema(raw), sink, checkpoint,
-                      ruleset=inv.BRONZE_RULES[table], max_files=self.files_per_trigger)
+                      ruleset=inv.BRONZE_RULES[table], max_bytes=self.params.stream_batch_bytes)
         return self.spark.read.parquet(sink)
 
     def rerun_is_noop(self, table: str) -> bool:

@@ -126,24 +126,31 @@ class _BatchCounts(StreamingQueryListener):
                 raise RuntimeError("the end of the streaming query was not reported; rule metrics may be incomplete")
 
 
-def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """Append-only scan of a parquet folder (raw table or upstream sink)."""
+def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, max_files: int | None = None,
+                max_bytes: int | None = None) -> DataFrame:
+    """Append-only scan of a parquet folder (raw table or upstream sink).
+
+    A micro-batch takes at most ``max_files`` files or, as whole files, ``max_bytes`` (one file at
+    least); with neither, all that has arrived.
+    """
     r = spark.readStream.schema(schema).format("parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
+    elif max_bytes:
+        r = r.option("maxBytesPerTrigger", str(max_bytes))
     return r.load(source_dir)
 
 
 def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink: str, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame] | None = None, ruleset: RuleSet | None = None,
-                  max_files: int | None = None) -> StreamRun:
+                  max_files: int | None = None, max_bytes: int | None = None) -> StreamRun:
     """Run one triggered refresh of a streaming table into ``sink``.
 
     ``transform`` maps the source stream to the table's rows (projection,
     derived columns); ``ruleset`` is applied on those rows (warn keeps them,
     drop removes violators) and its counts are observed per micro-batch.
     """
-    df = read_stream(spark, source_dir, schema, max_files)
+    df = read_stream(spark, source_dir, schema, max_files, max_bytes)
     if transform is not None:
         df = transform(df)
     name = f"rules_{ruleset.dataset}" if ruleset else None
@@ -171,7 +178,7 @@ def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, si
 
 def enrich_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink: str, checkpoint: str,
                   enrich: Callable[[DataFrame], DataFrame], ruleset: RuleSet,
-                  max_files: int | None = None) -> StreamRun:
+                  max_files: int | None = None, max_bytes: int | None = None) -> StreamRun:
     """J1 streaming: ``enrich(batch)`` builds the unfiltered output rows of a
     micro-batch (re-reading the dimensions); the drop rules run on them."""
     metrics: dict[str, int] = {}
@@ -187,7 +194,7 @@ def enrich_stream(spark: SparkSession, source_dir: str, schema: T.StructType, si
             metrics[k] = metrics.get(k, 0) + v
         seen["batches"] += 1
 
-    q = (read_stream(spark, source_dir, schema, max_files).writeStream
+    q = (read_stream(spark, source_dir, schema, max_files, max_bytes).writeStream
          .foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
