@@ -106,3 +106,28 @@ def test_micro_batches_are_bounded_by_bytes(spark):
     one = append_stream(spark, f"{base}/in", schema, f"{base}/one", f"{base}/one-ckpt", max_bytes=2 * sum(sizes))
     assert (few.batches, one.batches) == (4, 1)
     assert spark.read.parquet(f"{base}/few").distinct().count() == spark.read.parquet(f"{base}/one").count() == 4000
+
+
+def test_number_of_micro_batches_does_not_grow_with_the_input(spark):
+    from tiergrain.streaming.refresh import batch_bytes
+    base = tempfile.mkdtemp(prefix="tg-number-")
+    spark.range(12000).selectExpr("CAST(id AS int) AS id").repartitionByRange(24, "id").write.parquet(f"{base}/in")
+    schema = spark.read.parquet(f"{base}/in").schema
+    size = batch_bytes(spark, f"{base}/in", 1, 4)
+    run = append_stream(spark, f"{base}/in", schema, f"{base}/out", f"{base}/ckpt", max_bytes=size)
+    assert 4 <= run.batches <= 5 and spark.read.parquet(f"{base}/out").distinct().count() == 12000
+    assert batch_bytes(spark, f"{base}/in", 1 << 30, 4) == 1 << 30
+
+
+def test_streams_cut_a_refresh_into_few_micro_batches(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tiergrain.params import TEST_PARAMS
+    from tiergrain.plans.streams import InvestmentStreams
+    p = TEST_PARAMS.replace(stream_batch_bytes=1, stream_refresh_batches=3)
+    for name, cols in {"part": ["p_partkey", "CAST('b' AS string) p_brand", "CAST('n' AS string) p_name", "CAST('t' AS string) p_type",
+                                "CAST(id AS int) p_size"]}.items():
+        spark.range(0, 4000, 1, 20).withColumn("p_partkey", F.col("id")).selectExpr(*cols).write.parquet(f"{tmp_path}/{name}.parquet")
+    st = InvestmentStreams(spark, str(tmp_path), p)
+    assert st.table("bronze_securities_master").count() == 4000
+    files = spark.read.parquet(st.raw_dir("raw_securities_master")).inputFiles()
+    assert len(files) > 5 and st.runs["bronze_securities_master"][0].batches <= 4

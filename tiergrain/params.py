@@ -30,8 +30,10 @@ class Params:
     # many (estimated) bytes; a larger one is written once per refresh, bucketed
     # on its key, so that a micro-batch never shuffles it
     stream_dimension_bytes: int = 10 << 20
-    # a micro-batch of a streaming table takes whole files of about this many bytes
+    # a micro-batch of a streaming table takes whole files of about this many bytes, or more
+    # if a refresh of all that has arrived would need over stream_refresh_batches of them
     stream_batch_bytes: int = 1 << 30
+    stream_refresh_batches: int = 8
     # windows over the rows of one claim run in slices of this many days of its
     # losses, so that no task holds a whole claim; None = plain window
     claim_slice_days: int | None = 1

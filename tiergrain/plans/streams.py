@@ -18,14 +18,14 @@ from tiergrain.operators.relational import scan_bytes
 from tiergrain.session import shared_dir
 from tiergrain.sources.sinks import write_bucketed
 from tiergrain.sources.bindings import raw_tables
-from tiergrain.streaming.refresh import StreamRun, append_stream, batch_metrics, enrich_stream, full_refresh, read_enriched, stage_arrivals
+from tiergrain.streaming.refresh import StreamRun, append_stream, batch_bytes, batch_metrics, enrich_stream, full_refresh, read_enriched, stage_arrivals
 
 ROWS_PER_FILE = 20_000     # landed files are cut by rows: no shuffle, any number of files
 
 
 class InvestmentStreams:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params, trade_arrivals: int = 2):
-        """``params.stream_batch_bytes`` bounds a micro-batch."""
+        """``params.stream_batch_bytes`` and ``stream_refresh_batches`` set a micro-batch's size."""
         self.spark = spark
         self.params = params
         self.raw = raw_tables(spark, sf_dir)
@@ -47,6 +47,9 @@ class InvestmentStreams:
     def schema(self, raw: str):
         return self.raw[raw].schema
 
+    def batch_bytes(self, folder: str) -> int:
+        return batch_bytes(self.spark, folder, self.params.stream_batch_bytes, self.params.stream_refresh_batches)
+
     # --- refreshes ---------------------------------------------------------------
     def _stage(self, raw: str, part: int | None = None) -> None:
         tag = f"{raw}:{part}"
@@ -61,7 +64,7 @@ class InvestmentStreams:
     def refresh_bronze(self, table: str) -> StreamRun:
         raw = inv.BRONZE_SOURCES[table]
         run = append_stream(self.spark, self.raw_dir(raw), self.schema(raw), self.sink(table), self.ckpt(table),
-                            ruleset=inv.BRONZE_RULES[table], max_bytes=self.params.stream_batch_bytes)
+                            ruleset=inv.BRONZE_RULES[table], max_bytes=self.batch_bytes(self.raw_dir(raw)))
         self.runs.setdefault(table, []).append(run)
         return run
 
@@ -84,7 +87,9 @@ class InvestmentStreams:
         src = {"silver_securities_master": ("bronze_securities_master", inv.silver_securities_master),
                "silver_counterparties": ("bronze_counterparties", inv.silver_counterparties),
                "silver_fund_structures": ("bronze_fund_structures", inv.silver_fund_structures)}[table]
-        return src[1](self.spark.read.parquet(self.bronze(src[0])))
+        # with the schema given, a micro-batch needs no job to find it out
+        schema = self.schema(inv.BRONZE_SOURCES[src[0]])
+        return src[1](self.spark.read.schema(schema).parquet(self.bronze(src[0])))
 
     def silver_market_data(self) -> str:
         t = "silver_market_data"
@@ -92,7 +97,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_market_data")
             run = append_stream(self.spark, src, self.schema("raw_market_data"), self.sink(t), self.ckpt(t),
                                 transform=inv.market_data_unfiltered, ruleset=inv.SILVER_RULES[t],
-                                max_bytes=self.params.stream_batch_bytes)
+                                max_bytes=self.batch_bytes(src))
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -102,7 +107,7 @@ class InvestmentStreams:
             src = self.bronze("bronze_fx_rates")
             run = append_stream(self.spark, src, self.schema("raw_fx_rates"), self.sink(t), self.ckpt(t),
                                 transform=lambda d: d.select(*inv.FX_COLUMNS), ruleset=inv.SILVER_RULES[t],
-                                max_bytes=self.params.stream_batch_bytes)
+                                max_bytes=self.batch_bytes(src))
             self.runs[t] = [run]
         return self.sink(t)
 
@@ -140,8 +145,9 @@ class InvestmentStreams:
                                                   dims["silver_counterparties"](),
                                                   dims["silver_fund_structures"](), self.params)
 
-        run = enrich_stream(self.spark, self.sink("bronze_trade_executions"), self.schema("raw_trade_executions"),
-                            self.sink(t), self.ckpt(t), enrich, inv.SILVER_RULES[t], max_bytes=self.params.stream_batch_bytes)
+        src = self.sink("bronze_trade_executions")
+        run = enrich_stream(self.spark, src, self.schema("raw_trade_executions"), self.sink(t), self.ckpt(t), enrich,
+                            inv.SILVER_RULES[t], max_bytes=self.batch_bytes(src))
         self.runs.setdefault(t, []).append(run)
         return run
 
@@ -165,7 +171,7 @@ class InvestmentStreams:
         self.bronze(table)
         sink, checkpoint = full_refresh(self.spark, table)
         append_stream(self.spark, self.raw_dir(raw), self.schema(raw), sink, checkpoint,
-                      ruleset=inv.BRONZE_RULES[table], max_bytes=self.params.stream_batch_bytes)
+                      ruleset=inv.BRONZE_RULES[table], max_bytes=self.batch_bytes(self.raw_dir(raw)))
         return self.spark.read.parquet(sink)
 
     def rerun_is_noop(self, table: str) -> bool:

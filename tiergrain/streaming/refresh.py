@@ -141,6 +141,16 @@ def read_stream(spark: SparkSession, source_dir: str, schema: T.StructType, max_
     return r.load(source_dir)
 
 
+def batch_bytes(spark: SparkSession, source_dir: str, least: int, most_batches: int) -> int:
+    """Bytes of a micro-batch: ``least``, or what cuts all files under ``source_dir`` into ``most_batches``.
+
+    Every micro-batch has a fixed cost (planning, logs, commits), so their number must not grow with
+    the input. Tasks read splits of files, so a larger micro-batch has more tasks, not larger ones.
+    """
+    fs, where = hadoop_path(spark, source_dir)
+    return max(least, -(-fs.getContentSummary(where).getLength() // most_batches))
+
+
 def append_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink: str, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame] | None = None, ruleset: RuleSet | None = None,
                   max_files: int | None = None, max_bytes: int | None = None) -> StreamRun:
