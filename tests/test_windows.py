@@ -120,3 +120,11 @@ def test_windows_over_kept_slices_share_one_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     # rows once; counts by (key, slice), by key and for the join, for both windows
     assert plan.count("Exchange hashpartitioning(_key") == 1 + 2 * 3, plan
+
+
+def test_a_slice_with_nothing_around_sends_no_row(spark):
+    df = spark.range(500).select(F.concat(F.lit("K"), F.col("id").cast("string")).alias("k"), F.col("id").alias("o"))
+    got = ordered_within(df, ["k"], ["o"], F.col("o"), 10, rank="rn", sums={"s": "o"})
+    assert {(r.k, r.o, r.rn, r.s) for r in got.collect()} == {(f"K{i}", i, 1, i) for i in range(500)}
+    plan = got.select("*")._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(_n_before" in plan and "isnotnull(_b_s" in plan, plan

@@ -10,7 +10,7 @@ all. ``ordered_within`` keeps the exact result over slices of the order:
 3. What the other slices of the key hold (rows, sums, first values) comes from an
    aggregate per (key, slice), combined map-side; a window over these few rows gives
    each slice what lies before or after it, and an equi-join on the same (key, slice)
-   brings it back without another shuffle of the rows.
+   brings it back without another shuffle of the rows. Slices with nothing around send no row.
 
 Slices depend on the rows alone: nothing is sampled, written or decided while the
 frame is built, and a lost task recomputes the same rows. A task holds at most
@@ -58,7 +58,8 @@ def _placed(df: DataFrame, keys, position: Column, width: int) -> DataFrame:
 def _sliced(df: DataFrame, counts_from: DataFrame, keys, order, counts_order, position: Column, width: int,
             rank: str | None, sums: dict[str, str], leads: dict[str, str], keep_slices: bool) -> DataFrame:
     # per (key, slice): rows, sums and first values, then those of the slices around it
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.sum(src).alias(f"_s_{n}") for n, src in sums.items()]
+    aggs = [F.count(F.lit(1)).alias("_n")] if rank else []
+    aggs += [F.sum(src).alias(f"_s_{n}") for n, src in sums.items()]
     if leads:
         firsts = F.struct(*[F.col(src).alias(n) for n, src in leads.items()])
         aggs.append(F.min_by(firsts, F.struct(*[F.col(c) for c in counts_order])).alias("_first"))
@@ -68,7 +69,9 @@ def _sliced(df: DataFrame, counts_from: DataFrame, keys, order, counts_order, po
     around = [F.sum("_n").over(before).alias("_n_before")] if rank else []
     around += [F.sum(f"_s_{n}").over(before).alias(f"_b_{n}") for n in sums]
     around += [F.lead("_first").over(along).alias("_after")] if leads else []
-    carried = per.select(*SLICES, *around)
+    # a slice without others around it needs no row: the left join gives the same nulls
+    names = ["_n_before"] * bool(rank) + [f"_b_{n}" for n in sums] + ["_after"] * bool(leads)
+    carried = per.select(*SLICES, *around).where(" OR ".join(f"`{n}` IS NOT NULL" for n in names))
 
     w = Window.partitionBy(*SLICES).orderBy(*_order_cols(order))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -76,9 +79,11 @@ def _sliced(df: DataFrame, counts_from: DataFrame, keys, order, counts_order, po
     local += [F.sum(src).over(run).alias(f"_l_{n}") for n, src in sums.items()]
     # a struct, so that a null value differs from having no next row
     local += [F.lead(F.struct(*[F.col(src).alias(n) for n, src in leads.items()])).over(w).alias("_next")] if leads else []
-    rows = _placed(df, keys, position, width).select("*", *local).join(carried, list(SLICES), "left")
+    # key columns that nothing else reads travel in the key alone
+    inside = set(keys) - {*order, *sums.values(), *leads.values()}
+    rows = _placed(df, keys, position, width).drop(*inside).select("*", *local).join(carried, list(SLICES), "left")
 
-    cols: list[Column] = [F.col(c) for c in df.columns if c not in SLICES]
+    cols: list[Column] = [F.col("_key")[c].alias(c) if c in inside else F.col(c) for c in df.columns if c not in SLICES]
     if rank:
         cols.append((F.col("_local_rank") + F.coalesce("_n_before", F.lit(0))).cast("int").alias(rank))
     for n in sums:
