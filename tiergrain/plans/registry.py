@@ -305,8 +305,12 @@ def _view_builder(dataset: str, cluster_by):
         base = shared_dir(spark, "views", dataset)
         df = (investment if dataset in inv.DATASETS else insurance)(spark, sf_dir)[dataset]
         half = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
-        publish_view(df.where(half), base, cluster_by=cluster_by)       # an older refresh
-        publish_view(df, base, cluster_by=cluster_by)                   # recompute and replace
+        df.persist()                                                    # one run of the graph for both refreshes
+        try:
+            publish_view(df.where(half), base, cluster_by=cluster_by)   # an older refresh
+            publish_view(df, base, cluster_by=cluster_by)               # all rows replace it
+        finally:
+            df.unpersist()
         return stabilize_doubles(read_view(spark, base))
     run.__name__ = f"view_{dataset}"
     return run
