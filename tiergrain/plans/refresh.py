@@ -4,11 +4,17 @@ Every bronze and silver dataset is written as a table under one folder and
 read back by its downstream datasets (S2/S5/S8); gold datasets are published
 as clustered, versioned views (S7/S10). Rule counts of every dataset are
 collected with ``Observation`` while its table is written: no extra pass.
+Datasets that do not read each other are written at the same time, so that the last tasks
+of one do not leave the executors idle.
 The returned metrics are one row per (dataset, rule).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tiergrain.operators.quality import RuleSet, observed_counts
@@ -20,6 +26,16 @@ from tiergrain.sources.bindings import raw_tables
 from tiergrain.sources.sinks import publish_view, write_table
 
 
+AT_ONCE = 4     # writes of one refresh that run together
+
+
+def _together(spark: SparkSession, steps: dict[str, Callable]) -> dict:
+    """The steps' results by name; a step that fails is raised when all have ended."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+    return {name: b.result() for name, b in begun.items()}
+
+
 class _Run:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -43,50 +59,57 @@ class _Run:
 def refresh_investment(spark: SparkSession, sf_dir: str, params: Params, base: str | None = None) -> _Run:
     run = _Run(spark, base or shared_dir(spark, "refresh", "investment"))
     raw = raw_tables(spark, sf_dir)
-    b = {ds: run.table(ds, lambda o, ds=ds, r=r: inv.bronze(raw[r], ds, o), inv.BRONZE_RULES[ds])
-         for ds, r in inv.BRONZE_SOURCES.items()}
-    sr = inv.SILVER_RULES
-    sec = run.table("silver_securities_master",
-                    lambda o: inv.silver_securities_master(b["bronze_securities_master"], o),
-                    sr["silver_securities_master"])
-    cp = run.table("silver_counterparties", lambda o: inv.silver_counterparties(b["bronze_counterparties"], o),
-                   sr["silver_counterparties"])
-    fund = run.table("silver_fund_structures", lambda o: inv.silver_fund_structures(b["bronze_fund_structures"], o),
-                     sr["silver_fund_structures"])
+    b = _together(spark, {
+        ds: lambda ds=ds, df=raw[r]: run.table(ds, lambda o: inv.bronze(df, ds, o), inv.BRONZE_RULES[ds])
+        for ds, r in inv.BRONZE_SOURCES.items()})
+    silver = {
+        "silver_securities_master": lambda o: inv.silver_securities_master(b["bronze_securities_master"], o),
+        "silver_counterparties": lambda o: inv.silver_counterparties(b["bronze_counterparties"], o),
+        "silver_fund_structures": lambda o: inv.silver_fund_structures(b["bronze_fund_structures"], o),
+        "silver_market_data": lambda o: inv.silver_market_data(b["bronze_market_data"], o),
+        "silver_fx_rates": lambda o: inv.silver_fx_rates(b["bronze_fx_rates"], o),
+    }
+    s = _together(spark, {ds: lambda ds=ds, build=build: run.table(ds, build, inv.SILVER_RULES[ds])
+                          for ds, build in silver.items()})
+    sec, cp, fund = s["silver_securities_master"], s["silver_counterparties"], s["silver_fund_structures"]
     trades = run.table("silver_enriched_trades",
                        lambda o: inv.silver_enriched_trades(b["bronze_trade_executions"], sec, cp, fund, params, o),
-                       sr["silver_enriched_trades"])
-    market = run.table("silver_market_data", lambda o: inv.silver_market_data(b["bronze_market_data"], o),
-                       sr["silver_market_data"])
-    run.table("silver_fx_rates", lambda o: inv.silver_fx_rates(b["bronze_fx_rates"], o), sr["silver_fx_rates"])
+                       inv.SILVER_RULES["silver_enriched_trades"])
     gold = {
         "gold_portfolio_summary": inv.gold_portfolio_summary(trades),
         "gold_daily_trading_activity": inv.gold_daily_trading_activity(trades),
         "gold_counterparty_exposure": inv.gold_counterparty_exposure(trades),
-        "gold_market_performance": inv.gold_market_performance(market, sec, params),
+        "gold_market_performance": inv.gold_market_performance(s["silver_market_data"], sec, params),
         "gold_settlement_status": inv.gold_settlement_status(trades),
     }
-    for name, df in gold.items():
-        run.view(name, df, inv.GOLD_CLUSTER_BY.get(name))
+    _together(spark, {name: lambda name=name, df=df: run.view(name, df, inv.GOLD_CLUSTER_BY.get(name))
+                      for name, df in gold.items()})
     return run
 
 
 def refresh_insurance(spark: SparkSession, sf_dir: str, params: Params, base: str | None = None) -> _Run:
     run = _Run(spark, base or shared_dir(spark, "refresh", "insurance"))
     raw = raw_tables(spark, sf_dir)
-    b = {ds: run.table(ds, lambda o, ds=ds, r=r: ins.bronze(raw[r], ds, o), ins.BRONZE_RULES[ds])
-         for ds, r in ins.BRONZE_SOURCES.items()}
-    lobs = b["bronze_lines_of_business"]
-    policies = run.table("silver_enriched_policies",
-                         lambda o: ins.silver_enriched_policies(b["bronze_policies"], lobs, raw["raw_brokers"],
-                                                                raw["raw_reinsurers"], params, o),
-                         ins.policy_rules(params))
-    run.table("quarantine_policies", lambda o: ins.quarantine_policies(b["bronze_policies"], lobs, params))
-    claims = run.table("silver_claims_enriched", lambda o: ins.silver_claims_enriched(b["bronze_claims"], params, o),
-                       ins.CLAIM_RULES)
-    exposure = run.table("silver_exposure", lambda o: ins.silver_exposure(b["bronze_exposure"], o),
-                         ins.EXPOSURE_RULES)
-    run.view("gold_underwriting_summary", ins.gold_underwriting_summary(policies, claims, params))
-    run.view("gold_compliance_checks", ins.gold_compliance_checks(policies, params))
-    run.view("gold_exposure_summary", ins.gold_exposure_summary(policies, exposure, params))
+    b = _together(spark, {
+        ds: lambda ds=ds, df=raw[r]: run.table(ds, lambda o: ins.bronze(df, ds, o), ins.BRONZE_RULES[ds])
+        for ds, r in ins.BRONZE_SOURCES.items()})
+    lobs, brokers, reinsurers = b["bronze_lines_of_business"], raw["raw_brokers"], raw["raw_reinsurers"]
+    s = _together(spark, {
+        "policies": lambda: run.table(
+            "silver_enriched_policies",
+            lambda o: ins.silver_enriched_policies(b["bronze_policies"], lobs, brokers, reinsurers, params, o),
+            ins.policy_rules(params)),
+        "quarantine": lambda: run.table(
+            "quarantine_policies", lambda o: ins.quarantine_policies(b["bronze_policies"], lobs, params)),
+        "claims": lambda: run.table(
+            "silver_claims_enriched", lambda o: ins.silver_claims_enriched(b["bronze_claims"], params, o), ins.CLAIM_RULES),
+        "exposure": lambda: run.table(
+            "silver_exposure", lambda o: ins.silver_exposure(b["bronze_exposure"], o), ins.EXPOSURE_RULES),
+    })
+    gold = {
+        "gold_underwriting_summary": ins.gold_underwriting_summary(s["policies"], s["claims"], params),
+        "gold_compliance_checks": ins.gold_compliance_checks(s["policies"], params),
+        "gold_exposure_summary": ins.gold_exposure_summary(s["policies"], s["exposure"], params),
+    }
+    _together(spark, {name: lambda name=name, df=df: run.view(name, df) for name, df in gold.items()})
     return run
