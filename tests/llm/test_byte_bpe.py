@@ -96,3 +96,30 @@ def test_other_operators_free_the_memo_tables():
     assert not decontaminate._hashes
     only_memos_of("toxicity")
     assert not codec._pieces
+
+
+def test_a_text_is_encoded_once_and_results_leave_in_small_batches(spark, codec, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(B, "CODED_PER_BATCH", 400)
+    calls, encode = [], codec.encode_packed
+    monkeypatch.setattr(codec, "encode_packed", lambda t: calls.append(t) or encode(t))
+    texts = ["a few plain words " * 5, None, "", "naïve 你好 \U0001f600"] * 20
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([None, *range(79)], pa.int64()), "text": pa.array(texts, pa.string())})
+    parts = list(B.coded_batches(iter([batch]), codec))
+    assert calls == [t or "" for t in texts] and len(parts) > 4
+    assert all(sum(map(len, p.column(1).to_pylist()[:-1])) < 400 for p in parts)
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [r["doc_id"] for r in rows] == [None, *range(79)]
+    assert [r["decoded"].decode() for r in rows] == calls[:80]
+    coded = B.encode_documents(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), PATH, P.PATTERN)
+    assert "decode(encode(" not in coded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_freed_memory_goes_back_at_a_change_of_operator(monkeypatch):
+    from tiergrain.llm import common
+    back = []
+    monkeypatch.setattr(common, "_give_back", lambda: back.append(1))
+    monkeypatch.setattr(common, "_ran", [])
+    for operator in ("bpe", "toxicity", "toxicity", "simhash"):
+        common.only_memos_of(operator)
+    assert len(back) == 3

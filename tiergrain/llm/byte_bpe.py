@@ -25,12 +25,13 @@ repeated results; a text of any length is processed in slices of matches.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import islice
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +39,10 @@ from pyspark.sql import types as T
 
 from tiergrain.llm.common import id_text, only_memos_of
 
-PIECES_KEPT = 400_000      # memoised pieces per generation and Python worker
-PAIRS_KEPT = 250_000       # memoised token pairs per generation and Python worker
+PIECES_KEPT = 100_000      # memoised pieces per generation and Python worker
+PAIRS_KEPT = 150_000       # memoised token pairs per generation and Python worker
 MATCHES_PER_SLICE = 1 << 16
+CODED_PER_BATCH = 1 << 20  # bytes of ids after which a worker hands its rows on
 
 
 class _Memo(dict):
@@ -227,8 +229,28 @@ def _worker_codec(tokens: tuple[bytes, ...], pattern: str) -> BytePairCodec:
     return codec
 
 
+def coded_batches(batches: Iterator[pa.RecordBatch], codec: BytePairCodec) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids, decoded) of (doc_id, text) rows: every text is encoded once, results leave in small batches."""
+    def made(doc_ids: list, ids: list) -> pa.RecordBatch:
+        decoded = pa.array([codec.decode_packed(b) for b in ids], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary()), decoded],
+                                          ["doc_id", "ids", "decoded"])
+
+    for batch in batches:
+        doc_ids, ids, size = [], [], 0
+        for doc_id, text in zip(batch.column(0), batch.column(1)):
+            doc_ids.append(doc_id.as_py())
+            ids.append(codec.encode_packed(text.as_py() or ""))
+            size += len(ids[-1])
+            if size >= CODED_PER_BATCH:
+                yield made(doc_ids, ids)
+                doc_ids, ids, size = [], [], 0
+        if ids:
+            yield made(doc_ids, ids)
+
+
 class Tokenizer:
-    """Columns that encode and decode with one broadcast vocabulary."""
+    """Columns and frames that are encoded and decoded with one broadcast vocabulary."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         ranks = spark.sparkContext.broadcast((tuple(read_ranks(path)), pattern))
@@ -243,7 +265,10 @@ class Tokenizer:
             codec = _worker_codec(*ranks.value)
             return ids.map(lambda b: codec.decode_packed(b or b""))
 
-        self._encode, self._decode = encode, decode
+        def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from coded_batches(batches, _worker_codec(*ranks.value))
+
+        self._encode, self._decode, self._code = encode, decode, code
 
     def encode(self, text: Column) -> Column:
         """Packed ids (little-endian unsigned 32 bit) of a text column."""
@@ -253,6 +278,13 @@ class Tokenizer:
         """The bytes that packed ids stand for."""
         return self._decode(ids)
 
+    def both(self, rows: DataFrame) -> DataFrame:
+        """``doc_id``, ``ids`` and ``decoded`` of (``doc_id``, ``text``) rows.
+
+        The two columns side by side, ``encode`` and ``decode`` of it, would make Spark encode twice.
+        """
+        return rows.mapInArrow(self._code, "doc_id long, ids binary, decoded binary")
+
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
@@ -261,6 +293,5 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     One narrow pass: no shuffle, any row order, one result per input row.
     """
     tok = Tokenizer(docs.sparkSession, path, pattern)
-    ids = id_text(docs, id_col, text_col).select("doc_id", tok.encode(F.col("text")).alias("ids"))
-    return ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                      tok.decode(F.col("ids")).alias("decoded"))
+    return tok.both(id_text(docs, id_col, text_col)).select(
+        "doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), "decoded")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiergrain.session import shared_dir
 
 _memos: dict[str, Callable[[], None]] = {}      # of this Python worker: operator -> what empties its memo tables
+_ran: list[str] = []                            # the operator that this Python worker ran last
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -69,10 +72,21 @@ def may_be_in(keys: DataFrame, column: str, bits: int) -> Column:
 def only_memos_of(operator: str, release: Callable[[], None] | None = None) -> None:
     """Empty the memo tables that other operators' tasks left in this Python worker; ``release`` empties the caller's.
 
-    Spark reuses Python workers, so the stages of a pipeline would otherwise hold their tables
+    What they and their batches took goes back to the system, once at each change of operator. Spark reuses Python workers, so the stages of a pipeline would otherwise hold their tables
     all at once. Call it from module-level code: functions pickled by value have tables of their own.
     """
     for other in [o for o in _memos if o != operator]:
         _memos.pop(other)()
+    if _ran != [operator]:
+        _ran[:] = [operator]
+        _give_back()
     if release is not None:
         _memos[operator] = release
+
+
+def _give_back() -> None:
+    """Hand freed memory, which the allocators keep for later, back to the system (malloc's where it is glibc)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
