@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiergrain.operators import intervals, sliced
 from tiergrain.operators.quality import RuleSet
 from tiergrain.sources import updates
-from tiergrain.sources.changes import ChangeTable
+from tiergrain.sources.changes import ChangeTable, crowded, history_of
 from tiergrain.sources.sinks import read_view
 
 WIDTH = 10
@@ -177,3 +177,25 @@ def test_changes_in_any_order_and_repeated(spark):
         t.apply(spark.createDataFrame(parts[1], schema), 1)
         assert rows_of(t.history()) == sorted(want, key=str)
         assert rows_of(t.current()) == sorted((w[:3] for w in want if w[3] is None), key=str)
+
+
+def test_history_of_few_changes_takes_one_window_and_crowded_keys_slices(spark):
+    rng = random.Random(8)
+    rows = [(1, s, "upsert", s % 7) for s in range(300)] + \
+           [(rng.randrange(2, 40), rng.randrange(6), rng.choice(["upsert", "delete"]), rng.choice([None, 1, 2])) for _ in range(200)]
+    rows += rows[:50] + [(None, 1, "upsert", 1), (4, None, "upsert", 1)]
+    log = spark.createDataFrame(rows, "k int, sequence long, operation string, x int")
+    (bucket,) = crowded(log, ["k"], 100)
+    assert crowded(log, ["k"], 10_000) == []
+    known = {}
+    for k, s, op, x in rows:
+        if k is not None and s is not None:
+            known[k, s] = max(known.get((k, s), ("", False, 0)), (op, x is not None, x or 0))
+    want = []
+    for (k, s), (op, there, x) in known.items():
+        later = [t for j, t in known if j == k and t > s]
+        want += [(k, x if there else None, s, min(later, default=None))] if op == "upsert" else []
+    few = history_of(log, ["k"], "sequence", ["x"], 16)
+    assert few._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows_of(few) == sorted(want, key=str)
+    assert rows_of(history_of(log, ["k"], "sequence", ["x"], 16, [bucket])) == sorted(want, key=str)

@@ -68,11 +68,11 @@ def order_changes(orders: DataFrame) -> DataFrame:
     def change(seq: int, keep, operation: str, status, more: int):
         return F.when(keep, F.struct(F.lit(seq).cast("long").alias("sequence"), F.lit(operation).alias("operation"),
                                      status.alias("status"), (cents + more).alias("price_cents")))
-    changes = F.array_compact(F.array(
+    changes = F.array(
         change(1, key.isNotNull(), UPSERT, F.lit("NEW"), 0), change(2, key % 2 == 0, UPSERT, F.lit("OPEN"), 1000),
         change(3, key.isNotNull(), UPSERT, F.col("o_orderstatus"), 2000), change(4, key % 11 == 0, DELETE, F.lit(None).cast("string"), 0),
-        change(5, key % 33 == 0, UPSERT, F.lit("BACK"), 0)))
-    return orders.select("o_orderkey", F.explode(changes).alias("c")).select(
+        change(5, key % 33 == 0, UPSERT, F.lit("BACK"), 0))
+    return orders.select("o_orderkey", F.explode(changes).alias("c")).where("c IS NOT NULL").select(
         "o_orderkey", "c.*", ((F.col("o_orderkey") * 7 + F.col("c.sequence") * 5) % 3).alias("arrival"))
 
 

@@ -14,8 +14,9 @@ key's next change; a delete only ends the row before it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,15 +27,40 @@ from tiergrain.streaming.refresh import read_stream
 OPERATION, UPSERT, DELETE = "operation", "upsert", "delete"
 
 
-def history_of(log: DataFrame, keys: Sequence[str], sequence: str, columns: Sequence[str], width: int) -> DataFrame:
-    """``keys``, ``columns``, ``valid_from``, ``valid_to`` (null: still valid). No key's rows meet in one task."""
+BUCKETS = 1 << 14      # of key hashes, in which rows are counted
+
+
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+
+
+def crowded(log: DataFrame, keys: Sequence[str], most: int) -> list[int]:
+    """Buckets of more than ``most`` rows; a key with more lies in one of them. Counts are added up before the shuffle."""
+    counts = log.groupBy(_bucket(keys).alias("bucket")).agg(F.count("*").alias("n"))
+    return sorted(r.bucket for r in counts.where(F.col("n") > most).collect())      # at most BUCKETS
+
+
+def history_of(log: DataFrame, keys: Sequence[str], sequence: str, columns: Sequence[str], width: int,
+               apart: Sequence[int] = ()) -> DataFrame:
+    """``keys``, ``columns``, ``valid_from``, ``valid_to`` (null: still valid).
+
+    Keys of the buckets ``apart`` are worked out in slices of ``width``, so that no key's rows meet in
+    one task. The others have few rows each and take one window, whose shuffle is that of a join on the keys below it.
+    """
     known = log.where(" AND ".join(f"{c} IS NOT NULL" for c in (*keys, sequence)))
-    one = known.groupBy(*keys, sequence).agg(F.max(F.struct(OPERATION, *columns)).alias("c"))
-    flat = one.select(*keys, sequence, "c.*")
-    # the next change is the previous one in falling order
-    after = previous_in_order(flat, keys, -F.col(sequence).cast("long"), [], [sequence], width, prefix="_next_")
-    return after.where(F.col(OPERATION) == UPSERT).select(
-        *keys, *columns, F.col(sequence).alias("valid_from"), F.col(f"_next_{sequence}").alias("valid_to"))
+    few = known.where(~_bucket(keys).isin(list(apart))) if apart else known
+    # the last row of a sequence is the greatest change, and what follows it is the next sequence
+    along = Window.partitionBy(*keys).orderBy(sequence, F.struct(OPERATION, *columns))
+    after = few.select(*keys, sequence, OPERATION, *columns, F.lead(sequence).over(along).alias("_next"))
+    parts = [after.where(F.col("_next").isNull() | (F.col("_next") != F.col(sequence)))]
+    if apart:
+        one = known.where(_bucket(keys).isin(list(apart))).groupBy(*keys, sequence).agg(F.max(F.struct(OPERATION, *columns)).alias("c"))
+        flat = one.select(*keys, sequence, "c.*")
+        # the next change is the previous one in falling order
+        parts.append(previous_in_order(flat, keys, -F.col(sequence).cast("long"), [], [sequence], width, prefix="_next_")
+                     .withColumnRenamed(f"_next_{sequence}", "_next"))
+    return reduce(DataFrame.unionByName, [p.where(F.col(OPERATION) == UPSERT).select(
+        *keys, *columns, F.col(sequence).alias("valid_from"), F.col("_next").alias("valid_to")) for p in parts])
 
 
 class ChangeTable:
@@ -54,7 +80,9 @@ class ChangeTable:
         folder = f"{self.base}/log/batch={batch_id}"
         batch.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(folder)
         touched = self.spark.read.schema(self.schema).parquet(folder).select(*self.keys).distinct()
-        new = history_of(self._log().join(touched, self.keys, "left_semi"), self.keys, self.sequence, self.columns, self.width)
+        log = self._log()
+        new = history_of(log.join(touched, self.keys, "left_semi"), self.keys, self.sequence, self.columns, self.width,
+                         crowded(log, self.keys, self.width))
         try:
             new = self.history().join(touched, self.keys, "left_anti").unionByName(new)
         except FileNotFoundError:      # the first batch
