@@ -150,6 +150,73 @@ def test_stream_join_equals_the_batch_join_for_any_order_of_arrival(spark):
     assert any(r[2] is None for r in due) and any(r[2] is not None for r in due)
 
 
+def arriving(seed):
+    """Refreshes of a left and a right side: rows later than any delay, null keys and times, a refresh with one side only."""
+    rng, at, n = random.Random(seed), 5000, 0
+    for both in (True, True, False, True):
+        at += 300
+        data = [[], []]
+        for rows in data[:2 if both else 1]:
+            for _ in range(40):
+                n += 1
+                rows.append((None if n % 23 == 5 else 1 if rng.random() < 0.4 else rng.randrange(8), n,
+                             None if n % 29 == 7 else at - rng.choice([0, rng.randrange(100), rng.randrange(900)])))
+        yield data
+
+
+@pytest.mark.parametrize("how, lower, upper", [("left_outer", "-10 SECONDS", "100 SECONDS"), ("left_outer", "-200 SECONDS", "-20 SECONDS"),
+                                               ("inner", "20 SECONDS", "150 SECONDS")])
+def test_stream_join_equals_the_built_in_one_without_its_state_stores(spark, how, lower, upper):
+    """After every refresh the same rows as Spark's own join; what waits is parquet, not a store in the executors' memory."""
+    base = folder()
+
+    def rows(data, schema, at):
+        return spark.createDataFrame(data, schema).withColumn(at, F.timestamp_seconds("s")).drop("s")
+    a = joins.Side(f"{base}/l", rows([], LEFT, "at").schema, "at", "1 minute 30 seconds")
+    b = joins.Side(f"{base}/r", rows([], RIGHT, "bt").schema, "bt", "60 seconds")
+    sizes = []
+    for data in arriving(7):
+        for part, side, schema in zip(data, (a, b), (LEFT, RIGHT)):
+            if part:
+                rows(part, schema, side.at).coalesce(1).write.mode("append").parquet(side.folder)
+        joins.join_streams(spark, a, b, [("a", "b")], lower, upper, f"{base}/out", f"{base}/ck", how)
+        left, right = (s.stream(spark, None).withWatermark(s.at, s.delay) for s in (a, b))
+        query = (joins.bounded(left, right, "at", "bt", [("a", "b")], lower, upper, how).writeStream.format("parquet")
+                 .option("checkpointLocation", f"{base}/ck_built_in").trigger(availableNow=True).start(f"{base}/built_in"))
+        query.awaitTermination()
+        built_in = spark.read.parquet(f"{base}/built_in")
+        want = rows_of(built_in, *built_in.columns)
+        assert rows_of(joins.read_joined(spark, f"{base}/out"), *built_in.columns) == want
+        sizes.append(len(want))
+    assert 0 < sizes[0] < sizes[-1]
+    assert not os.path.exists(f"{base}/ck/state") and os.path.exists(f"{base}/ck_built_in/state")
+
+
+def test_stream_join_repeats_a_batch_and_drops_what_has_expired(spark):
+    base = folder()
+
+    def rows(data, schema, at):
+        return spark.createDataFrame(data, schema).withColumn(at, F.timestamp_seconds("s")).drop("s")
+    sides = [joins.Side(f"{base}/{at}", rows([], schema, at).schema, at, "10 seconds") for schema, at in ((LEFT, "at"), (RIGHT, "bt"))]
+
+    def batch(first, left, right):
+        for n, repeat in ((first, False), (first, True)):        # as after a driver lost before Spark's commit
+            parts = [rows(data, schema, at).select(F.struct("*").alias(name))
+                     for data, schema, at, name in ((left, LEFT, "at", "l"), (right, RIGHT, "bt", "r"))]
+            join = joins._Join(spark, tuple(sides), [("a", "b")], "0 SECONDS", "20 SECONDS", f"{base}/out", f"{base}/ck", "left_outer")
+            join.apply(parts[0].unionByName(parts[1], allowMissingColumns=True), n)
+        join.expire()
+        return rows_of(joins.read_joined(spark, f"{base}/out"), "x", "y")
+    assert batch(0, [(1, 10, 100), (1, 10, 100), (2, 11, 100)], [(1, 20, 110)]) == [(10, 20), (10, 20)]
+    assert batch(1, [(3, 12, 1000)], [(1, 21, 120), (3, 22, 1000)]) == sorted(
+        [(10, 20), (10, 20), (10, 21), (10, 21), (11, None), (12, 22)], key=str)
+    batch(2, [(4, 13, 1005)], [(4, 23, 1006)])
+    kept = sorted(n for n in os.listdir(f"{base}/ck-state") if not n.startswith("."))
+    assert kept == ["left_step=2", "left_step=4", "right_step=2", "right_step=4"]
+    with pytest.raises(ValueError):
+        joins._Join(spark, tuple(sides), [("a", "b")], "0 SECONDS", "1 MONTH", f"{base}/out", f"{base}/ck", "inner")
+
+
 def test_stream_join_refuses_what_it_cannot_do(spark):
     a = spark.createDataFrame([], "a long, at timestamp")
     with pytest.raises(ValueError):
