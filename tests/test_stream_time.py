@@ -180,7 +180,7 @@ def test_stream_join_equals_the_built_in_one_without_its_state_stores(spark, how
             if part:
                 rows(part, schema, side.at).coalesce(1).write.mode("append").parquet(side.folder)
         joins.join_streams(spark, a, b, [("a", "b")], lower, upper, f"{base}/out", f"{base}/ck", how)
-        left, right = (s.stream(spark, None).withWatermark(s.at, s.delay) for s in (a, b))
+        left, right = (joins.read_stream(spark, s.folder, s.schema).withWatermark(s.at, s.delay) for s in (a, b))
         query = (joins.bounded(left, right, "at", "bt", [("a", "b")], lower, upper, how).writeStream.format("parquet")
                  .option("checkpointLocation", f"{base}/ck_built_in").trigger(availableNow=True).start(f"{base}/built_in"))
         query.awaitTermination()
